@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-FLAGSHIP = ""
+from tidemark.plans import forecasts, rollups, shaping  # noqa: F401
+from tidemark.plans.registry import ORACLES, QUERIES
+
+FLAGSHIP = "window_scorecard"
 
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
