@@ -260,12 +260,15 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 6, seed: int = 0)
         pair = np.unique(doc * np.int64(WORDS + CHARS) + features[:-1, k])
         d, at = pair // (WORDS + CHARS), pair % (WORDS + CHARS)
         one, zero = (np.bincount(at[train[d] & (labels[d] == y)], minlength=WORDS + CHARS) for y in (1, 0))
-        evidence += np.where(one + zero > 0, np.log((one + 0.5) / (n1 + 1)) - np.log((zero + 0.5) / (n0 + 1)), 0) * np.minimum(1, (one + zero) / 8)
+        evidence += np.where(one + zero > 0, np.log((one + 0.5) / (n1 + 1)) - np.log((zero + 0.5) / (n0 + 1)), 0) * np.minimum(1, (one + zero) / 4)
     net.p["E"][:, 0] += np.clip(evidence, -4, 4) / 4
     word = np.append(np.clip(evidence[features[:-1]].sum(1), -12, 12), 0)
     height = np.array([word[b : b + s].max(initial=-12) for b, s in zip(begin, size)])
     adam = _Adam(net.p, 0.01)
     bag = np.flatnonzero(train[row])
+    # a small sample goes in smaller steps and more often, so that every fit takes some hundred steps
+    batch = 256 if train.sum() > 1500 else 32
+    epochs = max(epochs, min(40, -(-240 * batch // (4 * max(1, int(train.sum()))))))
     for epoch in range(epochs):
         order = np.lexsort((-height[bag], row[bag]))
         place = np.arange(len(order)) - np.searchsorted(row[bag][order], row[bag][order])
@@ -276,8 +279,8 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 6, seed: int = 0)
         weight = np.where(y == 1, (1 - y).sum() / max(1, y.sum()), 1) * 0.5
         mixed = rng.permutation(len(chosen))
         adam.rate = 0.01 * (1 - 0.9 * epoch / epochs)
-        for i in range(0, len(mixed), 256):
-            b = mixed[i : i + 256]
+        for i in range(0, len(mixed), batch):
+            b = mixed[i : i + batch]
             at = chosen[b]
             adam.step(*net.gradients(features, begin[at], size[at], y[b], weight[b]))
         if epoch >= 1:
