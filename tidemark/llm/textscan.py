@@ -65,13 +65,15 @@ class WordScanner:
     so a character is never cut.
     """
 
+    #: Powers of the base, shared by the tasks that one worker runs in turn.
+    _up = _down = np.zeros(0, np.uint64)
+
     def __init__(self, separators: bytes, fold: bool = True):
         self.is_word = np.ones(256, bool)
         self.is_word[list(separators)] = False
         self.value = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
         if fold:
             self.value[65:91] = self.value[97:123]
-        self._up = self._down = np.zeros(0, np.uint64)
 
     def split(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of the words, and for each row (and the end) its first word's index."""
@@ -91,7 +93,7 @@ class WordScanner:
             for name, base in (("_up", _BASE), ("_down", pow(_BASE, -1, 1 << 64))):
                 x = np.full(n, base & _MASK, np.uint64)
                 x[0] = 1
-                setattr(self, name, np.multiply.accumulate(x))
+                setattr(WordScanner, name, np.multiply.accumulate(x))
         return self._up, self._down
 
     def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
