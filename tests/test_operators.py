@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import allocation as A
+from tidemark.operators import gates
 from tidemark.operators import joins as J
 from tidemark.operators import scoring as C
 from tidemark.operators import windows as W
@@ -81,3 +82,23 @@ def test_empty_inputs(spark):
     none = spark.createDataFrame([], "w string, c string, sku string, f double")
     assert C.score(none, none.withColumnRenamed("f", "s"), ["w", "c"], "sku", "f", "s").count() == 0
     assert A.allocate(none.withColumn("t", F.lit(3)), ["w"], "f", "t", ["sku"], "u").count() == 0
+
+
+def test_walk_forward_learns_from_earlier_windows_only(spark):
+    rows = [(k, g, float(lo), float(hi), 10.0) for k, (g, lo, hi) in enumerate([(0.2, 1, 5), (0.6, 9, 2), (None, 3, 4), (0.4, 2, 6), (0.2, 7, 1), (0.8, 5, 5)])]
+    taus, want = [0.1, 0.3, 0.5, 0.7], []
+    for k, (_, g, lo, hi, _) in enumerate(rows):
+        if k >= 2:
+            cost = {t: sum(r[2] if r[1] is not None and r[1] < t else r[3] for r in rows[:k]) for t in taus}
+            best = min(taus, key=lambda t: (cost[t], t))
+            want.append((k, best, lo if g is not None and g < best else hi))
+    df = spark.createDataFrame(rows, "o int, g double, lo double, hi double, s double")
+    got = gates.walk_forward(df, "o", "g", "lo", "hi", "s", taus, 2).orderBy("o").collect()
+    assert [(r.o, r.Tau, r.Gated) for r in got] == want
+    assert gates.walk_forward(df.limit(0), "o", "g", "lo", "hi", "s", taus, 2).count() == 0
+
+
+def test_periods_overlap_and_are_clipped(spark):
+    df = spark.sql("select explode(array('2024-12-31', '2025-01-01', '2025-02-01', '2025-02-10', '2025-02-11', null)) as day").selectExpr("cast(day as date) as day")
+    got = {r.Period: r.n for r in gates.by_period(df, "day", "2025-01-01", "2025-02-10").groupBy("Period").agg(F.count("*").alias("n")).collect()}
+    assert got == {"holdout": 3, "last_7_days": 1, "last_28_days": 2, "year_to_date": 3, "2025-01": 1, "2025-02": 2}
