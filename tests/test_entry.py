@@ -23,6 +23,9 @@ def test_without_training_data_operators():
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_columns_and_rows(spark, name):
     df = entry_points.queries()[name](spark, SF)
+    if name not in entry_points.oracle_sql():
+        assert df.count() > 0
+        return
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")

@@ -46,3 +46,19 @@ def cost_split(scores: DataFrame, ratios: list[float], window: list[str]) -> Dat
     over = F.greatest(F.col("AbsErrorUnits") + F.col("ForecastUnits") - F.col("SoldUnits"), F.lit(0.0)) / 2
     under = F.greatest(F.col("AbsErrorUnits") - F.col("ForecastUnits") + F.col("SoldUnits"), F.lit(0.0)) / 2
     return scores.withColumn("Ratio", F.explode(F.array(*map(F.lit, ratios)))).select(*window, "Ratio", over.alias("Over"), under.alias("Under"), (over + F.col("Ratio") * under).alias("Cost"))
+
+
+def bootstrap(windows: DataFrame, order: str, new: str, old: str, sold: str, block: int, draws: int) -> DataFrame:
+    """95% interval of pooled error(new) - pooled error(old) over draws of moving blocks of consecutive windows.
+
+    Block starts are hashes of draw and block, so reruns agree. One row; none with fewer windows than a block. ``windows`` has one
+    row for each scoring window, so its numbering is small; draws are rows, summed in parallel.
+    """
+    rows = windows.withColumn("_i", F.row_number().over(Window.orderBy(order)).cast("long") - 1).select("_i", F.col(new).alias("_a"), F.col(old).alias("_b"), F.col(sold).alias("_s"))
+    n = windows.count()
+    if n < block:
+        return windows.sparkSession.createDataFrame([], "Windows long, Draws long, Low double, High double, ShareBetter double")
+    start = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("b").cast("string"), F.floor(F.col("pos") / block).cast("string"))), 1, 8), 16, 10).cast("long") % (n - block + 1)
+    picks = windows.sparkSession.range(draws).withColumnRenamed("id", "b").withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("_i", F.col("pos") % block + start)
+    diffs = picks.join(rows, "_i").groupBy("b").agg((F.sum("_a") / F.sum("_s") - F.sum("_b") / F.sum("_s")).alias("d"))
+    return diffs.agg(F.lit(n).cast("long").alias("Windows"), F.count("*").alias("Draws"), F.round(F.percentile("d", F.lit(0.025)), 6).alias("Low"), F.round(F.percentile("d", F.lit(0.975)), 6).alias("High"), F.round(F.avg((F.col("d") < 0).cast("double")), 6).alias("ShareBetter"))
