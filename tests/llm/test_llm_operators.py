@@ -245,3 +245,25 @@ def test_queries_match_sql(spark, name):
     cols = [d[0] for d in cur.description]
     want = sorted((tuple(r[cols.index(c)] for c in df.columns) for r in cur.fetchall()), key=repr)
     assert sorted(map(tuple, df.collect()), key=repr) == want
+
+
+def _changed(rng, base, n):
+    """``base`` with ``n`` words at random places replaced by new ones."""
+    w = list(base)
+    for k in rng.choice(len(w), n, replace=False):
+        w[k] = f"x{rng.integers(0, 10**9)}"
+    return w
+
+
+def test_near_duplicates_behind_a_family_below_the_threshold(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for f in range(4):
+        base = [f"f{f}w{k}" for k in range(600)]
+        # members are at about 0.82 to each other, and 12 pairs a family at about 0.86
+        family = [_changed(rng, base, 10) for _ in range(150)]
+        family += [_changed(rng, w, 15) for w in family[:12]]
+        rows += [" ".join(w) for w in family]
+    rows = [(int(i), t) for i, t in zip(rng.permutation(len(rows)), rows)]
+    got = {r.doc_id: r.component_id for r in lshforest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, percent=85).collect()}
+    assert got == components_of(rows, 3, 85)

@@ -5,11 +5,12 @@ order the neighbours of a document are those with the longest common prefix, so
 takes a deep prefix where many documents crowd and a shallow one where few are: the depth adapts to the
 region. Candidates come from trees only; every link is then confirmed on the full shingle sets.
 
-The work goes in rounds. A document that already is in one group with a neighbour is no candidate again, so a
-group of thousands of near copies shrinks to one after the first, cheap round and is never expanded to pairs.
-In each round a document's likeliest candidates, by a sketch of MinHash values that no tree uses, are confirmed. Rounds
-go on for the documents of crowded regions, with wider looks, finer sketches and new orders among equal keys, until a
-round finds no new link.
+A document that already is in one group with a neighbour is no candidate again, so a group of thousands of near
+copies shrinks to one in two cheap rounds, which confirm a document's likeliest neighbours only. These rounds settle
+nothing else: then every bucket (the documents that share the first half of a tree's key) that still holds two groups
+is gone through whole. Its members outside its largest group ask all its members, and each pair of different groups
+whose signatures are near enough is confirmed, the likeliest first, until no candidate joins two groups. A bucket is
+cut into units of bounded size, so none is one task's work.
 
 Defined results: a null or blank text has an empty set and is linked with nothing; equal sets are one class
 whatever their texts; rows that repeat an id are one document (one row each in the result, linked by any of
@@ -36,12 +37,14 @@ TREE_HASHES = 128
 TREES = 24
 #: Values of a tree's full key; two documents are neighbours if they share at least the first half.
 DEPTH = 8
-#: Bytes of the sketch that a tree row carries, in common rounds and in those for crowded regions.
-SKETCH, FINE = 64, 256
-#: Candidates of a document that a round confirms.
-LIKELIEST = 4
-#: Candidates of a document that one tree gives in a round.
-NEAREST = 2
+#: Bytes of the sketch that a tree row carries.
+SKETCH = 64
+#: Candidates of a document that one of the two first rounds confirms, and that one tree gives to them.
+LIKELIEST, NEAREST = 4, 2
+#: Documents of a bucket on each side of a unit, about.
+UNIT = 2048
+#: Candidates that a document in a unit gives at first; where there are more, a later pass gives STEP times as many.
+FIRST, STEP = 8, 16
 #: An id's place in the filter that spares texts without candidates a shuffle: a broadcast of at most so many ints.
 PLACES = 1 << 18
 
@@ -96,7 +99,7 @@ def sign(width: int):
     return run
 
 
-def _grow(trees: range, salt: int, fine: bool):
+def _grow(trees: range, salt: int):
     """A mapper from classes to one row for each tree."""
 
     def run(batches):
@@ -107,7 +110,7 @@ def _grow(trees: range, salt: int, fine: bool):
                 continue
             data, _ = column_bytes(batch.column(4))
             keys = data.view(np.uint16).reshape(m, HASHES)
-            sketch = binary_array(np.ascontiguousarray((keys if fine else keys[:, TREE_HASHES : TREE_HASHES + SKETCH]).astype(np.uint8)))
+            sketch = binary_array(keys[:, TREE_HASHES : TREE_HASHES + SKETCH].astype(np.uint8))
             ids = batch.column(0).to_numpy().astype(np.uint64)
             for t in trees:
                 k = np.ascontiguousarray(keys[:, orders[t]]).view(np.int64)
@@ -117,10 +120,14 @@ def _grow(trees: range, salt: int, fine: bool):
     return run
 
 
-def _look(ahead: int, percent: int, sketch_bytes: int):
-    """A mapper over sorted tree rows that yields candidate pairs (kind 0) and documents of crowded regions (kind 1)."""
-    share = percent / 100
-    least = int(np.floor(sketch_bytes * (share - 4.2 * np.sqrt(share * (1 - share) / sketch_bytes))))
+def _least(share: float, values: int, deviations: float = 4.2) -> int:
+    """So many of ``values`` agree at least, but for a few in 100,000, where each does with probability ``share``."""
+    return int(np.floor(values * (share - deviations * np.sqrt(share * (1 - share) / values))))
+
+
+def _look(ahead: int, percent: int):
+    """A mapper over sorted tree rows that yields likely pairs of neighbours."""
+    least = _least(percent / 100, SKETCH)
 
     def run(batches):
         kept = None
@@ -129,13 +136,13 @@ def _look(ahead: int, percent: int, sketch_bytes: int):
                 continue
             cols = [batch.column(i).to_numpy() for i in (0, 1, 4, 5, 6, 7)]
             data, _ = column_bytes(batch.column(8))
-            cols.append(data.reshape(-1, sketch_bytes))
+            cols.append(data.reshape(-1, SKETCH))
             old = 0
             if kept is not None:
                 old = len(kept[0])
                 cols = [np.concatenate(x) for x in zip(kept, cols)]
             tree, k1, ids, n, lo, comp, sketch = cols
-            found, crowd = [], np.zeros(0, np.int64)
+            found = []
             for lag in range(1, min(ahead, len(ids) - 1) + 1):
                 i = np.arange(max(lag, old), len(ids))
                 j = i - lag
@@ -143,9 +150,6 @@ def _look(ahead: int, percent: int, sketch_bytes: int):
                 if not len(i):
                     break
                 j = i - lag
-                if lag == ahead:
-                    _, crowd = np.unique(ids[i[(comp[i] != comp[j]) & (tree[i] % 4 == 0)]], return_index=True)
-                    crowd = i[(comp[i] != comp[j]) & (tree[i] % 4 == 0)][crowd]
                 small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
                 i = i[(comp[i] != comp[j]) & (100 * small >= percent * large)]
                 same = (sketch[i] == sketch[i - lag]).sum(1)
@@ -160,11 +164,89 @@ def _look(ahead: int, percent: int, sketch_bytes: int):
                 order = np.lexsort((a, -same, b))
                 order = order[np.arange(len(order)) - np.searchsorted(b[order], b[order]) < NEAREST]
                 a, b, same = a[order], b[order], same[order]
-                kind = np.concatenate([np.zeros(len(a), np.int32), np.ones(len(crowd), np.int32)])
-                a, b = np.concatenate([a, crowd]), np.concatenate([b, crowd])
-                same = np.concatenate([same, np.zeros(len(crowd), same.dtype)]).astype(np.int32)
                 if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, ids[a], lo[a], ids[b], lo[b], same)], names=["kind", "a", "lo_a", "b", "lo_b", "same"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[a], lo[a], ids[b], lo[b], same.astype(np.int32))], names=["a", "lo_a", "b", "lo_b", "same"])
+
+    return run
+
+
+def _buckets(batches):
+    """A mapper from classes (id, lo, comp, sig) to each one's bucket in each tree."""
+    orders = _orders()[:, : DEPTH // 2]
+    for batch in batches:
+        m = batch.num_rows
+        if m:
+            keys = column_bytes(batch.column(3))[0].view(np.uint16).reshape(m, HASHES)
+            for t in range(TREES):
+                k1 = np.ascontiguousarray(keys[:, orders[t]]).view(np.int64)[:, 0]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, t, np.int32)), pa.array(k1.copy()), *batch.columns[:3]], names=["tree", "k1", "id", "lo", "comp"])
+
+
+def _meet(percent: int, most: int):
+    """A mapper over rows of units (tree, k1, part, asks, id, lo, comp, major, n, sig), sorted by unit.
+
+    Yields each asking document's likeliest ``most`` pairs (kind 0) of those that no earlier tree gives, and one row of kind 1 where there are more.
+    """
+    orders = _orders()[:, : DEPTH // 2]
+    share = percent / 100
+    # one bit of each value is a cheap first test, wide enough to lose nothing that the second would keep
+    least, bits = _least(share, HASHES), HASHES - _least((1 + share) / 2, HASHES, 6)
+
+    def unit(tree, asks, ids, lo, comp, major, n, sig):
+        one = np.packbits((sig & 1).astype(np.uint8), axis=1).view(np.uint64)
+        asking, told = np.flatnonzero(asks), np.flatnonzero(~asks)
+        out = []
+        for i in range(0, len(asking), 128):
+            x = asking[i : i + 128]
+            unlike = np.zeros((len(x), len(told)), np.uint16)
+            for w in range(one.shape[1]):
+                unlike += np.bitwise_count(one[x, w][:, None] ^ one[told, w][None, :])
+            near = (unlike <= bits) & (comp[x][:, None] != comp[told][None, :])
+            # of two that both ask, the one of the larger group number does
+            near &= (comp[told] == major[told])[None, :] | (comp[x][:, None] > comp[told][None, :])
+            small, large = np.minimum(n[x][:, None], n[told][None, :]), np.maximum(n[x][:, None], n[told][None, :])
+            p, q = np.nonzero(near & (100 * small >= percent * large))
+            for c in range(0, len(p), 1 << 15):
+                b, a = x[p[c : c + (1 << 15)]], told[q[c : c + (1 << 15)]]
+                equal = sig[a] == sig[b]
+                same = equal.sum(1)
+                keep = same >= least
+                if tree:
+                    keep &= ~equal[:, orders[:tree]].all(2).any(1)
+                out.append((a[keep], b[keep], same[keep]))
+        if not out:
+            return None
+        a, b, same = (np.concatenate(x) for x in zip(*out))
+        order = np.lexsort((ids[a], -same, b))
+        a, b, same = a[order], b[order], same[order]
+        place = np.arange(len(b)) - np.searchsorted(b, b)
+        kind = (place == most).astype(np.int32)
+        kept = place <= most
+        a, b = a[kept], b[kept]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (kind[kept], ids[a], lo[a], ids[b], lo[b], same[kept].astype(np.int32))], names=["kind", "a", "lo_a", "b", "lo_b", "same"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(9)]
+            cols.append(column_bytes(batch.column(9))[0].view(np.uint16).reshape(-1, HASHES))
+            if held is not None:
+                cols = [np.concatenate(x) for x in zip(held, cols)]
+            tree, k1, part = cols[:3]
+            cuts = np.flatnonzero((tree[1:] != tree[:-1]) | (k1[1:] != k1[:-1]) | (part[1:] != part[:-1])) + 1
+            at = 0
+            for cut in cuts.tolist():
+                got = unit(int(tree[at]), *[x[at:cut] for x in cols[3:]])
+                if got is not None and got.num_rows:
+                    yield got
+                at = cut
+            held = [x[at:].copy() for x in cols]
+        if held is not None:
+            got = unit(int(held[0][0]), *held[3:])
+            if got is not None and got.num_rows:
+                yield got
 
     return run
 
@@ -208,6 +290,68 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> D
     return two.select("a", "lo_a", "b", "lo_b", "text_a", "text_b").mapInArrow(_confirm(width, percent), "a long, b long")
 
 
+def _grouped(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Adds comp, the group of each id."""
+    return rows.join(roots.withColumnsRenamed({"node": "id", "root": "comp"}), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different groups."""
+    for end in ("a", "b"):
+        pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"_{end}")), end, "left")
+    return pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).drop("_a", "_b")
+
+
+def _settled(docs: DataFrame, queue: DataFrame, roots: DataFrame, width: int, percent: int, at: str) -> DataFrame:
+    """``roots`` after every pair of ``queue`` (a, lo_a, b, lo_b, same) was confirmed, refuted or found in one group by other links."""
+    rank = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("same"), "a", "lo_a", "lo_b"))
+    left = written(queue.withColumn("rank", rank).drop("same"), f"{at}/queue")
+    most = 1
+    while (top := left.agg(F.max("rank")).first()[0]) is not None:
+        now = left.where(F.col("rank") <= most).select("a", "lo_a", "b", "lo_b")
+        fresh = written(_confirmed(docs, now, width, percent), f"{at}/links-{most}")
+        if not fresh.isEmpty():
+            roots = joined_components(roots, fresh, f"{at}/components-{most}")
+        if top <= most:
+            break
+        left = written(_apart(left.where(F.col("rank") > most), roots), f"{at}/left-{most}")
+        most *= STEP
+    return roots
+
+
+def _bucket_links(docs: DataFrame, classes: DataFrame, roots: DataFrame, width: int, percent: int, at: str) -> DataFrame:
+    """``roots`` when no bucket holds an unconfirmed candidate that joins two groups."""
+    most, seen = FIRST, None
+    while True:
+        here = f"{at}/meet-{most}"
+        rows = _grouped(classes.select("id", "lo", "sig"), roots).select("id", "lo", "comp", "sig")
+        lain = written(rows.mapInArrow(_buckets, "tree int, k1 long, id long, lo long, comp long"), f"{here}/lain")
+        groups = lain.groupBy("tree", "k1", "comp").agg(F.count("*").alias("c")).groupBy("tree", "k1")
+        mixed = groups.agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("major"), F.count("*").alias("groups")).where("groups > 1")
+        mixed = written(mixed.select("tree", "k1", F.col("major.comp").alias("major"), F.ceil(F.col("m") / UNIT).cast("int").alias("gm"), F.ceil((F.col("m") - F.col("major.c")) / UNIT).cast("int").alias("ga")), f"{here}/mixed")
+        met = written(lain.join(mixed, ["tree", "k1"]), f"{here}/met")
+        # part = the asking side's share of the bucket times gm, and the answering side's
+        told = met.select("*", F.lit(False).alias("asks"), F.explode(F.expr("transform(sequence(0, ga - 1), x -> x * gm + cast(pmod(xxhash64(lo, 1), gm) as int))")).alias("part"))
+        asking = met.where("comp <> major").select("*", F.lit(True).alias("asks"), F.explode(F.expr("transform(sequence(0, gm - 1), y -> cast(pmod(xxhash64(lo, 2), ga) as int) * gm + y)")).alias("part"))
+        places = met.select(_place("id").alias("place")).distinct()
+        some = classes.withColumn("place", _place("id")).join(F.broadcast(places), "place", "left_semi").select("id", "lo", "n", "sig")
+        units = told.union(asking).join(some, ["id", "lo"]).select("tree", "k1", "part", "asks", "id", "lo", "comp", "major", "n", "sig")
+        units = units.repartition("tree", "k1", "part").sortWithinPartitions("tree", "k1", "part")
+        looked = written(units.mapInArrow(_meet(percent, most), "kind int, a long, lo_a long, b long, lo_b long, same int"), f"{here}/looked")
+        queue = looked.where("kind = 0").drop("kind").withColumns({"x": F.least("lo_a", "lo_b"), "y": F.greatest("lo_a", "lo_b")})
+        if seen is not None:
+            queue = queue.join(seen, ["x", "y"], "left_anti")
+        roots = _settled(docs, queue.drop("x", "y"), roots, width, percent, here)
+        if looked.where("kind = 1").isEmpty():
+            return roots
+        now = looked.where("kind = 0").select(F.least("lo_a", "lo_b").alias("x"), F.greatest("lo_a", "lo_b").alias("y"))
+        seen = now if seen is None else seen.union(now)
+        if most == FIRST:
+            # groups only grow: what is in no mixed bucket now will be in none
+            classes = written(some.join(met.select("id", "lo").distinct(), ["id", "lo"], "left_semi"), f"{at}/crowd")
+        most *= STEP
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row for each row of ``docs``: (id_col, n_shingles, component_id, kept).
 
@@ -224,24 +368,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = named.groupBy("id").agg(F.min(key).alias("x"), F.max(key).alias("y")).where("x <> y").select("id")
     own = named.join(several, "id", "left_semi").select("n", "lo", "hi", F.col("id").alias("a")).join(classes.select(F.col("id").alias("b"), "n", "lo", "hi"), ["n", "lo", "hi"]).where("a <> b").select("a", "b").distinct()
     roots = None
-    crowd = None
-    plan = [(range(8), 2, SKETCH), (range(8, TREES), 8, SKETCH), *[(range(TREES), 32, FINE)] * 30]
-    for k, (trees, ahead, sketch) in enumerate(plan):
+    for k, (trees, ahead) in enumerate(((range(8), 2), (range(8, TREES), 8))):
         rows = classes.drop("hi")
-        if crowd is not None:
-            rows = rows.join(crowd, "id", "left_semi")
-        if roots is not None:
-            rows = rows.join(roots.withColumnsRenamed({"node": "id", "root": "comp"}), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        else:
-            rows = rows.withColumn("comp", F.col("id"))
-        rows = rows.select("id", "n", "lo", "comp", "sig")
-        if crowd is not None:
-            # the few rows of crowded regions, written so that sampling for the ranges does not join again
-            rows = written(rows, f"{at}/rows-{k}")
-        grown = rows.mapInArrow(_grow(trees, k, sketch == FINE), "tree int, k1 long, k2 long, o long, id long, n long, lo long, comp long, sketch binary")
+        rows = rows.withColumn("comp", F.col("id")) if roots is None else _grouped(rows, roots)
+        grown = rows.select("id", "n", "lo", "comp", "sig").mapInArrow(_grow(trees, k), "tree int, k1 long, k2 long, o long, id long, n long, lo long, comp long, sketch binary")
         sorted_rows = grown.repartitionByRange("tree", "k1", "k2", "o").sortWithinPartitions("tree", "k1", "k2", "o")
-        looked = written(sorted_rows.mapInArrow(_look(ahead, percent, sketch), "kind int, a long, lo_a long, b long, lo_b long, same int"), f"{at}/looked-{k}")
-        pairs = looked.where("kind = 0").drop("kind")
+        pairs = written(sorted_rows.mapInArrow(_look(ahead, percent), "a long, lo_a long, b long, lo_b long, same int"), f"{at}/looked-{k}")
         if k == 0:
             pairs = pairs.groupBy("b", "lo_b").agg(F.max(F.struct("same", "a", "lo_a")).alias("x")).select("x.a", "x.lo_a", "b", "lo_b")
         else:
@@ -249,15 +381,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             rank = F.dense_rank().over(Window.partitionBy("b").orderBy(F.desc("same"), "a", "lo_a", "lo_b"))
             pairs = pairs.withColumn("rank", rank).where(F.col("rank") <= LIKELIEST).distinct()
         fresh = written(_confirmed(docs, pairs.select("a", "lo_a", "b", "lo_b"), width, percent), f"{at}/links-{k}")
-        found = not fresh.isEmpty()
         if roots is None:
             roots = connected_components(own.union(fresh), f"{at}/components-{k}")
-        elif found:
+        elif not fresh.isEmpty():
             roots = joined_components(roots, fresh, f"{at}/components-{k}")
-        if k > 0:
-            crowd = looked.where("kind = 1").select(F.col("a").alias("id")).distinct()
-            if not found or crowd.isEmpty():
-                break
+    roots = _bucket_links(docs, classes.select("id", "n", "lo", "sig"), roots, width, percent, at)
     found = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("n", "lo", "hi", F.coalesce("root", "id").alias("root"))
     return (
         signed.select("id", "n", "lo", "hi").join(found, ["n", "lo", "hi"], "left")
