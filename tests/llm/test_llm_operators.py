@@ -267,3 +267,12 @@ def test_near_duplicates_behind_a_family_below_the_threshold(spark):
     rows = [(int(i), t) for i, t in zip(rng.permutation(len(rows)), rows)]
     got = {r.doc_id: r.component_id for r in lshforest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, percent=85).collect()}
     assert got == components_of(rows, 3, 85)
+
+
+def test_a_slice_with_more_pieces_than_are_remembered(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    t = tokens.PieceTokenizer()
+    for text in ("n0 n1 n2", " ".join(f"n{k}" for k in range(300)), "n5 again n0", " ".join(f"m{k}" for k in range(45)), "n5 again"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert t.encode(data, np.array([0, len(data)]))[0].tolist() == t.encoder.encode_ordinary(text)
+        assert len(t.known) <= 50

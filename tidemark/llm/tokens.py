@@ -33,7 +33,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how the vocabulary's makers cut a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END_OF_TEXT = 50256
-#: Pieces of text whose ids a worker remembers at most, before it starts anew.
+#: Pieces of text whose ids a worker remembers between slices; a slice with more has a table of its own.
 REMEMBERED = 600_000
 #: Bits for a sequence's number inside its partition.
 LOCAL_BITS = 32
@@ -66,8 +66,6 @@ class PieceTokenizer:
         self.used = 0
 
     def _learn(self, hashes: list[int], texts: list[str]):
-        if len(self.known) + len(hashes) > REMEMBERED:
-            self._forget()
         for h, text in zip(hashes, texts):
             got = self.encoder.encode_ordinary(text)
             while self.used + len(got) > len(self.ids):
@@ -93,23 +91,22 @@ class PieceTokenizer:
             return np.zeros(0, np.uint16), np.zeros(len(offsets), np.int64)
         hashes, example, back = np.unique(self.scanner.hashes(data, starts, ends), return_index=True, return_inverse=True)
         listed = hashes.tolist()
-        for again in range(2):
-            new = [i for i, h in enumerate(listed) if h not in self.known]
-            if not new:
-                break
+        new = [i for i, h in enumerate(listed) if h not in self.known]
+        if new and len(self.known) + len(new) > REMEMBERED:
+            # a table for this slice, whatever its size
+            self._forget()
+            new = range(len(listed))
+        if new:
             raw = data.tobytes()
             e = example[new]
-            before = len(self.known)
             self._learn([listed[i] for i in new], [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[e].tolist(), ends[e].tolist())])
-            if len(self.known) == before + len(new):
-                break  # else it has forgotten older ones
-        else:
-            raise RuntimeError("one slice has more pieces than are remembered")
         at = np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))[back]
         begin, size = self.begin[at], self.begin[at + 1] - self.begin[at]
         upto = np.zeros(len(at) + 1, np.int64)
         np.cumsum(size, out=upto[1:])
         ids = self.ids[np.repeat(begin - upto[:-1], size) + np.arange(upto[-1])]
+        if len(self.known) > REMEMBERED:
+            self._forget()
         return ids, upto[first]
 
 
