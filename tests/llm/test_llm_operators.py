@@ -276,3 +276,17 @@ def test_a_slice_with_more_pieces_than_are_remembered(monkeypatch):
         data = np.frombuffer(text.encode(), np.uint8)
         assert t.encode(data, np.array([0, len(data)]))[0].tolist() == t.encoder.encode_ordinary(text)
         assert len(t.known) <= 50
+
+
+def test_a_document_asks_all_members_of_a_group(spark, monkeypatch):
+    monkeypatch.setattr(lshforest, "UNIT", 8)
+    monkeypatch.setattr(lshforest, "FIRST", 2)
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(600)]
+    members = [_changed(rng, base, 10) for _ in range(40)]
+    rows = [(i + 1, " ".join(w)) for i, w in enumerate(members)] + [(0, " ".join(_changed(rng, members[25], 13)))]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    classes = docs.mapInArrow(lshforest.sign(3), "id long, n long, lo long, hi long, sig binary").select("id", "n", "lo", "sig")
+    roots = spark.createDataFrame([(i, 1) for i in range(1, 41)], "node long, root long")
+    got = lshforest._bucket_links(docs, classes, roots, 3, 85, shared_dir(spark, "test"))
+    assert {r.node: r.root for r in got.collect()} == dict.fromkeys(range(41), 0)

@@ -206,8 +206,8 @@ def _meet(percent: int, most: int):
             near &= (comp[told] == major[told])[None, :] | (comp[x][:, None] > comp[told][None, :])
             small, large = np.minimum(n[x][:, None], n[told][None, :]), np.maximum(n[x][:, None], n[told][None, :])
             p, q = np.nonzero(near & (100 * small >= percent * large))
-            for c in range(0, len(p), 1 << 15):
-                b, a = x[p[c : c + (1 << 15)]], told[q[c : c + (1 << 15)]]
+            for c in range(0, len(p), 1 << 12):
+                b, a = x[p[c : c + (1 << 12)]], told[q[c : c + (1 << 12)]]
                 equal = sig[a] == sig[b]
                 same = equal.sum(1)
                 keep = same >= least
