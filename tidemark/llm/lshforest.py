@@ -9,8 +9,13 @@ A document that already is in one group with a neighbour is no candidate again,
 copies shrinks to one in two cheap rounds, which confirm a document's likeliest neighbours only. These rounds settle
 nothing else: then every bucket (the documents that share the first half of a tree's key) that still holds two groups
 is gone through whole. Its members outside its largest group ask all its members, and each pair of different groups
-whose signatures are near enough is confirmed, the likeliest first, until no candidate joins two groups. A bucket is
-cut into units of bounded size, so none is one task's work.
+whose signatures are near enough and whose rarest shingles agree enough is confirmed, the likeliest first, until no
+candidate joins two groups. A bucket is cut into units of bounded size, so none is one task's work.
+
+The rarest shingles are an exact bound, so they lose no link. All shingles have one order, by how often their counter was
+met in the documents of such buckets and then by hash; a document brings the first of its own. Of these, those that come
+before the other's last one and are not among the other's are certainly not shared; a pair with more of them on one side
+than a near pair can have is refuted.
 
 Defined results: a null or blank text has an empty set and is linked with nothing; equal sets are one class
 whatever their texts; rows that repeat an id are one document (one row each in the result, linked by any of
@@ -29,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components, joined_components
 from tidemark.llm.files import shared_dir, written
-from tidemark.llm.textscan import SPACES, WordScanner, binary_array, column_bytes, mix, shingles, slices
+from tidemark.llm.textscan import SPACES, WordScanner, binary_array, column_bytes, mix, ragged_array, shingles, slices
 
 HASHES = 256
 #: Of these the first half makes the trees' keys.
@@ -44,7 +49,11 @@ LIKELIEST, NEAREST = 4, 2
 #: Documents of a bucket on each side of a unit, about.
 UNIT = 2048
 #: Candidates that a document in a unit gives at first; where there are more, a later pass gives STEP times as many.
-FIRST, STEP = 8, 16
+FIRST, STEP = 512, 16
+#: Candidates of a document that are confirmed at first.
+AT_ONCE = 8
+#: Bits of a shingle that say which counter tells how rare it is: a byte for each of the counters goes to every task.
+SLOT_BITS = 18
 #: An id's place in the filter that spares texts without candidates a shuffle: a broadcast of at most so many ints.
 PLACES = 1 << 18
 
@@ -182,19 +191,73 @@ def _buckets(batches):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(m, t, np.int32)), pa.array(k1.copy()), *batch.columns[:3]], names=["tree", "k1", "id", "lo", "comp"])
 
 
+def _set_rows(width: int):
+    """A mapper from (id, text) to (id, lo, shingles): whole sets."""
+
+    def run(batches):
+        scanner = WordScanner(SPACES)
+        for batch in batches:
+            data, offsets = column_bytes(batch.column(1))
+            for i, j in slices(offsets):
+                sets, at = _sets(scanner, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(_digests(sets, at)[0]), ragged_array(sets, at)], names=["id", "lo", "shingles"])
+
+    return run
+
+
+def _tally(batches):
+    for batch in batches:
+        slot, n = np.unique(column_bytes(batch.column(0))[0].view(np.uint64) >> np.uint64(64 - SLOT_BITS), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(n)], names=["slot", "n"])
+
+
+def _ranks(sets: DataFrame) -> np.ndarray:
+    """A byte for each counter, larger where more shingles were met."""
+    got = sets.select("shingles").mapInArrow(_tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << SLOT_BITS, np.uint8)
+    out[got.column("slot").to_numpy()] = np.minimum(255, 6 * np.log2(1 + got.column("n").to_numpy()))
+    return out
+
+
+def _rarest(ranks: np.ndarray, percent: int):
+    """A mapper from (id, lo, shingles) to (id, lo, rare): the first of the set in the order of all shingles, as sorted keys."""
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = column_bytes(batch.column(2))
+            sets, begin = data.view(np.uint64), offsets // 8
+            n = np.diff(begin)
+            row = np.repeat(np.arange(len(n)), n)
+            keys = (ranks[(sets >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (mix(sets) >> np.uint64(8))
+            order = np.lexsort((keys, row))
+            most = np.where(n > 0, n + (-percent * n // 100) + 1, 0)
+            kept = order[np.arange(len(sets)) - begin[row] < most[row]]
+            at = np.zeros(len(n) + 1, np.int64)
+            np.cumsum(most, out=at[1:])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ragged_array(keys[kept], at)], names=["id", "lo", "rare"])
+
+    return run
+
+
 def _meet(percent: int, most: int):
-    """A mapper over rows of units (tree, k1, part, asks, id, lo, comp, major, n, sig), sorted by unit.
+    """A mapper over rows of units (tree, k1, part, asks, id, lo, comp, major, n, sig, rare), sorted by unit.
 
     Yields each asking document's likeliest ``most`` pairs (kind 0) of those that no earlier tree gives, and one row of kind 1 where there are more.
     """
     orders = _orders()[:, : DEPTH // 2]
     share = percent / 100
     # one bit of each value is a cheap first test, wide enough to lose nothing that the second would keep
-    least, bits = _least(share, HASHES), HASHES - _least((1 + share) / 2, HASHES, 6)
+    least, bits = _least(share, HASHES, 5.5), HASHES - _least((1 + share) / 2, HASHES, 6)
 
-    def unit(tree, asks, ids, lo, comp, major, n, sig):
+    def unit(tree, asks, ids, lo, comp, major, n, sig, rare, first):
         one = np.packbits((sig & 1).astype(np.uint8), axis=1).view(np.uint64)
         asking, told = np.flatnonzero(asks), np.flatnonzero(~asks)
+        owner = (np.cumsum(~asks) - 1).repeat(np.diff(first))
+        own = (~asks).repeat(np.diff(first))
+        tokens, owner = rare[own], owner[own]
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        last = rare[first[told + 1] - 1]
         out = []
         for i in range(0, len(asking), 128):
             x = asking[i : i + 128]
@@ -205,7 +268,16 @@ def _meet(percent: int, most: int):
             # of two that both ask, the one of the larger group number does
             near &= (comp[told] == major[told])[None, :] | (comp[x][:, None] > comp[told][None, :])
             small, large = np.minimum(n[x][:, None], n[told][None, :]), np.maximum(n[x][:, None], n[told][None, :])
-            p, q = np.nonzero(near & (100 * small >= percent * large))
+            near &= 100 * small >= percent * large
+            for r in np.flatnonzero(near.any(1)).tolist():
+                mine = rare[first[x[r]] : first[x[r] + 1]]
+                low, high = np.searchsorted(tokens, mine, "left"), np.searchsorted(tokens, mine, "right")
+                count = high - low
+                shared = np.bincount(owner[np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())], minlength=len(told))
+                common = -(-percent * (n[x[r]] + n[told]) // (100 + percent))  # that a near pair has at least
+                near[r] &= np.searchsorted(mine, last, "right") - shared <= n[x[r]] - common
+                near[r] &= np.bincount(owner[: np.searchsorted(tokens, mine[-1], "right")], minlength=len(told)) - shared <= n[told] - common
+            p, q = np.nonzero(near)
             for c in range(0, len(p), 1 << 12):
                 b, a = x[p[c : c + (1 << 12)]], told[q[c : c + (1 << 12)]]
                 equal = sig[a] == sig[b]
@@ -226,27 +298,32 @@ def _meet(percent: int, most: int):
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (kind[kept], ids[a], lo[a], ids[b], lo[b], same[kept].astype(np.int32))], names=["kind", "a", "lo_a", "b", "lo_b", "same"])
 
     def run(batches):
-        held = None
+        held, tail = None, None
+
+        def looked(cols, rare, first, at, cut):
+            got = unit(int(cols[0][at]), *[x[at:cut] for x in cols[3:]], rare[first[at] : first[cut]], first[at : cut + 1] - first[at])
+            if got is not None and got.num_rows:
+                yield got
+
         for batch in batches:
             if not batch.num_rows:
                 continue
             cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(9)]
             cols.append(column_bytes(batch.column(9))[0].view(np.uint16).reshape(-1, HASHES))
+            data, offsets = column_bytes(batch.column(10))
+            rare, first = data.view(np.uint64), offsets // 8
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols)]
+                rare, first = np.concatenate([tail[0], rare]), np.concatenate([tail[1], first[1:] + tail[1][-1]])
             tree, k1, part = cols[:3]
             cuts = np.flatnonzero((tree[1:] != tree[:-1]) | (k1[1:] != k1[:-1]) | (part[1:] != part[:-1])) + 1
             at = 0
             for cut in cuts.tolist():
-                got = unit(int(tree[at]), *[x[at:cut] for x in cols[3:]])
-                if got is not None and got.num_rows:
-                    yield got
+                yield from looked(cols, rare, first, at, cut)
                 at = cut
-            held = [x[at:].copy() for x in cols]
+            held, tail = [x[at:].copy() for x in cols], (rare[first[at] :].copy(), first[at:] - first[at])
         if held is not None:
-            got = unit(int(held[0][0]), *held[3:])
-            if got is not None and got.num_rows:
-                yield got
+            yield from looked(held, *tail, 0, len(held[0]))
 
     return run
 
@@ -276,6 +353,24 @@ def _confirm(width: int, percent: int):
     return run
 
 
+def _confirm_sets(percent: int):
+    """A mapper over (a, b, set_a, set_b) that keeps the pairs whose sets are near enough."""
+
+    def run(batches):
+        for batch in batches:
+            (da, oa), (db, ob) = column_bytes(batch.column(2)), column_bytes(batch.column(3))
+            sa, sb, oa, ob = da.view(np.uint64), db.view(np.uint64), oa // 8, ob // 8
+            keep = np.zeros(batch.num_rows, bool)
+            for r in range(batch.num_rows):
+                both = np.concatenate([sa[oa[r] : oa[r + 1]], sb[ob[r] : ob[r + 1]]])
+                both.sort(kind="stable")
+                common = int((both[1:] == both[:-1]).sum())
+                keep[r] = 100 * common >= percent * (len(both) - common)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
+
+    return run
+
+
 def _place(c: str):
     return F.pmod(F.xxhash64(c), F.lit(PLACES)).cast("int")
 
@@ -302,14 +397,16 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).drop("_a", "_b")
 
 
-def _settled(docs: DataFrame, queue: DataFrame, roots: DataFrame, width: int, percent: int, at: str) -> DataFrame:
+def _settled(sets: DataFrame, queue: DataFrame, roots: DataFrame, percent: int, at: str) -> DataFrame:
     """``roots`` after every pair of ``queue`` (a, lo_a, b, lo_b, same) was confirmed, refuted or found in one group by other links."""
     rank = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("same"), "a", "lo_a", "lo_b"))
     left = written(queue.withColumn("rank", rank).drop("same"), f"{at}/queue")
-    most = 1
+    most = AT_ONCE
     while (top := left.agg(F.max("rank")).first()[0]) is not None:
-        now = left.where(F.col("rank") <= most).select("a", "lo_a", "b", "lo_b")
-        fresh = written(_confirmed(docs, now, width, percent), f"{at}/links-{most}")
+        pairs = left.where(F.col("rank") <= most).select("a", "lo_a", "b", "lo_b")
+        for end in ("a", "b"):
+            pairs = pairs.join(sets.select(F.col("id").alias(end), F.col("lo").alias(f"lo_{end}"), F.col("shingles").alias(f"set_{end}")), [end, f"lo_{end}"])
+        fresh = written(pairs.select("a", "b", "set_a", "set_b").mapInArrow(_confirm_sets(percent), "a long, b long"), f"{at}/links-{most}")
         if not fresh.isEmpty():
             roots = joined_components(roots, fresh, f"{at}/components-{most}")
         if top <= most:
@@ -321,7 +418,7 @@ def _settled(docs: DataFrame, queue: DataFrame, roots: DataFrame, width: int, pe
 
 def _bucket_links(docs: DataFrame, classes: DataFrame, roots: DataFrame, width: int, percent: int, at: str) -> DataFrame:
     """``roots`` when no bucket holds an unconfirmed candidate that joins two groups."""
-    most, seen = FIRST, None
+    most, seen, crowd, sets = FIRST, None, None, None
     while True:
         here = f"{at}/meet-{most}"
         rows = _grouped(classes.select("id", "lo", "sig"), roots).select("id", "lo", "comp", "sig")
@@ -330,25 +427,28 @@ def _bucket_links(docs: DataFrame, classes: DataFrame, roots: DataFrame, width:
         mixed = groups.agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("major"), F.count("*").alias("groups")).where("groups > 1")
         mixed = written(mixed.select("tree", "k1", F.col("major.comp").alias("major"), F.ceil(F.col("m") / UNIT).cast("int").alias("gm"), F.ceil((F.col("m") - F.col("major.c")) / UNIT).cast("int").alias("ga")), f"{here}/mixed")
         met = written(lain.join(mixed, ["tree", "k1"]), f"{here}/met")
+        if crowd is None:
+            # groups only grow: what is in no mixed bucket now will be in none
+            ends = written(met.select("id", "lo").distinct(), f"{at}/ends")
+            places = ends.select(_place("id").alias("place")).distinct()
+            some = docs.withColumn("place", _place("id")).join(F.broadcast(places), "place", "left_semi").join(ends.select("id").distinct(), "id", "left_semi")
+            sets = written(some.select("id", "text").mapInArrow(_set_rows(width), "id long, lo long, shingles binary").dropDuplicates(["id", "lo"]), f"{at}/sets")
+            rare = sets.mapInArrow(_rarest(_ranks(sets), percent), "id long, lo long, rare binary")
+            classes = crowd = written(classes.join(ends, ["id", "lo"], "left_semi").join(rare, ["id", "lo"]).select("id", "lo", "n", "sig", "rare"), f"{at}/crowd")
         # part = the asking side's share of the bucket times gm, and the answering side's
         told = met.select("*", F.lit(False).alias("asks"), F.explode(F.expr("transform(sequence(0, ga - 1), x -> x * gm + cast(pmod(xxhash64(lo, 1), gm) as int))")).alias("part"))
         asking = met.where("comp <> major").select("*", F.lit(True).alias("asks"), F.explode(F.expr("transform(sequence(0, gm - 1), y -> cast(pmod(xxhash64(lo, 2), ga) as int) * gm + y)")).alias("part"))
-        places = met.select(_place("id").alias("place")).distinct()
-        some = classes.withColumn("place", _place("id")).join(F.broadcast(places), "place", "left_semi").select("id", "lo", "n", "sig")
-        units = told.union(asking).join(some, ["id", "lo"]).select("tree", "k1", "part", "asks", "id", "lo", "comp", "major", "n", "sig")
+        units = told.union(asking).join(crowd, ["id", "lo"]).select("tree", "k1", "part", "asks", "id", "lo", "comp", "major", "n", "sig", "rare")
         units = units.repartition("tree", "k1", "part").sortWithinPartitions("tree", "k1", "part")
         looked = written(units.mapInArrow(_meet(percent, most), "kind int, a long, lo_a long, b long, lo_b long, same int"), f"{here}/looked")
         queue = looked.where("kind = 0").drop("kind").withColumns({"x": F.least("lo_a", "lo_b"), "y": F.greatest("lo_a", "lo_b")})
         if seen is not None:
             queue = queue.join(seen, ["x", "y"], "left_anti")
-        roots = _settled(docs, queue.drop("x", "y"), roots, width, percent, here)
+        roots = _settled(sets, queue.drop("x", "y"), roots, percent, here)
         if looked.where("kind = 1").isEmpty():
             return roots
         now = looked.where("kind = 0").select(F.least("lo_a", "lo_b").alias("x"), F.greatest("lo_a", "lo_b").alias("y"))
         seen = now if seen is None else seen.union(now)
-        if most == FIRST:
-            # groups only grow: what is in no mixed bucket now will be in none
-            classes = written(some.join(met.select("id", "lo").distinct(), ["id", "lo"], "left_semi"), f"{at}/crowd")
         most *= STEP
 
 

@@ -58,6 +58,12 @@ def binary_array(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
+def ragged_array(values: np.ndarray, begin: np.ndarray) -> pa.Array:
+    """A binary column whose row k holds ``values[begin[k] : begin[k + 1]]``."""
+    offsets = (begin * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(begin) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
 class WordScanner:
     """Finds the maximal runs of word bytes and hashes them, A-Z as a-z if ``fold``.
 
