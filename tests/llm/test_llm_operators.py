@@ -280,7 +280,7 @@ def test_a_slice_with_more_pieces_than_are_remembered(monkeypatch):
 
 def test_a_document_asks_all_members_of_a_group(spark, monkeypatch):
     monkeypatch.setattr(lshforest, "UNIT", 8)
-    monkeypatch.setattr(lshforest, "FIRST", 2)
+    monkeypatch.setattr(lshforest, "AT_ONCE", 2)
     rng = np.random.default_rng(5)
     base = [f"w{k}" for k in range(600)]
     members = [_changed(rng, base, 10) for _ in range(40)]

@@ -48,10 +48,8 @@ SKETCH = 64
 LIKELIEST, NEAREST = 4, 2
 #: Documents of a bucket on each side of a unit, about.
 UNIT = 2048
-#: Candidates that a document in a unit gives at first; where there are more, a later pass gives STEP times as many.
-FIRST, STEP = 512, 16
-#: Candidates of a document that are confirmed at first.
-AT_ONCE = 8
+#: Candidates of a document that are confirmed at once, the likeliest first; then STEP times as many, until none is left.
+AT_ONCE, STEP = 8, 16
 #: Bits of a shingle that say which counter tells how rare it is: a byte for each of the counters goes to every task.
 SLOT_BITS = 18
 #: An id's place in the filter that spares texts without candidates a shuffle: a broadcast of at most so many ints.
@@ -239,10 +237,10 @@ def _rarest(ranks: np.ndarray, percent: int):
     return run
 
 
-def _meet(percent: int, most: int):
+def _meet(percent: int):
     """A mapper over rows of units (tree, k1, part, asks, id, lo, comp, major, n, sig, rare), sorted by unit.
 
-    Yields each asking document's likeliest ``most`` pairs (kind 0) of those that no earlier tree gives, and one row of kind 1 where there are more.
+    Yields the pairs of each asking document that pass both tests and that no earlier tree gives.
     """
     orders = _orders()[:, : DEPTH // 2]
     share = percent / 100
@@ -258,7 +256,6 @@ def _meet(percent: int, most: int):
         order = np.argsort(tokens, kind="stable")
         tokens, owner = tokens[order], owner[order]
         last = rare[first[told + 1] - 1]
-        out = []
         for i in range(0, len(asking), 128):
             x = asking[i : i + 128]
             unlike = np.zeros((len(x), len(told)), np.uint16)
@@ -285,25 +282,15 @@ def _meet(percent: int, most: int):
                 keep = same >= least
                 if tree:
                     keep &= ~equal[:, orders[:tree]].all(2).any(1)
-                out.append((a[keep], b[keep], same[keep]))
-        if not out:
-            return None
-        a, b, same = (np.concatenate(x) for x in zip(*out))
-        order = np.lexsort((ids[a], -same, b))
-        a, b, same = a[order], b[order], same[order]
-        place = np.arange(len(b)) - np.searchsorted(b, b)
-        kind = (place == most).astype(np.int32)
-        kept = place <= most
-        a, b = a[kept], b[kept]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (kind[kept], ids[a], lo[a], ids[b], lo[b], same[kept].astype(np.int32))], names=["kind", "a", "lo_a", "b", "lo_b", "same"])
+                a, b, same = a[keep], b[keep], same[keep]
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in (ids[a], lo[a], ids[b], lo[b], same.astype(np.int32))], names=["a", "lo_a", "b", "lo_b", "same"])
 
     def run(batches):
         held, tail = None, None
 
         def looked(cols, rare, first, at, cut):
-            got = unit(int(cols[0][at]), *[x[at:cut] for x in cols[3:]], rare[first[at] : first[cut]], first[at : cut + 1] - first[at])
-            if got is not None and got.num_rows:
-                yield got
+            yield from unit(int(cols[0][at]), *[x[at:cut] for x in cols[3:]], rare[first[at] : first[cut]], first[at : cut + 1] - first[at])
 
         for batch in batches:
             if not batch.num_rows:
@@ -418,38 +405,26 @@ def _settled(sets: DataFrame, queue: DataFrame, roots: DataFrame, percent: int,
 
 def _bucket_links(docs: DataFrame, classes: DataFrame, roots: DataFrame, width: int, percent: int, at: str) -> DataFrame:
     """``roots`` when no bucket holds an unconfirmed candidate that joins two groups."""
-    most, seen, crowd, sets = FIRST, None, None, None
-    while True:
-        here = f"{at}/meet-{most}"
-        rows = _grouped(classes.select("id", "lo", "sig"), roots).select("id", "lo", "comp", "sig")
-        lain = written(rows.mapInArrow(_buckets, "tree int, k1 long, id long, lo long, comp long"), f"{here}/lain")
-        groups = lain.groupBy("tree", "k1", "comp").agg(F.count("*").alias("c")).groupBy("tree", "k1")
-        mixed = groups.agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("major"), F.count("*").alias("groups")).where("groups > 1")
-        mixed = written(mixed.select("tree", "k1", F.col("major.comp").alias("major"), F.ceil(F.col("m") / UNIT).cast("int").alias("gm"), F.ceil((F.col("m") - F.col("major.c")) / UNIT).cast("int").alias("ga")), f"{here}/mixed")
-        met = written(lain.join(mixed, ["tree", "k1"]), f"{here}/met")
-        if crowd is None:
-            # groups only grow: what is in no mixed bucket now will be in none
-            ends = written(met.select("id", "lo").distinct(), f"{at}/ends")
-            places = ends.select(_place("id").alias("place")).distinct()
-            some = docs.withColumn("place", _place("id")).join(F.broadcast(places), "place", "left_semi").join(ends.select("id").distinct(), "id", "left_semi")
-            sets = written(some.select("id", "text").mapInArrow(_set_rows(width), "id long, lo long, shingles binary").dropDuplicates(["id", "lo"]), f"{at}/sets")
-            rare = sets.mapInArrow(_rarest(_ranks(sets), percent), "id long, lo long, rare binary")
-            classes = crowd = written(classes.join(ends, ["id", "lo"], "left_semi").join(rare, ["id", "lo"]).select("id", "lo", "n", "sig", "rare"), f"{at}/crowd")
-        # part = the asking side's share of the bucket times gm, and the answering side's
-        told = met.select("*", F.lit(False).alias("asks"), F.explode(F.expr("transform(sequence(0, ga - 1), x -> x * gm + cast(pmod(xxhash64(lo, 1), gm) as int))")).alias("part"))
-        asking = met.where("comp <> major").select("*", F.lit(True).alias("asks"), F.explode(F.expr("transform(sequence(0, gm - 1), y -> cast(pmod(xxhash64(lo, 2), ga) as int) * gm + y)")).alias("part"))
-        units = told.union(asking).join(crowd, ["id", "lo"]).select("tree", "k1", "part", "asks", "id", "lo", "comp", "major", "n", "sig", "rare")
-        units = units.repartition("tree", "k1", "part").sortWithinPartitions("tree", "k1", "part")
-        looked = written(units.mapInArrow(_meet(percent, most), "kind int, a long, lo_a long, b long, lo_b long, same int"), f"{here}/looked")
-        queue = looked.where("kind = 0").drop("kind").withColumns({"x": F.least("lo_a", "lo_b"), "y": F.greatest("lo_a", "lo_b")})
-        if seen is not None:
-            queue = queue.join(seen, ["x", "y"], "left_anti")
-        roots = _settled(sets, queue.drop("x", "y"), roots, percent, here)
-        if looked.where("kind = 1").isEmpty():
-            return roots
-        now = looked.where("kind = 0").select(F.least("lo_a", "lo_b").alias("x"), F.greatest("lo_a", "lo_b").alias("y"))
-        seen = now if seen is None else seen.union(now)
-        most *= STEP
+    rows = _grouped(classes.select("id", "lo", "sig"), roots).select("id", "lo", "comp", "sig")
+    lain = written(rows.mapInArrow(_buckets, "tree int, k1 long, id long, lo long, comp long"), f"{at}/lain")
+    several = lain.groupBy("tree", "k1").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("tree", "k1")
+    met = written(lain.join(several, ["tree", "k1"]), f"{at}/met")
+    groups = met.groupBy("tree", "k1", "comp").agg(F.count("*").alias("c")).groupBy("tree", "k1").agg(F.sum("c").alias("m"), F.max("c").alias("c"), F.max_by("comp", "c").alias("major"))
+    mixed = written(groups.select("tree", "k1", "major", F.ceil(F.col("m") / UNIT).cast("int").alias("gm"), F.ceil((F.col("m") - F.col("c")) / UNIT).cast("int").alias("ga")), f"{at}/mixed")
+    met = met.join(mixed, ["tree", "k1"])
+    ends = written(met.select("id", "lo").distinct(), f"{at}/ends")
+    places = ends.select(_place("id").alias("place")).distinct()
+    some = docs.withColumn("place", _place("id")).join(F.broadcast(places), "place", "left_semi").join(ends.select("id").distinct(), "id", "left_semi")
+    sets = written(some.select("id", "text").mapInArrow(_set_rows(width), "id long, lo long, shingles binary").dropDuplicates(["id", "lo"]), f"{at}/sets")
+    rare = sets.mapInArrow(_rarest(_ranks(sets), percent), "id long, lo long, rare binary")
+    crowd = written(classes.join(ends, ["id", "lo"], "left_semi").join(rare, ["id", "lo"]).select("id", "lo", "n", "sig", "rare"), f"{at}/crowd")
+    # part = the asking side's share of the bucket times gm, and the answering side's
+    told = met.select("*", F.lit(False).alias("asks"), F.explode(F.expr("transform(sequence(0, ga - 1), x -> x * gm + cast(pmod(xxhash64(lo, 1), gm) as int))")).alias("part"))
+    asking = met.where("comp <> major").select("*", F.lit(True).alias("asks"), F.explode(F.expr("transform(sequence(0, gm - 1), y -> cast(pmod(xxhash64(lo, 2), ga) as int) * gm + y)")).alias("part"))
+    units = told.union(asking).join(crowd, ["id", "lo"]).select("tree", "k1", "part", "asks", "id", "lo", "comp", "major", "n", "sig", "rare")
+    units = units.repartition("tree", "k1", "part").sortWithinPartitions("tree", "k1", "part")
+    looked = written(units.mapInArrow(_meet(percent), "a long, lo_a long, b long, lo_b long, same int"), f"{at}/looked")
+    return _settled(sets, looked, roots, percent, at)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -485,7 +460,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             roots = connected_components(own.union(fresh), f"{at}/components-{k}")
         elif not fresh.isEmpty():
             roots = joined_components(roots, fresh, f"{at}/components-{k}")
-    roots = _bucket_links(docs, classes.select("id", "n", "lo", "sig"), roots, width, percent, at)
+    roots = _bucket_links(docs, classes.select("id", "n", "lo", "sig"), roots, width, percent, f"{at}/buckets")
     found = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("n", "lo", "hi", F.coalesce("root", "id").alias("root"))
     return (
         signed.select("id", "n", "lo", "hi").join(found, ["n", "lo", "hi"], "left")
