@@ -1,34 +1,44 @@
 """Mixing sources to target weights, with DataFrame and SQL functions only.
 
-Every source's documents are laid on a line of words, once in each of two permuted orders (a source may be read
-twice). The line up to the source's target is cut into blocks of equal width. A splitting tree over the output shards
-divides the sources' block quotas: at each node the left half's blocks are drawn without replacement from all
-of the node's blocks, so the split is multivariate hypergeometric and the quotas stay exact. A source's blocks, permuted
-again, are dealt to the shards by those counts, and each shard orders what it holds by a local key.
-
-Orders come from MD5 of id and size, so reruns agree on any cluster. Running sums are taken inside buckets of a
-source and added up over buckets: no task holds a whole source. The tree works on counts, whose number depends on
-shards and sources and not on the documents.
-
-Defined results: a null text has size 0 and is never taken; a null source is a source, sorted last; null and
-repeated ids are rows of their own; other columns are ignored; an empty table gives no rows.
+Every source's documents are laid on a line of words, once for each time that the source may be read, in an order of its
+own. The line up to the source's target is cut into blocks of equal width; a document is whole in the block in which it
+begins. A splitting tree over the output shards divides the sources' block quotas: at each node half of the node's blocks,
+drawn without replacement, go left, so the split is multivariate hypergeometric and the quotas stay exact. A source's blocks,
+permuted again, are dealt to the shards by those counts, and each shard is read in an order of its own. ``mixed_rows``
+gives the documents dealt by shard and in that order, so a writer leaves a file for each shard.
+
+The document that reaches over the target is taken whole, and one document of the last reading is left out if that
+brings the source nearer to its target.
+
+Orders come from MD5 of id and text, so reruns agree on any cluster. The documents are read once for sizes and hashes; what
+follows works on that small table. Running sums are taken inside buckets of a source and added up over buckets: no task
+holds a whole source. The tree holds a row for each block; there are at most ``blocks`` << MOST_LEVELS, whatever the input.
+
+Defined results: a null or blank text has size 0 and is never taken; a null source is a source, sorted last; null and
+repeated ids are rows of their own, repeated rows too; very long texts are taken whole like others; other columns are
+ignored by ``mixed_documents`` and kept by ``mixed_rows``, whatever their names (but for names that begin with _mix); an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.files import shared_dir, written
+
 WORD = r"[^\x20\x09-\x0D]+"
-#: Hex digits of the permuting hash that make a bucket of running sums.
-BUCKET_DIGITS = 3
+#: A mix of at most WORDS_ONE words is one shard; four times as many words make twice as many shards, up to 2 ** MOST_LEVELS.
+WORDS_ONE, MOST_LEVELS = 1 << 16, 14
+#: Rows of a bucket of running sums, about, and the most hex digits that name a bucket.
+BUCKET_ROWS, MOST_DIGITS = 256, 4
 
 
 def target_words(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share_percent: int = 150, repeat: int = 2) -> DataFrame:
     """Targets of sources (columns key, source, z): adds w and target.
 
     Sources by code point, null last, take the weights in turn; targets share ``share_percent`` of all words and
-    stop at ``repeat`` times a source's own, what is over being shared again by weight.
+    stop at ``repeat`` times a source's own, what is over being shared again by weight. The windows hold a row for each source.
     """
     every = Window.partitionBy().orderBy(F.asc_nulls_last("source")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(Window.partitionBy().orderBy(F.asc_nulls_last("source"))) - 1) % len(weights) + 1).cast("int"))
@@ -46,95 +56,106 @@ def target_words(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share_p
     return rows.withColumn("target", target).select("key", "source", "z", "w", "target")
 
 
+def _md5(*parts) -> Column:
+    return F.md5(F.concat_ws("|", *[p if isinstance(p, Column) else F.lit(p) for p in parts]).cast("binary"))
+
+
+def _named(c: Column) -> Column:
+    """A key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
+
+
 def split_tree(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
-    """Shares of 2 ** ``levels`` shards in exact quotas (columns key, n): rows (shard, key, n) with n > 0."""
-    nodes = quotas.where("n > 0").agg(F.array_sort(F.collect_list(F.struct("key", "n"))).alias("held")).select(F.lit(0).cast("long").alias("node"), "held")
+    """Shares of 2 ** ``levels`` shards in exact quotas (columns key, n): rows (shard, key, n) with n > 0.
+
+    A node's left half are the blocks with the smallest hashes of (seed, level, node, key, number).
+    """
+    nodes = quotas.where("n > 0").select(F.lit(0).cast("long").alias("node"), "key", "n")
     for level in range(levels):
-        total = "aggregate(held, 0L, (t, x) -> t + x.n)"
-        draw = f"""aggregate(held,
-            named_struct('n', {total}, 'l', ({total} + pmod(xxhash64({seed}, {level}, node), 2)) div 2, 'out', cast(array() as array<struct<key: string, a: bigint, b: bigint>>)),
-            (s, x) -> aggregate(sequence(1L, x.n), named_struct('n', s.n, 'l', s.l, 'g', 0L),
-                (q, i) -> if(pmod(xxhash64({seed}, {level}, node, x.key, i), q.n) < q.l, named_struct('n', q.n - 1, 'l', q.l - 1, 'g', q.g + 1), named_struct('n', q.n - 1, 'l', q.l, 'g', q.g)),
-                q -> named_struct('n', q.n, 'l', q.l, 'out', concat(s.out, array(named_struct('key', x.key, 'a', q.g, 'b', x.n - q.g))))),
-            s -> s.out)"""
-        side = "filter(transform(parts, x -> named_struct('key', x.key, 'n', x.{0})), x -> x.n > 0)"
-        both = f"explode(array(named_struct('node', node * 2, 'held', {side.format('a')}), named_struct('node', node * 2 + 1, 'held', {side.format('b')}))) as c"
-        nodes = nodes.selectExpr("node", f"{draw} as parts").selectExpr(both).select("c.node", "c.held")
-        nodes = nodes.repartition("node") if level == levels // 2 else nodes
-    return nodes.select(F.col("node").alias("shard"), F.explode("held").alias("x")).select("shard", "x.key", "x.n")
-
-
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share_percent: int = 150, levels: int = 6, blocks: int = 64, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
-    """(documents, pieces) of a mix into 2 ** ``levels`` shards of about ``blocks`` blocks each.
-
-    documents: one row for each row of ``docs``: (id, source, key, size, source_size, target, line), where line is the
-    place of the first word in the source's first order. pieces: (key, line, id, epoch, shard, block, begin, words,
-    order_key), the words [begin, begin + words) of a document that a shard holds; a shard is read by order_key.
+        order = Window.partitionBy("node").orderBy("draw", "key", "i")
+        draw = _md5(seed, "split", level, F.col("node"), F.col("key"), F.col("i"))
+        blocks = nodes.select("node", "key", F.explode(F.expr("sequence(1L, n)")).alias("i")).withColumn("draw", draw)
+        left = F.row_number().over(order) <= F.floor((F.count("*").over(Window.partitionBy("node")) + 1) / 2)
+        halves = blocks.withColumn("left", left).groupBy("node", "key").agg(F.count_if("left").alias("a"), F.count_if(~F.col("left")).alias("b"))
+        both = F.array(*[F.struct((F.col("node") * 2 + k).alias("node"), "key", F.col(c).alias("n")) for k, c in enumerate("ab")])
+        nodes = halves.select(F.explode(both).alias("x")).select("x.*").where("n > 0")
+    return nodes.withColumnRenamed("node", "shard")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share_percent: int = 150, repeat: int = 2, blocks: int = 64, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame, int]:
+    """(documents, drawn, shards) of a mix into ``shards`` shards of about ``blocks`` blocks each.
+
+    documents: one row for each row of ``docs``: (id, source, key, size, th, copy, source_size, target); th is the text's
+    hash and copy numbers the rows that are alike in id, source and text. drawn: a row for each time that a document is
+    taken: (key, id, th, copy, size, epoch, block, shard, order_key); a shard is read by order_key.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    rows = rows.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")))
-    for e in range(2):
-        place = F.md5(F.concat_ws("|", F.lit(seed), F.lit(e), F.coalesce(F.col("id").cast("string"), F.lit("~")), "size").cast("binary"))
-        rows = rows.withColumn(f"h{e}", place)
-    bucket = F.substring("h0", 1, BUCKET_DIGITS)
-    sums = rows.groupBy("key", "source", bucket.alias("b0")).agg(F.sum("size").alias("words"))
-    sources = target_words(sums.groupBy("key", "source").agg(F.sum("words").alias("z")), weights, share_percent)
-    sources = sources.withColumn("t", F.least(F.round("target").cast("long"), F.col("z") * 2))
-    width = F.greatest(F.lit(1), F.ceil(F.sum("t").over(Window.partitionBy()) / (blocks << levels))).cast("long")
-    sources = sources.withColumn("width", width).withColumn("n", F.ceil(F.col("t") / F.col("width")).cast("long"))
-    for e in range(2):
-        part = rows.groupBy("key", F.substring(f"h{e}", 1, BUCKET_DIGITS).alias(f"b{e}")).agg(F.sum("size").alias("words"))
-        start = F.sum("words").over(Window.partitionBy("key").orderBy(f"b{e}")) - F.col("words")
-        part = part.select("key", f"b{e}", start.alias(f"start{e}"))
-        if e == 0:
-            part = part.join(sources.select("key", "z", "target", "t", "width"), "key")
-        inside = Window.partitionBy("key", f"b{e}").orderBy(f"h{e}", "id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        rows = rows.withColumn(f"b{e}", F.substring(f"h{e}", 1, BUCKET_DIGITS)).join(part, ["key", f"b{e}"])
-        rows = rows.withColumn(f"at{e}", F.col(f"start{e}") + F.sum("size").over(inside) - F.col("size"))
-    ranks = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64(F.lit(seed), "key", "block"), "block")) - 1
-    blocks_of = sources.where("n > 0").select("key", F.explode(F.expr("sequence(0L, n - 1)")).alias("block")).withColumn("rank", ranks.cast("long"))
-    shares = split_tree(sources.select("key", "n"), levels, seed)
+    at = shared_dir(docs.sparkSession, "mix")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("th"))
+    alike = rows.groupBy("id", "source", "size", "th").agg(F.count("*").alias("m"))
+    rows = written(alike.select("id", "source", _named(F.col("source")).alias("key"), "size", "th", F.explode(F.expr("sequence(1L, m)")).alias("copy")), f"{at}/rows")
+    sources = target_words(rows.groupBy("key", "source").agg(F.sum("size").alias("z")), weights, share_percent, repeat)
+    sources = written(sources.withColumn("t", F.least(F.round("target").cast("long"), F.col("z") * repeat)), f"{at}/sources")
+    n, total = rows.count(), sources.agg(F.sum("t")).first()[0] or 0
+    digits = next((k for k in range(1, MOST_DIGITS) if BUCKET_ROWS * 16**k >= n), MOST_DIGITS)
+    levels = next((k for k in range(MOST_LEVELS) if WORDS_ONE * 4**k >= total), MOST_LEVELS)
+    width = max(1, -(-total // (blocks << levels)))
+
+    # a row for each reading of a document, with its hash and the place of its first word on the source's line
+    known = sources.where("t > 0").select("key", "z", "t")
+    items = rows.where("size > 0").select("key", "id", "th", "copy", "size", F.explode(F.array(*map(F.lit, range(repeat)))).alias("epoch"))
+    items = items.withColumn("h", _md5(seed, F.col("epoch"), F.coalesce(F.col("id").cast("string"), F.lit("~")), F.col("th"))).withColumn("b", F.substring("h", 1, digits))
+    sums = items.groupBy("key", "epoch", "b").agg(F.sum("size").alias("words"))
+    sums = sums.withColumn("start", F.sum("words").over(Window.partitionBy("key", "epoch").orderBy("b")) - F.col("words")).drop("words")
+    inside = Window.partitionBy("key", "epoch", "b").orderBy("h", "copy").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    items = items.withColumn("upto", F.sum("size").over(inside)).join(sums, ["key", "epoch", "b"]).join(known, "key")
+    items = items.withColumn("from", F.col("start") + F.col("upto") - F.col("size") + F.col("epoch") * F.col("z")).where("from < t")
+    items = written(items.select("key", "id", "th", "copy", "size", "epoch", "h", "from", "t"), f"{at}/items")
+
+    # over: words beyond the target; the document of the last reading whose size is nearest to that goes, if it helps
+    ends = items.groupBy("key").agg((F.max(F.col("from") + F.col("size")) - F.first("t")).alias("over"), F.max("epoch").alias("epoch"))
+    far = F.abs(F.col("size") - F.col("over"))
+    gone = items.join(ends, ["key", "epoch"]).groupBy("key").agg(F.min(F.struct(far.alias("far"), "h", "copy", "epoch")).alias("x"), F.first("over").alias("over")).where("x.far < over")
+    gone = gone.select("key", "x.epoch", "x.h", "x.copy")
+    ranks = F.row_number().over(Window.partitionBy("key").orderBy(_md5(seed, "block", F.col("key"), F.col("block")), "block")) - 1
+    quotas = sources.select("key", F.ceil(F.col("t") / width).cast("long").alias("n")).where("n > 0")
+    blocks_of = quotas.select("key", F.explode(F.expr("sequence(0L, n - 1)")).alias("block")).withColumn("rank", ranks.cast("long"))
     upto = F.sum("n").over(Window.partitionBy("key").orderBy("shard"))
-    dealt = shares.withColumn("upto", upto).select("shard", "key", F.explode(F.expr("sequence(upto - n, upto - 1)")).alias("rank"))
+    dealt = split_tree(quotas, levels, seed).withColumn("upto", upto).select("shard", "key", F.explode(F.expr("sequence(upto - n, upto - 1)")).alias("rank"))
     dealt = dealt.join(blocks_of, ["key", "rank"]).select("key", "block", "shard")
-    lines = F.explode(F.array(*[F.struct(F.lit(e).alias("epoch"), (F.col(f"at{e}") + e * F.col("z")).alias("from")) for e in range(2)]))
-    pieces = rows.where("size > 0").select("key", "id", "size", "t", "width", F.col("at0").alias("line"), lines.alias("e")).select("*", "e.*").drop("e").where(F.col("from") < F.col("t"))
-    stop = F.least(F.col("from") + F.col("size"), F.col("t"))
-    pieces = pieces.withColumn("stop", stop).withColumn("block", F.explode(F.expr("sequence(from div width, (stop - 1) div width)")))
-    begin = F.greatest("from", F.col("block") * F.col("width"))
-    pieces = pieces.select("key", "line", "id", "epoch", "block", (begin - F.col("from")).alias("begin"), (F.least("stop", (F.col("block") + 1) * F.col("width")) - begin).alias("words"))
-    pieces = pieces.join(dealt, ["key", "block"]).withColumn("order_key", F.xxhash64(F.lit(seed), "shard", "key", "block", "line", "epoch"))
-    documents = rows.select("id", "source", "key", "size", F.col("z").alias("source_size"), "target", F.col("at0").alias("line"))
-    return documents, pieces
+    drawn = items.join(gone, ["key", "epoch", "h", "copy"], "left_anti").withColumn("block", F.expr(f"from div {width}")).join(dealt, ["key", "block"])
+    order_key = _md5(seed, "order", F.col("shard"), F.col("key"), F.coalesce(F.col("id").cast("string"), F.lit("~")), F.col("th"), F.col("epoch"), F.col("copy"))
+    drawn = drawn.select("key", "id", "th", "copy", "size", "epoch", "block", "shard", order_key.alias("order_key"))
+    documents = rows.join(sources.select("key", F.col("z").alias("source_size"), "target"), "key")
+    return documents, drawn, 1 << levels
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """One row for each row of ``docs``: (id_col, source, size, source_size, target, taken, shards), from the drawn pieces."""
-    documents, pieces = mix(docs, id_col=id_col, **options)
-    taken = pieces.groupBy("key", "line").agg(F.sum("words").alias("words"), F.countDistinct("shard").alias("shards"))
-    rows = documents.join(taken, ["key", "line"], "left")
-    some = F.col("size") > 0
-    return rows.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", F.when(some, F.coalesce("words", F.lit(0))).otherwise(0).cast("long").alias("taken"), F.when(some, F.coalesce("shards", F.lit(0))).otherwise(0).cast("long").alias("shards"))
+    """One row for each row of ``docs``: (id_col, source, size, source_size, target, taken, places).
+
+    places lists where the document went, as shard:place in the shard's order, joined by commas.
+    """
+    documents, drawn, _ = mix(docs, id_col=id_col, **options)
+    place = F.row_number().over(Window.partitionBy("shard").orderBy("order_key"))
+    taken = drawn.withColumn("i", _named(F.col("id"))).select("key", "i", "th", "copy", "size", "shard", place.alias("place")).groupBy("key", "i", "th", "copy")
+    taken = taken.agg(F.sum("size").alias("taken"), F.array_sort(F.collect_list(F.struct("shard", "place"))).alias("p"))
+    rows = documents.withColumn("i", _named(F.col("id"))).join(taken, ["key", "i", "th", "copy"], "left")
+    places = F.array_join(F.transform("p", lambda x: F.concat_ws(":", x["shard"].cast("string"), x["place"].cast("string"))), ",")
+    return rows.select(F.col("id").alias(id_col), "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce(places, F.lit("")).alias("places"))
 
 
-def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The mix as rows with the columns of ``docs``: one row for each time that a document is taken.
+def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix as rows with the columns of ``docs``: one whole row for each time that a document is taken.
 
-    A source's last document may be taken in part; its text then is its first words, and n_chars, if there, is anew.
+    Partition k holds shard k, in the shard's order.
     """
-    documents, pieces = mix(docs, id_col=id_col, text_col=text_col, **options)
-    taken = pieces.groupBy("key", "line", "epoch").agg(F.sum("words").alias("words"))
-    number = F.row_number().over(Window.partitionBy("id", "size").orderBy("line"))
-    drawn = documents.where("size > 0").withColumn("copy", number).join(taken, ["key", "line"])
-    drawn = drawn.select(F.col("id").alias("_mix_id"), F.col("size").alias("_mix_n"), F.col("copy").alias("_mix_c"), F.col("epoch").alias("_mix_e"), F.col("words").alias("_mix_w"))
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.withColumn("_mix_size", size).withColumn("_mix_copy", F.row_number().over(Window.partitionBy(id_col, "_mix_size").orderBy(F.xxhash64(text_col))))
-    # the difference keeps the copy's number out of the join keys, so both sides stay dealt by id and size
-    same = rows[id_col].eqNullSafe(drawn["_mix_id"]) & (rows["_mix_size"] == drawn["_mix_n"]) & (rows["_mix_copy"] - drawn["_mix_c"] == 0)
-    rows = rows.join(drawn, same)
-    cut = F.col("_mix_w") < F.col("_mix_size")
-    first = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), F.col("_mix_w").cast("int")), "")
-    rows = rows.withColumn(text_col, F.when(cut, first).otherwise(F.col(text_col)))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(cut, F.char_length(text_col)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    _, drawn, shards = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    drawn = drawn.select(_named(F.col("id")).alias("_mix_i"), F.col("key").alias("_mix_key"), F.col("th").alias("_mix_th"), F.col("copy").alias("_mix_c"), F.col("shard").alias("_mix_shard"), F.col("order_key").alias("_mix_order"))
+    same = ["_mix_i", "_mix_key", "_mix_th"]
+    rest = [f.name for f in docs.schema if f.name not in (id_col, text_col, source_col) and f.dataType.typeName() not in ("map", "variant")]
+    number = F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in rest]) if rest else "_mix_th"))
+    rows = docs.withColumns({"_mix_i": _named(F.col(id_col)), "_mix_key": _named(F.col(source_col)), "_mix_th": F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))}).withColumn("_mix_n", number)
+    # the difference keeps the copy's number out of the join keys, so both sides stay dealt by id, source and text
+    alike = [rows[c] == drawn[c] for c in same]
+    rows = rows.join(drawn, [*alike, rows["_mix_n"] - drawn["_mix_c"] == 0])
+    rows = rows.select(*[rows[c] for c in docs.columns], "_mix_shard", "_mix_order")
+    return rows.repartitionById(shards, F.col("_mix_shard").cast("int")).sortWithinPartitions("_mix_order").select(*docs.columns)

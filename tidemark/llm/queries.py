@@ -120,24 +120,40 @@ def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mixed_documents(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "places")
 
 
-def _line(e: int) -> str:
-    return f"sum(size) OVER (PARTITION BY source ORDER BY md5(concat_ws('|', 7, {e}, coalesce(doc_id::VARCHAR, '~'), size)), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size"
+def _split_sql(level: int) -> str:
+    """One level of the splitting tree; levels from that of the mix on (q.levels) change nothing."""
+    return f"""n{level + 1} AS (SELECT node * 2 + side AS node, key, count(*) AS n FROM (SELECT node, key, CASE WHEN row_number() OVER (PARTITION BY node ORDER BY md5(concat_ws('|', 7, 'split', {level}, node, key, i)), key, i)
+  <= (count(*) OVER (PARTITION BY node) + 1) // 2 THEN 0 ELSE 1 END AS side FROM (SELECT node, key, unnest(range(1, n + 1)) AS i FROM n{level}, q WHERE {level} < levels)) GROUP BY ALL UNION ALL SELECT node, key, n FROM n{level}, q WHERE {level} >= levels)"""
 
 
+#: The tree is written out for so many levels: mixes of up to 65,536 * 4 ** 8 words.
+_SQL_LEVELS = 8
 _OP6_SQL = rf"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
-z AS (SELECT source, sum(size)::BIGINT AS z FROM d GROUP BY 1),
+WITH d AS (SELECT doc_id, source, coalesce('=' || source, '-') AS key, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(coalesce(text, '')) AS th, row_number() OVER (PARTITION BY doc_id, source, text) AS copy FROM documents),
+z AS (SELECT source, key, sum(size)::BIGINT AS z FROM d GROUP BY ALL),
 w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS w, (sum(z) OVER () * 150)::BIGINT AS total FROM z),
 o AS (SELECT *, coalesce(sum(2 * z) OVER (ORDER BY z / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before, (sum(w) OVER (ORDER BY z / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS rest,
   row_number() OVER (ORDER BY z / w, source NULLS LAST) AS rank FROM w),
 f AS (SELECT min(rank) AS rank FROM o WHERE (total - before * 100) * w <= z * 200 * rest),
-t AS (SELECT o.source, o.z, CASE WHEN o.rank < f.rank OR f.rank IS NULL THEN (2 * o.z)::DOUBLE ELSE (g.total - g.before * 100)::DOUBLE / 100 * o.w / g.rest END AS target FROM o CROSS JOIN f LEFT JOIN o g ON g.rank = f.rank),
-l AS (SELECT *, ({_line(0)})::BIGINT AS a, ({_line(1)})::BIGINT AS b FROM d),
-x AS (SELECT l.*, t.z, t.target, least(round(t.target)::BIGINT, 2 * t.z) AS t FROM l JOIN t ON l.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, z AS source_size, target, (greatest(0, least(a + size, t) - a) + greatest(0, least(b + size, t - z) - b))::BIGINT AS taken FROM x
+g AS (SELECT o.key, o.z, CASE WHEN o.rank < f.rank OR f.rank IS NULL THEN (2 * o.z)::DOUBLE ELSE (g.total - g.before * 100)::DOUBLE / 100 * o.w / g.rest END AS target FROM o CROSS JOIN f LEFT JOIN o g ON g.rank = f.rank),
+t AS (SELECT *, least(round(target)::BIGINT, 2 * z) AS t FROM g),
+q AS (SELECT levels, greatest(1, (total + (64 << levels) - 1) // (64 << levels)) AS width FROM (SELECT total, coalesce((SELECT min(k) FROM range(14) x(k) WHERE 65536 * 4 ** k >= total), 14)::BIGINT AS levels FROM (SELECT coalesce(sum(t), 0)::BIGINT AS total FROM t))),
+i AS (SELECT d.key, d.doc_id, d.th, d.copy, d.size, e, z, t, md5(concat_ws('|', 7, e, coalesce(doc_id::VARCHAR, '~'), th)) AS h FROM d JOIN t ON d.key = t.key, (SELECT unnest([0, 1]) AS e) WHERE size > 0),
+l AS (SELECT *, (sum(size) OVER (PARTITION BY key, e ORDER BY h, copy ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size)::BIGINT + e * z AS word FROM i),
+v AS (SELECT *, max(word + size) OVER (PARTITION BY key) - t AS beyond, max(e) OVER (PARTITION BY key) AS final FROM l WHERE word < t),
+k AS (SELECT *, e = final AND abs(size - beyond) < beyond AND row_number() OVER (PARTITION BY key ORDER BY e <> final, abs(size - beyond), h, copy) = 1 AS gone FROM v),
+n0 AS (SELECT 0::BIGINT AS node, key, (t + width - 1) // width AS n FROM t, q WHERE t > 0),
+{", ".join(map(_split_sql, range(_SQL_LEVELS)))},
+b AS (SELECT key, block, row_number() OVER (PARTITION BY key ORDER BY md5(concat_ws('|', 7, 'block', key, block)), block) - 1 AS rank FROM (SELECT key, unnest(range(n)) AS block FROM n0)),
+s AS (SELECT node AS shard, key, n, (sum(n) OVER (PARTITION BY key ORDER BY node))::BIGINT AS upto FROM n{_SQL_LEVELS}),
+c AS (SELECT k.key, k.doc_id, k.th, k.copy, k.size, s.shard, row_number() OVER (PARTITION BY s.shard ORDER BY md5(concat_ws('|', 7, 'order', s.shard, k.key, coalesce(k.doc_id::VARCHAR, '~'), k.th, k.e, k.copy))) AS place
+  FROM k JOIN b ON b.key = k.key AND b.block = k.word // (SELECT width FROM q) JOIN s ON s.key = b.key AND b.rank >= s.upto - s.n AND b.rank < s.upto WHERE NOT gone),
+x AS (SELECT key, doc_id, th, copy, sum(size)::BIGINT AS taken, string_agg(shard || ':' || place, ',' ORDER BY shard, place) AS places FROM c GROUP BY ALL)
+SELECT d.doc_id, d.size, t.z AS source_size, t.target, coalesce(x.taken, 0) AS taken, coalesce(x.places, '') AS places
+FROM d JOIN t USING (key) LEFT JOIN x ON x.key = d.key AND x.doc_id IS NOT DISTINCT FROM d.doc_id AND x.th = d.th AND x.copy = d.copy
 """
 
 
