@@ -6,8 +6,12 @@ each row carries the digest, shard, offset and length. Where several shards hold
 the smallest (shard, offset): every image has one address. Metadata columns come from a range read of the header
 alone; payload columns from a range read of the member.
 
+A digest that very many rows share is no hot key: rows find what is known of their image by the member that their own
+task wrote, of which each task has one, and only these members meet by digest.
+
 Defined results: a null text is empty and, like an empty one, 576 bytes of 255; equal texts have equal values and
-one address; ids may be null or repeated, each row gets a row; other columns are ignored; no rows give no shards.
+one address; very long texts are one image each; ids may be null or repeated, each row gets a row; other columns are
+ignored, whatever their names; no rows give no shards.
 """
 
 from __future__ import annotations
@@ -120,13 +124,20 @@ def _store(folder: str):
     return run
 
 
-def store_media(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the shards; one row for each row: (id, n_bytes, digest, shard, offset, length), a table in ``folder``."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+def store_media(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Write the shards; two tables in ``folder``.
+
+    Rows: (id, n_bytes, member, at), a row for each row of ``docs`` with the shard's file name and the offset that its task
+    wrote. Members: (member, at, digest, shard, offset, length), each with the one address that its digest has.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, digest binary, shard string, offset long, length long"
     raw = written(rows.mapInArrow(_store(f"{folder}/shards"), schema), f"{folder}/rows")
-    place = raw.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("p")).select("digest", "p.*")
-    return raw.select("id", "n_bytes", "digest").join(place, "digest").select("id", "n_bytes", "digest", "shard", "offset", "length")
+    member = F.regexp_extract("shard", "[^/]+$", 0)
+    own = raw.select("digest", "shard", "offset", "length").distinct()
+    place = own.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("p")).select("digest", "p.*")
+    members = own.select(member.alias("member"), F.col("offset").alias("at"), "digest").join(place, "digest")
+    return raw.select("id", "n_bytes", member.alias("member"), F.col("offset").alias("at")), written(members, f"{folder}/members")
 
 
 def _headers(batches):
@@ -165,7 +176,7 @@ def _payloads(batches):
 
 def _objects(stored: DataFrame) -> DataFrame:
     """Each address once, in the order of the shards, so that reads run forward."""
-    return stored.select("digest", "shard", "offset", "length").distinct().repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
+    return stored.where(F.col("shard").endswith(F.col("member")) & (F.col("offset") == F.col("at"))).select("digest", "shard", "offset", "length").repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
 
 
 def media_headers(stored: DataFrame) -> DataFrame:
@@ -181,7 +192,7 @@ def media_facts(stored: DataFrame) -> DataFrame:
 def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Store, read back, and one row for each row of ``docs`` with its address, header metadata and payload facts."""
     folder = shared_dir(docs.sparkSession, "media")
-    stored = written(store_media(docs, folder, id_col, text_col), f"{folder}/stored")
-    facts = media_facts(stored)
-    heads = media_headers(stored).withColumnRenamed("feature", "header")
-    return stored.join(heads, "digest").join(facts, "digest").select(F.col("id").alias(id_col), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "header", F.regexp_extract("shard", "[^/]+$", 0).alias("shard"), "offset", "length")
+    rows, members = store_media(docs, folder, id_col, text_col)
+    known = media_facts(members).join(media_headers(members).withColumnRenamed("feature", "header"), "digest")
+    known = members.join(known, "digest").drop("digest")
+    return rows.join(known, ["member", "at"]).select(F.col("id").alias(id_col), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "header", F.regexp_extract("shard", "[^/]+$", 0).alias("shard"), "offset", "length")
