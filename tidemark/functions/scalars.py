@@ -94,15 +94,18 @@ def promo_multiplier(is_promo: Column, discount: Column) -> Column:
     return F.when(~is_promo, 1.0).when(F.coalesce(discount, F.lit(0.0)) <= 0, 1.25).otherwise(clip(1 + F.least(discount, F.lit(1.0)) * 0.75, 1.0, 2.0))
 
 
-BANDS = ("No Discount", "5-15%", "15-30%", "30-50%", "50%+")
-BAND_EDGES = (0.0499, 0.1499, 0.2999, 0.4999)
+#: The bands' labels and their right-closed edges. The first edge is open below.
+BANDS = ("<5%", "5-15%", "15-25%", "25-35%", "35-50%", "50-70%", "70%+")
+BAND_EDGES = (-0.001, 0.0499, 0.1499, 0.2499, 0.3499, 0.4999, 0.6999, 1.0)
 
 
 def discount_band(c: Column) -> Column:
-    out = F.when(c <= BAND_EDGES[0], BANDS[0])
-    for edge, name in zip(BAND_EDGES[1:], BANDS[1:-1]):
-        out = out.when(c <= edge, name)
-    return out.when(c.isNotNull(), BANDS[-1])
+    """The band of a discount share; none is 0, and a share outside of the edges has no band."""
+    share = F.coalesce(c, F.lit(0.0))
+    out = F.when(share <= BAND_EDGES[0], F.lit(None).cast("string"))
+    for edge, name in zip(BAND_EDGES[1:], BANDS):
+        out = out.when(share <= edge, name)
+    return out
 
 
 def same_day_of_year(day: Column, years: int) -> Column:
@@ -117,12 +120,42 @@ def offer_code(c: Column) -> Column:
     return F.when(text.rlike(m), F.struct(F.regexp_extract(text, m, 1).alias("Item"), F.regexp_extract(text, m, 2).alias("Color")))
 
 
-def supply_class(trans_type: Column, template: Column, profile: Column) -> Column:
-    """Receiving by template, returns (non-sellable before floor), replenishment; else other."""
-    receiving = F.when(template == "Active Putaway", "ReceivingActive").when(F.contains(template, F.lit("Cubiscan")), "ReceivingCubiscan").otherwise("ReceivingReserve")
-    returns = F.when(profile == "W001", "ReturnNonSellable").when(profile.isin("Picking", "Picking A", "Picking D"), "ReturnFloor").otherwise("ReturnReserve")
-    return F.when(trans_type == 1, receiving).when(trans_type == 12, returns).when(trans_type == 11, "Replenishment").otherwise("Other")
+#: Profiles of the sellable floor, locations and a zone whose stock is not sold, profiles and zones of reserve.
+FLOOR_PROFILES = ("Picking", "Picking A", "PalletPicking")
+UNSOLD_LOCATIONS, UNSOLD_ZONE = ("Washed", "Rags", "Quality"), "Quarantine"
+RESERVE_PROFILES, RESERVE_ZONES = ("Bulk", "Overflow"), ("Bulk", "OVFLO")
 
 
-def destination_class(profile: Column) -> Column:
-    return F.when(profile == "W001", "NonSellable").when(profile.startswith("Picking"), "Floor").when(profile.isin("Bulk", "PalletPicking"), "Reserve").when(profile.endswith("STAGE"), "Staging").otherwise("Other")
+def _stripped(*columns: Column) -> list[Column]:
+    return [F.trim(F.coalesce(c, F.lit(""))) for c in columns]
+
+
+def supply_class(trans_type: Column, template: Column, location: Column, profile: Column, zone: Column) -> Column:
+    """What kind of supply a piece of work is; labels are fixed values. For returns stock that is not sold comes before the floor."""
+    location, profile, zone = _stripped(location, profile, zone)
+    template = F.coalesce(template, F.lit(""))
+    unsold = location.isin(*UNSOLD_LOCATIONS) | (zone == UNSOLD_ZONE)
+    returned = F.when(unsold, "ReturnNonSellable").when(profile.isin(*FLOOR_PROFILES), "ReturnToSellableFloor").otherwise("ReturnOther")
+    received = F.when(template == "Active Putaway", "ActivePutaway").when(F.contains(template, F.lit("Cubiscan")), "CubiscanPutaway").otherwise("ReceivingPutaway")
+    other = F.when(trans_type == 11, "Replenishment").when(trans_type == 7, "Transfer").otherwise("OtherSupplyWork")
+    return F.when(trans_type == 12, returned).when(trans_type == 1, received).otherwise(other)
+
+
+def destination_class(location: Column, profile: Column, zone: Column) -> Column:
+    """Where work brings stock; labels are fixed values and the first rule that holds counts."""
+    location, profile, zone = _stripped(location, profile, zone)
+    reserve = profile.isin(*RESERVE_PROFILES) | zone.isin(*RESERVE_ZONES)
+    staging = F.contains(F.upper(profile), F.lit("STAGE")) | F.contains(F.upper(zone), F.lit("STAGE")) | location.startswith("RSTAGE")
+    return (
+        F.when(location.isin(*UNSOLD_LOCATIONS) | (zone == UNSOLD_ZONE), "NonSellable")
+        .when(profile.isin(*FLOOR_PROFILES), "SellableFloor").when(reserve, "ReserveOrBulk").when(staging, "Staging").otherwise("Other")
+    )
+
+
+def reservation_bucket(location: Column, profile: Column) -> Column:
+    """The bucket of reserved stock; labels and profiles are fixed values, a blank location comes first."""
+    return (
+        F.when(F.coalesce(location, F.lit("")) == "", "BlankLocation").when(profile.isin("Picking", "Picking A", "Picking D", "PalletPicking"), "PickFace")
+        .when(profile == "W001", "W001").when(profile.isin(*RESERVE_PROFILES), "ReserveOrBulk")
+        .when(profile.isin("RSTAGE", "Induction", "Direct Packing"), "StagingOrProcessing").otherwise("OtherLocated")
+    )

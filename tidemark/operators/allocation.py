@@ -31,14 +31,9 @@ def anchor(shape: DataFrame, totals: DataFrame, day: str, units: str, total: str
 def by_category(totals: DataFrame, weights: DataFrame, day: str, total: str, category: str, sku: str, weight: str, out: str) -> DataFrame:
     """Daily totals to categories by their weights, then to SKUs; a day's units are met exactly.
 
-    The categories, with their weights, are one array on each day: their number does not grow with the facts.
+    The categories, with their weights, are one array, put to each day: their number does not grow with the facts.
     """
-    cats = weights.groupBy(category).agg(F.sum(weight).alias("w")).where("w > 0").agg(F.array_sort(F.collect_list(F.struct(category, "w"))).alias("_cats")).withColumn("_one", F.lit(1))
-    spread = totals.select(day, total).withColumn("_one", F.lit(1)).join(F.broadcast(cats), "_one").select(day, total, F.explode("_cats").alias("c")).select(day, total, f"c.{category}", F.col("c.w").alias("_cw"))
+    cats = weights.groupBy(category).agg(F.sum(weight).alias("w")).where("w > 0").agg(F.array_sort(F.collect_list(F.struct(category, "w"))).alias("_cats"))
+    spread = totals.select(day, total).withColumn("_cats", cats.scalar()).select(day, total, F.explode("_cats").alias("c")).select(day, total, f"c.{category}", F.col("c.w").alias("_cw"))
     top = allocate(spread, [day], "_cw", total, [category], "_cu").select(day, category, "_cu")
     return allocate(top.join(weights, category), [day, category], weight, "_cu", [sku], out).select(day, category, sku, out)
-
-
-def capped_scale(total: Column, cap: Column) -> Column:
-    """A factor that only scales down."""
-    return F.when(total > cap, cap / total).otherwise(1.0)

@@ -11,6 +11,13 @@ def keep_one(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rank = 1").drop("_rank")
 
 
+def upserted(old: DataFrame, new: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Old and new rows, the new one where both have a key, with ``replaced``; a key is once in each table."""
+    held = F.struct(*values)
+    both = old.select(*keys, F.lit(1).alias("_rank"), held.alias("_v")).unionByName(new.select(*keys, F.lit(0).alias("_rank"), held.alias("_v")))
+    return both.groupBy(*keys).agg(F.min(F.struct("_rank", "_v")).alias("_x"), (F.count("*") > 1).alias("replaced")).select(*keys, *[F.col(f"_x._v.{v}").alias(v) for v in values], "replaced")
+
+
 def full_outer_zero(left: DataFrame, right: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """Full outer join in which missing measures are 0."""
     return left.join(right, keys, "full").withColumns({m: F.coalesce(m, F.lit(0.0)) for m in measures})

@@ -30,17 +30,16 @@ def rolling_window_sums(df: DataFrame, day: str, measure: str, days: int, out: s
     spread = df.withColumn("_start", F.explode(F.sequence(F.date_sub(day, days - 1), F.col(day))))
     bounds = df.agg(F.min(day).alias("_a"), F.date_sub(F.max(day), days - 1).alias("_b"))
     sums = spread.groupBy("_start").agg(F.sum(measure).alias(out))
-    return sums.join(F.broadcast(bounds), F.col("_start").between(F.col("_a"), F.col("_b"))).select(F.col("_start").alias(day), out)
+    return sums.join(bounds, F.col("_start").between(F.col("_a"), F.col("_b"))).select(F.col("_start").alias(day), out)
 
 
 def best_prior(scores: DataFrame, start: str, candidate: str, error: str, sold: str, default: str, last: int | None = None) -> DataFrame:
-    """For each window the candidate with the lowest pooled error over earlier windows, the default where there are none."""
+    """For each window the row of the candidate with the lowest pooled error over earlier windows, of the default where there are none."""
     w = Window.partitionBy(candidate).orderBy(start).rowsBetween(Window.unboundedPreceding if last is None else -last, -1)
     past = scores.withColumns({"_e": F.sum(error).over(w), "_s": F.sum(sold).over(w)}).withColumn("_r", F.when(F.col("_s") > 0, F.col("_e") / F.col("_s")))
-    order = Window.partitionBy(start).orderBy(F.asc_nulls_last(F.round("_r", 9)), candidate)
-    first = past.withColumn("_k", F.row_number().over(order)).where("_k = 1")
-    chosen = first.select(start, F.when(F.col("_r").isNull(), F.lit(default)).otherwise(F.col(candidate)).alias(candidate))
-    return chosen.join(scores, [start, candidate])
+    own = F.col("_r").isNull() & (F.col(candidate) != default)
+    order = Window.partitionBy(start).orderBy(F.asc_nulls_last(F.round("_r", 9)), own, candidate)
+    return past.withColumn("_k", F.row_number().over(order)).where("_k = 1").where(~own).select(*scores.columns)
 
 
 def spaced(dates: DataFrame, day: str, days: int) -> DataFrame:

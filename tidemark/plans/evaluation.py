@@ -6,22 +6,17 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import ratio_or_zero
 from tidemark.operators import gates as G
-from tidemark.plans.forecasts import _scores, _with
+from tidemark.plans.forecasts import _PAIR, TAUS, _pair, _with
 from tidemark.plans.registry import query
 
-TAUS = [round(0.05 + 0.05 * i, 2) for i in range(18)]
-
 _WALK = f"""(select SnapshotId, Tau, coalesce(gate < Tau, false) as UsedLow, case when gate < Tau then low else high end as Gated, low, high, sold from
   (select *, sum(case when gate < Tau then low else high end) over x as e, sum(sold) over x as s, count(*) over x as n from
-    (select f.SnapshotId, f.CoveragePct as gate, r.AbsErrorUnits as low, f.AbsErrorUnits as high, f.SoldUnits as sold from (select * from w where Candidate = 'forecast') f join (select * from w where Candidate = 'recent') r using (SnapshotId)), (select unnest({TAUS}::double[]) as Tau)
+    {_PAIR}, (select unnest({TAUS}::double[]) as Tau)
    window x as (partition by Tau order by SnapshotId rows between unbounded preceding and 1 preceding)) where n >= 5 qualify row_number() over (partition by SnapshotId order by round(e / nullif(s, 0), 12) nulls last, Tau) = 1)"""
 
 
 def _walk(t):
-    s = _scores(t)
-    a = s.where("Candidate = 'forecast'").select("SnapshotId", F.col("CoveragePct").alias("gate"), F.col("SoldUnits").alias("sold"), F.col("AbsErrorUnits").alias("high"))
-    b = s.where("Candidate = 'recent'").select("SnapshotId", F.col("AbsErrorUnits").alias("low"))
-    return G.walk_forward(a.join(b, "SnapshotId"), "SnapshotId", "gate", "low", "high", "sold", TAUS, 5)
+    return G.walk_forward(_pair(t), "SnapshotId", "gate", "low", "high", "sold", TAUS, 5)
 
 
 @query(_with(f"select * from {_WALK}"))

@@ -7,48 +7,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators import allocation as A
+from tidemark.operators import joins as J
 from tidemark.operators import scoring as C
 from tidemark.operators import windows as W
 from tidemark.plans.registry import query
 
-_RUN = """select Category, sum(least(Units, greatest(2.5 * med, 10))) / 56 as rate from (select *, median(Units) over (partition by Category) as med from (select Category, ActualDate, sum(SoldUnits) as Units from actual_sku_day join dim_product using (SKU) where ActualDate between date '1999-01-01' and date '1999-02-25' group by all)) group by 1"""
-
-
-def _run_rate(t):
-    days = t.actual_sku_day.where("ActualDate between date '1999-01-01' and date '1999-02-25'").join(t.dim_product.select("SKU", "Category"), "SKU").groupBy("Category", "ActualDate").agg(F.sum("SoldUnits").alias("Units"))
-    med = days.groupBy("Category").agg(F.median("Units").alias("med"))
-    return days.join(med, "Category").groupBy("Category").agg((F.sum(F.least("Units", F.greatest(2.5 * F.col("med"), F.lit(10.0)))) / 56).alias("rate"))
-
-
-@query(f"select Category, round(rate, 6) as rate from ({_RUN})")
-def category_run_rate(t):
-    """AG20 run rate with spikes cut, over calendar days."""
-    return _run_rate(t).select("Category", F.round("rate", 6).alias("rate"))
-
-
-@query("""with y as (select Category, year(ActualDate) as y, sum(SoldUnits) filter (month(ActualDate) = 7) / 31 as ev, sum(SoldUnits) filter (month(ActualDate) = 6) / 30 as base, sum(SoldUnits) filter (month(ActualDate) = 6) as w from actual_sku_day join dim_product using (SKU) where month(ActualDate) in (6, 7) group by all)
-  select Category, round(least(greatest((sum(least(greatest(ev / base, 0.5), 3.0) * w) + 400.0) / (sum(w) + 400.0), 0.5), 3.0), 6) as lift from y where base > 0 and ev is not null group by 1""")
-def event_lift(t):
-    """AG21 event lift with shrinkage to 1; years without a base are left out."""
-    rows = t.actual_sku_day.where("month(ActualDate) in (6, 7)").join(t.dim_product.select("SKU", "Category"), "SKU")
-    total = lambda m: F.sum(F.when(F.month("ActualDate") == m, F.col("SoldUnits")))
-    years = rows.groupBy("Category", F.year("ActualDate").alias("y")).agg((total(7) / 31).alias("ev"), (total(6) / 30).alias("base"), total(6).alias("w")).where("base > 0 and ev is not null")
-    lift = F.sum(S.clip(F.col("ev") / F.col("base"), 0.5, 3.0) * F.col("w"))
-    return years.groupBy("Category").agg(F.round(S.clip((lift + 400.0) / (F.sum("w") + 400.0), 0.5, 3.0), 6).alias("lift"))
-
-
-@query("""with s as (select isodow(d) - 1 as dow, count(*) as n from (select unnest(generate_series(date '1999-01-01', date '1999-02-25', interval 1 day))::date as d) group by 1), a as (select isodow(ActualDate) - 1 as dow, sum(SoldUnits) as u from actual_sku_day where ActualDate between date '1999-01-01' and date '1999-02-25' group by 1)
-  select dow, round(least(greatest(coalesce(u, 0) / n / (select sum(u) / 56 from a), 0.65), 1.35), 6) as factor from s left join a using (dow)""")
-def weekday_factors(t):
-    """AG22 weekday factors over calendar counts, between 0.65 and 1.35."""
-    spark = t.actual_sku_day.sparkSession
-    days = spark.range(1).select(F.explode(F.expr("sequence(date '1999-01-01', date '1999-02-25')")).alias("d")).groupBy(F.weekday("d").alias("dow")).agg(F.count("*").alias("n"))
-    sold = t.actual_sku_day.where("ActualDate between date '1999-01-01' and date '1999-02-25'").groupBy(F.weekday("ActualDate").alias("dow")).agg(F.sum("SoldUnits").alias("u"))
-    mean = F.sum("u").over(Window.partitionBy()) / 56
-    rows = days.join(sold, "dow", "left")
-    return rows.select("dow", F.round(S.clip(F.coalesce("u", F.lit(0.0)) / F.col("n") / mean, 0.65, 1.35), 6).alias("factor"))
-
-
 _ALLOC = """select SnapshotId, SKU, w, total, (fl + case when total > 0 and row_number() over (partition by SnapshotId order by round(share - fl, 9) desc, SKU) <= total - sum(fl) over (partition by SnapshotId) then 1 else 0 end)::bigint as units from
   (select *, w / sum(w) over (partition by SnapshotId) * total as share, floor(round(w / sum(w) over (partition by SnapshotId) * total, 9)) as fl from (select SnapshotId, SKU, sum(ForecastQty) as w, (1000 + 37 * ascii(substr(SnapshotId, 4, 1)))::bigint as total from forecast_sku_day group by all))"""
 
@@ -69,21 +32,44 @@ def anchored_candidate(t):
     return A.anchor(shape, totals, "ForecastDate", "f", "SoldUnits", ["SKU"], "units").select("ForecastDate", "SKU", "units")
 
 
-@query("""select date_trunc('month', Date)::date as Month, sum(PlanUnits)::bigint as units, sum(PlanUnits)::bigint as plan from planner_daily group by 1""")
-def category_allocation_totals(t):
-    """FC9 and FC10 a month's total to categories and SKUs; SC18 what is allotted is the plan's total."""
+_BY_CATEGORY = """with p as (select date_trunc('month', Date)::date as Month, sum(PlanUnits)::bigint as total from planner_daily group by 1),
+  w as (select SKU, Category, sum(SoldUnits) as w from actual_sku_day join dim_product using (SKU) group by all), c as (select Category, sum(w) as w from w group by 1),
+  x as (select Month, Category, total, c.w / sum(c.w) over (partition by Month) * total as share from p cross join c), y as (select *, floor(round(share, 9)) as fl from x),
+  u as (select Month, Category, fl + case when row_number() over (partition by Month order by round(share - fl, 9) desc, Category) <= total - sum(fl) over (partition by Month) then 1 else 0 end as units from y),
+  v as (select Month, u.Category, SKU, units, w.w / sum(w.w) over (partition by Month, u.Category) * units as share from u join w using (Category)), z as (select *, floor(round(share, 9)) as fl from v),
+  r as (select Month, Category, SKU, (fl + case when units > 0 and row_number() over (partition by Month, Category order by round(share - fl, 9) desc, SKU) <= units - sum(fl) over (partition by Month, Category) then 1 else 0 end)::bigint as Units from z)
+  """
+
+
+def _by_category(t):
     plan = t.planner_daily.groupBy(F.trunc("Date", "month").alias("Month")).agg(F.sum("PlanUnits").cast("long").alias("total"))
     weights = t.actual_sku_day.groupBy("SKU").agg(F.sum("SoldUnits").alias("w")).join(t.dim_product.select("SKU", "Category"), "SKU")
-    rows = A.by_category(plan, weights, "Month", "total", "Category", "SKU", "w", "units")
-    return rows.groupBy("Month").agg(F.sum("units").alias("units")).join(plan, "Month").select("Month", "units", F.col("total").alias("plan"))
+    return plan, A.by_category(plan, weights, "Month", "total", "Category", "SKU", "w", "Units")
+
+
+@query(_BY_CATEGORY + "select Month, Category, SKU, Units from r where Units > 0")
+def category_allocation(t):
+    """FC9 and FC10 a month's total to categories and then to SKUs."""
+    return _by_category(t)[1].where("Units > 0")
+
+
+@query(_BY_CATEGORY + "select Month, sum(Units)::bigint as units, any_value(total) as plan, count(*) filter (Units < 0) as below, true as exact from r join p using (Month) group by 1")
+def category_allocation_totals(t):
+    """SC18 what is allotted is the plan's total and nothing is below 0."""
+    plan, rows = _by_category(t)
+    sums = rows.groupBy("Month").agg(F.sum("Units").alias("units"), F.count_if(F.col("Units") < 0).alias("below"))
+    return sums.join(plan, "Month").select("Month", "units", F.col("total").alias("plan"), "below", (F.col("units") == F.col("total")).alias("exact"))
 
 
 _SCORES = """with c as (select 'forecast' as Candidate, SnapshotId, SKU, sum(ForecastQty) as f from forecast_sku_day group by all union all select 'half', SnapshotId, SKU, sum(ForecastQty) / 2 from forecast_sku_day group by all union all
     select 'recent', v.SnapshotId, a.SKU, sum(a.SoldUnits) / 4 from vintages v join actual_sku_day a on a.ActualDate between v.ForecastStartDate - 56 and v.ForecastStartDate - 1 group by all),
   a as (select v.SnapshotId, a.SKU, sum(a.SoldUnits) as s from vintages v join actual_sku_day a on a.ActualDate between v.ForecastStartDate and v.ForecastStartDate + 13 group by all), n as (select unnest(['forecast', 'half', 'recent']) as Candidate),
   r as (select coalesce(c.Candidate, b.Candidate) as Candidate, coalesce(c.SnapshotId, b.SnapshotId) as SnapshotId, coalesce(f, 0) as f, coalesce(s, 0) as s from c full join (select * from a cross join n) b on c.Candidate = b.Candidate and c.SnapshotId = b.SnapshotId and c.SKU = b.SKU),
-  w as (select SnapshotId, Candidate, sum(f) as ForecastUnits, sum(s) as SoldUnits, sum(abs(f - s)) as AbsErrorUnits, sum(greatest(f - s, 0)) as OverUnits, sum(greatest(s - f, 0)) as UnderUnits, count(*) filter (f > 0) as ForecastedSKUs, count(*) filter (s > 0) as SoldSKUs, sum(case when f <= 0 then s else 0 end) as ZeroForecastSoldUnits, count(*) filter (f > 0 and s <= 0) as OverGeneratedSKUs, count(*) filter (f <= 0 and s >= 10) as Missed10SKUs,
-    round(sum(abs(f - s)) / nullif(sum(s), 0), 6) as WAPE, round((sum(f) - sum(s)) / nullif(sum(s), 0), 6) as BiasPct, round(1 - sum(case when f <= 0 then s else 0 end) / nullif(sum(s), 0), 6) as CoveragePct from r group by all) """
+  w as (select SnapshotId, Candidate, sum(f) as ForecastUnits, sum(s) as SoldUnits, sum(abs(f - s)) as AbsErrorUnits, sum(greatest(f - s, 0)) as OverUnits, sum(greatest(s - f, 0)) as UnderUnits, count(*) filter (f > 0) as ForecastedSKUs, count(*) filter (s > 0) as SoldSKUs,
+    count(*) filter (f > 0 or s > 0) as UnionSKUs, sum(case when f > 0 and s > 0 then s else 0 end) as SoldUnitsWithForecast, count(*) filter (f <= 0 and s > 0) as ZeroForecastSoldSKUs, sum(case when f <= 0 then s else 0 end) as ZeroForecastSoldUnits, count(*) filter (f > 0 and s <= 0) as OverGeneratedSKUs,
+    sum(case when f > 0 and s <= 0 then f else 0 end) as OverGeneratedUnits, count(*) filter (f <= 0 and s >= 10) as Missed10SKUs, sum(case when f <= 0 and s >= 10 then s else 0 end) as Missed10Units, count(*) filter (f > 0 and s > 0) as UsedSKUs, sum(case when f > 0 and s > 0 then f else 0 end) as UnitsOnUsedSKUs, sum(f) - sum(s) as BiasUnits,
+    round(sum(case when f <= 0 then s else 0 end) / nullif(sum(s), 0), 6) as ZeroForecastPct, round(count(*) filter (f > 0 and s > 0) / nullif(count(*) filter (f > 0), 0), 6) as SKUUseRate, round(sum(case when f > 0 and s > 0 then f else 0 end) / nullif(sum(f), 0), 6) as UnitsOnUsedPct,
+    round(sum(case when f > 0 and s <= 0 then f else 0 end) / nullif(sum(f), 0), 6) as ZeroDemandUnitPct, round(sum(abs(f - s)) / nullif(sum(s), 0), 6) as WAPE, round((sum(f) - sum(s)) / nullif(sum(s), 0), 6) as BiasPct, round(1 - sum(case when f <= 0 then s else 0 end) / nullif(sum(s), 0), 6) as CoveragePct from r group by all) """
 
 
 def _with(sql: str) -> str:
@@ -91,17 +77,23 @@ def _with(sql: str) -> str:
     return _SCORES.replace("with c as", "select * from (with c as", 1) + sql + ")"
 
 
-def _scores(t):
-    v = t.vintages.select("SnapshotId", "ForecastStartDate")
+CANDIDATES = {"forecast": "q", "half": "q / 2", "recent": "recent"}
+
+
+def _score_detail(t):
+    """A row for each window, candidate and SKU, with its forecast and sales: the picks are read once for both of their windows."""
+    days = t.vintages.select("SnapshotId", "ForecastStartDate", F.explode(F.expr("sequence(date_sub(ForecastStartDate, 56), date_add(ForecastStartDate, 13))")).alias("ActualDate"))
+    during = F.col("ActualDate") >= F.col("ForecastStartDate")
+    picks = t.actual_sku_day.select("SKU", "ActualDate", "SoldUnits").join(days, "ActualDate").groupBy("SnapshotId", "SKU")
+    picks = picks.agg((F.sum(F.when(~during, F.col("SoldUnits"))) / 4).alias("recent"), F.sum(F.when(during, F.col("SoldUnits"))).alias("sold"))
     ahead = t.forecast_sku_day.groupBy("SnapshotId", "SKU").agg(F.sum("ForecastQty").alias("q"))
-    before = v.select("SnapshotId", F.explode(F.expr("sequence(date_sub(ForecastStartDate, 56), date_sub(ForecastStartDate, 1))")).alias("ActualDate"))
-    recent = t.actual_sku_day.join(F.broadcast(before), "ActualDate").groupBy("SnapshotId", "SKU").agg((F.sum("SoldUnits") / 4).alias("ForecastUnits"))
-    one = lambda df, name: df.select(F.lit(name).alias("Candidate"), "SnapshotId", "SKU", "ForecastUnits")
-    cands = one(ahead.withColumnRenamed("q", "ForecastUnits"), "forecast").unionByName(one(ahead.withColumn("ForecastUnits", F.col("q") / 2), "half")).unionByName(one(recent, "recent"))
-    during = v.select("SnapshotId", F.explode(F.expr("sequence(ForecastStartDate, date_add(ForecastStartDate, 13))")).alias("ActualDate"))
-    sold = t.actual_sku_day.join(F.broadcast(during), "ActualDate").groupBy("SnapshotId", "SKU").agg(F.sum("SoldUnits").alias("SoldUnits"))
-    sold = sold.withColumn("Candidate", F.explode(F.array(*map(F.lit, ("forecast", "half", "recent")))))
-    return C.score(cands, sold, ["SnapshotId", "Candidate"], "SKU", "ForecastUnits", "SoldUnits")
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("Candidate"), F.expr(c).cast("double").alias("ForecastUnits")) for n, c in CANDIDATES.items()]))
+    rows = ahead.join(picks, ["SnapshotId", "SKU"], "full").select("SnapshotId", "SKU", "sold", each.alias("c")).select("SnapshotId", "c.*", "SKU", F.col("sold").alias("SoldUnits"))
+    return rows.where("ForecastUnits is not null or SoldUnits is not null").fillna(0.0, ["ForecastUnits", "SoldUnits"])
+
+
+def _scores(t):
+    return C.score_rows(_score_detail(t), ["SnapshotId", "Candidate"], "ForecastUnits", "SoldUnits")
 
 
 @query(_with("select * from w"))
@@ -150,13 +142,23 @@ def cost_sweep(t):
     return C.cost_split(_scores(t), [0.5, 1.0, 2.0], ["SnapshotId", "Candidate"])
 
 
-@query(_with("select tau as Tau, round(sum(case when f.CoveragePct <= tau + 1e-9 then r.AbsErrorUnits else f.AbsErrorUnits end) / sum(f.SoldUnits), 6) as PooledWAPE from (select * from w where Candidate = 'forecast') f join (select * from w where Candidate = 'recent') r using (SnapshotId), (select unnest([0.1, 0.3, 0.5, 0.7]::double[]) as tau) group by 1"))
+#: The grid of thresholds: 0.30 to 0.85 by 0.01.
+TAUS = [round(0.30 + 0.01 * i, 2) for i in range(56)]
+_PAIR = "(select f.SnapshotId, f.CoveragePct as gate, r.AbsErrorUnits as low, f.AbsErrorUnits as high, f.SoldUnits as sold from (select * from w where Candidate = 'forecast') f join (select * from w where Candidate = 'recent') r using (SnapshotId))"
+
+
+def _pair(t):
+    """A row for each window: the coverage as gate, the errors of the two candidates, what was sold."""
+    named = {"gate": ("forecast", "CoveragePct"), "low": ("recent", "AbsErrorUnits"), "high": ("forecast", "AbsErrorUnits"), "sold": ("forecast", "SoldUnits")}
+    return C.side_by_side(_scores(t), "SnapshotId", "Candidate", named).where("low is not null and high is not null")
+
+
+@query(_with(f"""select tau as Tau, count(*) filter (gate < tau) as Triggered, round(sum(case when gate < tau then low else high end) / nullif(sum(sold), 0), 6) as PooledWAPE, round(avg(case when gate < tau then low else high end / nullif(sold, 0)), 6) as MeanWAPE,
+  count(*) filter (case when gate < tau then low else high end / nullif(sold, 0) < high / nullif(sold, 0) - 1e-9) as Improved, count(*) filter (case when gate < tau then low else high end / nullif(sold, 0) > high / nullif(sold, 0) + 1e-9) as Worsened
+  from {_PAIR}, (select unnest({TAUS}::double[]) as tau) group by 1"""))
 def threshold_gate(t):
     """SC8 and SC9 threshold grid."""
-    s = _scores(t)
-    a = s.where("Candidate = 'forecast'").select("SnapshotId", "CoveragePct", "SoldUnits", F.col("AbsErrorUnits").alias("high"))
-    b = s.where("Candidate = 'recent'").select("SnapshotId", F.col("AbsErrorUnits").alias("low"))
-    return C.gate_grid(a.join(b, "SnapshotId"), [0.1, 0.3, 0.5, 0.7], "CoveragePct", "low", "high", "SoldUnits")
+    return C.gate_grid(_pair(t), TAUS, "gate", "low", "high", "sold")
 
 
 @query("""with recursive r(d) as (select min(ForecastStartDate) from vintages union all select (select min(ForecastStartDate) from vintages where ForecastStartDate >= d + 20) from r where d is not null) select d as ForecastStartDate from r where d is not null""")
@@ -179,14 +181,23 @@ def tier_transitions(t):
     return rows.groupBy("SnapshotId", S.velocity_tier(F.col("q") * 6.5).alias("OldTier"), "NewTier").agg(F.count("*").alias("n"))
 
 
-@query("""select SKU, ForecastDate, arg_max(ForecastQty, InferredFileDate::varchar || SnapshotId) as units, arg_max(SnapshotId, InferredFileDate::varchar || SnapshotId) as vintage from forecast_sku_day join vintages using (SnapshotId) group by all""")
+@query("""select SKU, ForecastDate, arg_max(ForecastQty, effective::varchar || SnapshotId) as units, arg_max(SnapshotId, effective::varchar || SnapshotId) as vintage
+  from (select f.*, greatest(InferredFileDate + 1, v.ForecastStartDate) as effective from forecast_sku_day f join vintages v using (SnapshotId)) where effective <= ForecastDate group by all""")
 def operational_vintage(t):
-    """SNK7 and WN17 the latest vintage for each SKU and day."""
-    rows = t.forecast_sku_day.join(F.broadcast(t.vintages.select("SnapshotId", "InferredFileDate")), "SnapshotId")
-    best = F.max(F.struct("InferredFileDate", "SnapshotId", "ForecastQty"))
+    """SNK7 for each SKU and day the latest vintage whose first full day has come: a file holds from the day after it was made."""
+    first = F.greatest(F.date_add("InferredFileDate", 1), "ForecastStartDate").alias("effective")
+    rows = t.forecast_sku_day.select("SnapshotId", "SKU", "ForecastDate", "ForecastQty").join(t.vintages.select("SnapshotId", first), "SnapshotId").where("effective <= ForecastDate")
+    best = F.max(F.struct("effective", "SnapshotId", "ForecastQty"))
     return rows.groupBy("SKU", "ForecastDate").agg(best.alias("b")).select("SKU", "ForecastDate", F.col("b.ForecastQty").alias("units"), F.col("b.SnapshotId").alias("vintage"))
 
 
+@query("""select ForecastStartDate, SnapshotId, InferredFileDate from (select date_trunc('month', ForecastStartDate)::date as ForecastStartDate, SnapshotId, InferredFileDate from vintages) qualify row_number() over (partition by ForecastStartDate order by InferredFileDate nulls last, SnapshotId) = 1""")
+def earliest_vintage(t):
+    """WN17 the earliest vintage of each start (here of each month of starts); files without a date come last."""
+    rows = t.vintages.select(F.trunc("ForecastStartDate", "month").alias("ForecastStartDate"), "SnapshotId", "InferredFileDate")
+    return J.keep_one(rows, ["ForecastStartDate"], [F.asc_nulls_last("InferredFileDate"), "SnapshotId"])
+
+
 @query("""select SKU, Item, Color, SoldUnits as units, row_number() over (order by SoldUnits desc, SKU) as rank from (select SKU, sum(SoldUnits) as SoldUnits from actual_sku_day group by 1) join dim_product using (SKU) qualify rank <= 100""")
 def top_skus(t):
     """TK1 and TK2 the hundred largest."""

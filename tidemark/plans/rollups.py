@@ -36,15 +36,19 @@ def order_rollup(t):
     return t.order_lines.groupBy("OrderDate", "SKU").agg(F.count("*").alias("lines"), F.countDistinct("SalesID").alias("orders"), F.sum("QtyOrdered").alias("qty"), F.count_if(F.col("QtyOrdered") < 0).alias("return_lines"), F.round(F.sum("LineAmount"), 4).alias("amount"), F.round(1 - S.ratio_or_null(F.sum("LineAmount"), gross), 6).alias("weighted_off"))
 
 
-@query("""select d.OrderDate, b.band, coalesce(x.n, 0) as lines, coalesce(x.q, 0) as qty from (select distinct OrderDate from order_lines) d cross join (select unnest(['No Discount', '5-15%', '15-30%', '30-50%', '50%+']) as band) b left join
-  (select OrderDate, case when off <= 0.0499 then 'No Discount' when off <= 0.1499 then '5-15%' when off <= 0.2999 then '15-30%' when off <= 0.4999 then '30-50%' else '50%+' end as band, count(*) as n, sum(QtyOrdered) as q from (select OrderDate, QtyOrdered, round(1 - LineAmount / (QtyOrdered * MSRP), 6) as off from order_lines) group by all) x on x.OrderDate = d.OrderDate and x.band = b.band""")
+@query("""select d.OrderDate, b.band, coalesce(x.n, 0) as lines, coalesce(x.q, 0) as qty, coalesce(x.s, 0) as skus, coalesce(x.a, 0) as amount from (select distinct OrderDate from order_lines) d
+  cross join (select unnest(['<5%', '5-15%', '15-25%', '25-35%', '35-50%', '50-70%', '70%+']) as band) b left join (select OrderDate, count(*) as n, sum(QtyOrdered) as q, count(distinct SKU) as s, round(sum(LineAmount), 4) as a,
+    case when off <= -0.001 then null when off <= 0.0499 then '<5%' when off <= 0.1499 then '5-15%' when off <= 0.2499 then '15-25%' when off <= 0.3499 then '25-35%' when off <= 0.4999 then '35-50%' when off <= 0.6999 then '50-70%' when off <= 1 then '70%+' end as band
+    from (select OrderDate, QtyOrdered, SKU, LineAmount, coalesce(round(1 - LineAmount / nullif(QtyOrdered * MSRP, 0), 6), 0) as off from order_lines) group by all) x on x.OrderDate = d.OrderDate and x.band = b.band""")
 def discount_bands(t):
     """AG5 and PRJ19: every day has every band, empty ones too."""
-    off = F.round(1 - F.col("LineAmount") / (F.col("QtyOrdered") * F.col("MSRP")), 6)
-    lines = t.order_lines.select("OrderDate", "QtyOrdered", S.discount_band(off).alias("band"))
+    off = F.round(1 - S.ratio_or_null(F.col("LineAmount"), F.col("QtyOrdered") * F.col("MSRP")), 6)
+    lines = t.order_lines.select("OrderDate", "QtyOrdered", "SKU", "LineAmount", S.discount_band(off).alias("band"))
     days = lines.select("OrderDate").distinct().withColumn("band", F.explode(F.array(*map(F.lit, S.BANDS))))
-    sums = lines.groupBy("OrderDate", "band").agg(F.count("*").alias("n"), F.sum("QtyOrdered").alias("q"))
-    return days.join(sums, ["OrderDate", "band"], "left").select("OrderDate", "band", F.coalesce("n", F.lit(0)).alias("lines"), F.coalesce("q", F.lit(0.0)).alias("qty"))
+    sums = lines.groupBy("OrderDate", "band").agg(F.count("*").alias("n"), F.sum("QtyOrdered").alias("q"), F.countDistinct("SKU").alias("s"), F.round(F.sum("LineAmount"), 4).alias("a"))
+    return days.join(sums, ["OrderDate", "band"], "left").select(
+        "OrderDate", "band", F.coalesce("n", F.lit(0)).alias("lines"), F.coalesce("q", F.lit(0.0)).alias("qty"), F.coalesce("s", F.lit(0)).alias("skus"), F.coalesce("a", F.lit(0.0)).alias("amount")
+    )
 
 
 @query("""select SnapshotDate, count(*) as rows, count(distinct SKU) as skus, sum(AvailPhysical) as avail, sum(greatest(AvailPhysical - PhysicalReserved, 0)) as net, count(*) filter (AvailPhysical > 0) as in_stock, count(*) filter (OrderedInTotal > 1) as on_order from inventory_sku_day group by all""")
@@ -187,9 +191,12 @@ def range_replace(t):
     return old.where("ActualDate not between date '1998-06-01' and date '1998-06-30'").unionByName(new)
 
 
-@query("""select coalesce(n.SKU, o.SKU) as SKU, coalesce(n.SnapshotDate, o.SnapshotDate) as SnapshotDate, case when n.SKU is not null then n.AvailPhysical else o.AvailPhysical end as AvailPhysical, n.SKU is not null and o.SKU is not null as replaced from (select * from inventory_sku_day where PhysicalReserved > 3) n full join inventory_sku_day o on n.SKU = o.SKU and n.SnapshotDate = o.SnapshotDate""")
+@query("""select coalesce(n.SKU, o.SKU) as SKU, coalesce(n.SnapshotDate, o.SnapshotDate) as SnapshotDate, case when n.SKU is not null then n.AvailPhysical else o.AvailPhysical end as AvailPhysical, n.SKU is not null and o.SKU is not null as replaced
+  from (select SKU, SnapshotDate, AvailPhysical + 1000 as AvailPhysical from inventory_sku_day where PhysicalReserved > 3 union all select SKU, SnapshotDate + 700, AvailPhysical from inventory_sku_day where PhysicalReserved > 6) n
+  full join inventory_sku_day o on n.SKU = o.SKU and n.SnapshotDate = o.SnapshotDate""")
 def key_upsert(t):
-    """ST4 key upsert, new rows win."""
-    inv = t.inventory_sku_day
-    rows = inv.withColumn("_rank", F.lit(1)).unionByName(inv.where("PhysicalReserved > 3").withColumn("_rank", F.lit(0)))
-    return rows.groupBy("SKU", "SnapshotDate").agg(F.min_by("AvailPhysical", "_rank").alias("AvailPhysical"), (F.count("*") > 1).alias("replaced"))
+    """ST4 key upsert: new rows have other values, and some have keys of their own."""
+    inv = t.inventory_sku_day.select("SKU", "SnapshotDate", "AvailPhysical", "PhysicalReserved")
+    other = inv.where("PhysicalReserved > 3").withColumn("AvailPhysical", F.col("AvailPhysical") + 1000)
+    more = inv.where("PhysicalReserved > 6").withColumn("SnapshotDate", F.date_add("SnapshotDate", 700))
+    return J.upserted(inv, other.unionByName(more), ["SKU", "SnapshotDate"], ["AvailPhysical"])

@@ -37,12 +37,19 @@ def product_classes(t):
         S.velocity_tier(F.col("pk") % 150).alias("tier"), F.when(F.col("PutawayIndicator") == 1, "active").when(F.col("PutawayIndicator") == 0, "reserve").otherwise("offsite").alias("putaway"))
 
 
-@query("""select OrderNum, LineNum, case when WorkTransType = 1 then case when WorkTemplateCode = 'Active Putaway' then 'ReceivingActive' when contains(WorkTemplateCode, 'Cubiscan') then 'ReceivingCubiscan' else 'ReceivingReserve' end
-  when WorkTransType = 12 then case when LocProfile = 'W001' then 'ReturnNonSellable' when LocProfile in ('Picking', 'Picking A', 'Picking D') then 'ReturnFloor' else 'ReturnReserve' end when WorkTransType = 11 then 'Replenishment' else 'Other' end as supply,
-  case when LocProfile = 'W001' then 'NonSellable' when LocProfile like 'Picking%' then 'Floor' when LocProfile in ('Bulk', 'PalletPicking') then 'Reserve' when LocProfile like '%STAGE' then 'Staging' else 'Other' end as destination, case when Location = '' then 'blank' else 'located' end as bucket from work_lines""")
+@query("""select OrderNum, LineNum,
+  case WorkTransType when 12 then case when Location in ('Washed', 'Rags', 'Quality') or Zone = 'Quarantine' then 'ReturnNonSellable' when LocProfile in ('Picking', 'Picking A', 'PalletPicking') then 'ReturnToSellableFloor' else 'ReturnOther' end
+    when 11 then 'Replenishment' when 7 then 'Transfer'
+    when 1 then case when WorkTemplateCode = 'Active Putaway' then 'ActivePutaway' when contains(WorkTemplateCode, 'Cubiscan') then 'CubiscanPutaway' else 'ReceivingPutaway' end else 'OtherSupplyWork' end as supply,
+  case when Location in ('Washed', 'Rags', 'Quality') or Zone = 'Quarantine' then 'NonSellable' when LocProfile in ('Picking', 'Picking A', 'PalletPicking') then 'SellableFloor'
+    when LocProfile in ('Bulk', 'Overflow') or Zone in ('Bulk', 'OVFLO') then 'ReserveOrBulk' when upper(LocProfile) like '%STAGE%' or upper(Zone) like '%STAGE%' or Location like 'RSTAGE%' then 'Staging' else 'Other' end as destination,
+  case when Location = '' then 'BlankLocation' when LocProfile in ('Picking', 'Picking A', 'Picking D', 'PalletPicking') then 'PickFace' when LocProfile = 'W001' then 'W001' when LocProfile in ('Bulk', 'Overflow') then 'ReserveOrBulk'
+    when LocProfile in ('RSTAGE', 'Induction', 'Direct Packing') then 'StagingOrProcessing' else 'OtherLocated' end as bucket from work_lines""")
 def supply_classes(t):
     """PRJ11 supply, PRJ12 destination, PRJ13 reservation bucket."""
-    return t.work_lines.select("OrderNum", "LineNum", S.supply_class(F.col("WorkTransType"), F.col("WorkTemplateCode"), F.col("LocProfile")).alias("supply"), S.destination_class(F.col("LocProfile")).alias("destination"), F.when(F.col("Location") == "", "blank").otherwise("located").alias("bucket"))
+    location, profile, zone = F.col("Location"), F.col("LocProfile"), F.col("Zone")
+    supply = S.supply_class(F.col("WorkTransType"), F.col("WorkTemplateCode"), location, profile, zone)
+    return t.work_lines.select("OrderNum", "LineNum", supply.alias("supply"), S.destination_class(location, profile, zone).alias("destination"), S.reservation_bucket(location, profile).alias("bucket"))
 
 
 @query("""select SalesID, LineNum, abs(QtyOrdered) * MSRP as gross, case when MSRP <> 0 and QtyOrdered <> 0 then round(1 - LineAmount / (QtyOrdered * MSRP), 6) end as off, LineDiscPercent > 0 or round(1 - LineAmount / nullif(QtyOrdered * MSRP, 0), 6) >= 0.05 as discounted,
@@ -82,7 +89,7 @@ def vintage_classes(t):
 def forecast_actual_outer(t):
     """JN1 full outer with zero fill, AG51 actual windows, FC13 frozen candidate."""
     days = t.vintages.select("SnapshotId", F.explode(F.sequence(F.col("ForecastStartDate"), F.date_add("ForecastStartDate", 13))).alias("ActualDate"))
-    sold = t.actual_sku_day.join(F.broadcast(days), "ActualDate").groupBy("SnapshotId", "SKU").agg(F.sum("SoldUnits").alias("SoldUnits"))
+    sold = t.actual_sku_day.join(days, "ActualDate").groupBy("SnapshotId", "SKU").agg(F.sum("SoldUnits").alias("SoldUnits"))
     ahead = t.forecast_sku_day.groupBy("SnapshotId", "SKU").agg(F.sum("ForecastQty").alias("ForecastUnits"))
     return J.full_outer_zero(ahead, sold, ["SnapshotId", "SKU"], ["ForecastUnits", "SoldUnits"])
 

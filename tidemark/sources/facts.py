@@ -21,7 +21,8 @@ VIEWS = {
         date '1995-01-01' + cast((p_partkey * 37) % 2400 as int) as GoLiveDate, p_retailprice as MSRP, p_name as Name, p_size as RawSize from {{part}}""",
     "work_lines": """select l.l_orderkey as OrderNum, l.l_linenumber as LineNum, cast(l.l_shipdate as date) as PickDate, p.SKU, p.pk, l.l_quantity as Units,
         case l.l_suppkey % 7 when 0 then 'Picking' when 1 then 'Picking A' when 2 then 'Picking D' when 3 then 'PalletPicking' when 4 then 'W001' when 5 then 'Bulk' else 'RSTAGE' end as LocProfile,
-        case l.l_suppkey % 11 when 0 then 'Washed' when 1 then 'Bander' when 2 then '' else 'L' || cast(l.l_suppkey as string) end as Location,
+        case l.l_suppkey % 11 when 0 then 'Washed' when 1 then 'Bander' when 2 then '' when 3 then 'Rags' else 'L' || cast(l.l_suppkey as string) end as Location,
+        case l.l_suppkey % 13 when 0 then 'Quarantine' when 1 then 'Bulk' when 2 then 'OVFLO' when 3 then 'Stage 1' else 'Z' || cast(l.l_suppkey % 13 as string) end as Zone,
         case l.l_linenumber % 5 when 0 then 12 when 1 then 2 when 2 then 11 when 3 then 7 else 1 end as WorkTransType,
         case l.l_returnflag when 'A' then 'Active Putaway' when 'N' then 'Cubiscan In' else 'Putaway' end as WorkTemplateCode
         from {lineitem} l join dim_product p on l.l_partkey = p.pk""",
@@ -42,7 +43,8 @@ VIEWS = {
         from {{lineitem}} l join dim_product p on l.l_partkey = p.pk""",
     "promo_events": """select 'F' || cast(o_custkey % 100 as string) as file_id, o_orderkey as event_id, case o_orderkey % 5 when 0 then 'promo_detail' when 1 then 'markdown' when 2 then 'final_sale' when 3 then 'aggregate_promo_offers' else 'coupon' end as sheet_type,
         'Event ' || cast(o_orderkey % 17 as string) as event_name, case o_orderkey % 3 when 0 then 'Swim|Kids' when 1 then '' else 'Baby' end as promo_scope, cast(o_orderdate as date) as start_date, cast(o_orderdate as date) + cast(3 + o_orderkey % 10 as int) as end_date from {orders}""",
-    "promo_offers": """select e.*, p.Item, p.Color, p.Item || '-' || p.Color || case when p.pk % 2 = 0 then '-X1' else '' end as offer_cc, l.l_discount * 100 as pct_off_msrp, p.MSRP * 0.8 as promo_price
+    "promo_offers": """select e.*, p.Item, p.Color, p.Item || '-' || p.Color || case when p.pk % 2 = 0 then '-X1' else '' end as offer_cc, l.l_discount * 100 as pct_off_msrp, p.MSRP * 0.8 as promo_price,
+        case when l.l_linenumber % 3 = 0 then 20.0 else null end as extra_off, case when l.l_linenumber % 2 = 0 then p.MSRP * 0.7 else null end as clearance_price, l.l_quantity as lw_units, l.l_tax * 1000 as avail_inv
         from promo_events e join {lineitem} l on l.l_orderkey = e.event_id join dim_product p on l.l_partkey = p.pk""",
     "planner_daily": """select cast(o_orderdate as date) as Date, count(*) * 25.0 as PlanUnits, count(*) * 24.0 as ActualUnits from {orders} group by cast(o_orderdate as date)""",
     "dirty_text": """select p_partkey as id, case p_partkey % 6 when 0 then ' $' || cast(p_size as string) || ',000 ' when 1 then '(' || cast(p_size as string) || ')' when 2 then cast(p_size as string) || '%' when 3 then 'nan'
