@@ -32,7 +32,7 @@ def no_model(universe: DataFrame, origins: DataFrame, recent: DataFrame, seasona
     lifted = lambda raw, floor: F.when(F.col("Multiplier").isNull(), raw).otherwise(F.greatest(raw * F.col("Multiplier"), floor))
     floor = F.coalesce("Floor", F.lit(0.0))
     named = {"recent": lifted(r, F.lit(0.0)), "recent_floor": lifted(r, floor), "seasonal": lifted(both, F.lit(0.0)), "seasonal_floor": lifted(both, floor)}
-    sums = rows.groupBy("Origin", "SKU").agg(*[F.bround(F.sum(v)).alias(n) for n, v in named.items()])
+    sums = rows.groupBy("Origin", "SKU").agg(*[F.bround(F.round(F.sum(v), 6)).alias(n) for n, v in named.items()])
     return sums.unpivot(["Origin", "SKU"], list(named), "Variant", "ForecastUnits").where("ForecastUnits > 0")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import evaluation, forecasts, modelling, origins, rollups, shaping  # noqa: F401
+from tidemark.plans import adjust, evaluation, forecasts, modelling, origins, rollups, shaping  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 FLAGSHIP = "window_scorecard"

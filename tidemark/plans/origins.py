@@ -125,8 +125,8 @@ _NO_MODEL = f"""{_DAILY}, {_OFFERS},
   g as (select u.Origin, u.SKU, coalesce(RecentUnits, 0) as a, coalesce(SeasonalUnits, 0) as b, m, coalesce(fl, 0) as fl from u join (select Origin, unnest(generate_series(Origin, Origin + 13, interval 1 day))::date as ForecastDate from o) h on h.Origin = u.Origin
     left join daily x on x.Origin = u.Origin and x.SKU = u.SKU and x.ForecastDate = h.ForecastDate left join season s on s.Origin = u.Origin and s.SKU = u.SKU and s.ForecastDate = h.ForecastDate left join promo p on p.Origin = u.Origin and p.SKU = u.SKU and p.ForecastDate = h.ForecastDate),
   w as (select *, case when a > 0 and b > 0 then 0.65 * a + 0.35 * b when b > 0 then b else a end as c from g),
-  forecast as (select Variant, Origin, SKU, ForecastUnits from (select Origin, SKU, unnest(['recent', 'recent_floor', 'seasonal', 'seasonal_floor']) as Variant, unnest([v1, v2, v3, v4]) as ForecastUnits from (select Origin, SKU, round_even(sum(case when m is null then a else greatest(a * m, 0) end), 0) as v1,
-    round_even(sum(case when m is null then a else greatest(a * m, fl) end), 0) as v2, round_even(sum(case when m is null then c else greatest(c * m, 0) end), 0) as v3, round_even(sum(case when m is null then c else greatest(c * m, fl) end), 0) as v4 from w group by all)) where ForecastUnits > 0)"""
+  forecast as (select Variant, Origin, SKU, ForecastUnits from (select Origin, SKU, unnest(['recent', 'recent_floor', 'seasonal', 'seasonal_floor']) as Variant, unnest([v1, v2, v3, v4]) as ForecastUnits from (select Origin, SKU, round_even(round(sum(case when m is null then a else greatest(a * m, 0) end), 6), 0) as v1,
+    round_even(round(sum(case when m is null then a else greatest(a * m, fl) end), 6), 0) as v2, round_even(round(sum(case when m is null then c else greatest(c * m, 0) end), 6), 0) as v3, round_even(round(sum(case when m is null then c else greatest(c * m, fl) end), 6), 0) as v4 from w group by all)) where ForecastUnits > 0)"""
 
 
 def _no_model(t):
