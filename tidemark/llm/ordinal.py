@@ -7,7 +7,8 @@ From it come the expected grade and the probability of a grade at least as high
 The fit sees a bounded sample: at most ``per_grade`` rows of each grade, those with the smallest hash of the id, of at
 most ``most_chars`` characters. Scoring sees whole texts. Defined results: a null or blank text is scored by its
 measures alone; grades that were never seen have probability near 0; without ratings every grade is equally
-likely; null ids or grades are no training rows; repeated rows have equal results; all columns of the table are kept.
+likely; null ids or grades are no training rows; repeated rows have equal results; very long texts are scored whole; all columns of the
+table are kept, but for those that have the results' names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import io
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.files import attempt_name, open_input, open_output, shared_dir, written
@@ -119,15 +120,24 @@ def fit(texts: list[bytes], grades: np.ndarray, n_grades: int, steps: int = 80)
     return CumulativeLink(weights, p[1].astype(np.float32), np.concatenate([p[2][:1], p[2][0] + np.cumsum(np.exp(p[2][1:]))]))
 
 
+def training_rows(docs: DataFrame, rated: DataFrame, grade_col: str = "grade", text_col: str = "text", id_col: str = "doc_id", per_grade: int = 1500, seed: int = 5) -> DataFrame:
+    """(id_col, text_col, grade_col) of documents with a grade: at most 2 * ``per_grade`` ids of each grade, chosen before texts are read.
+
+    The ids that are chosen, a bounded number, are what is broadcast. An id with several grades has the highest.
+    """
+    own = rated.where(f"{id_col} is not null and {grade_col} is not null").groupBy(id_col).agg(F.max(grade_col).alias(grade_col))
+    place = F.row_number().over(Window.partitionBy(grade_col).orderBy(F.xxhash64(id_col, F.lit(seed)), id_col))
+    picked = own.withColumn("_place", place).where(F.col("_place") <= 2 * per_grade).drop("_place")
+    return docs.select(id_col, text_col).join(F.broadcast(picked), id_col)
+
+
 def train_model(rated: DataFrame, grade_col: str = "grade", n_grades: int = 3, text_col: str = "text", id_col: str = "doc_id", per_grade: int = 1500, most_chars: int = 20_000, seed: int = 5) -> str:
     """Fit on a bounded sample of ``rated`` in one task; the address of the model file."""
     folder = shared_dir(rated.sparkSession, "ordinal")
     rows = rated.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(grade_col).cast("int").alias("y"))
     rows = rows.where(f"id is not null and y between 0 and {n_grades - 1} and length(coalesce(text, '')) <= {most_chars}")
-    parts = [rows.where(F.col("y") == g).orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(per_grade) for g in range(n_grades)]
-    sample = parts[0]
-    for part in parts[1:]:
-        sample = sample.unionAll(part)
+    place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id", F.lit(seed)), "id", "text"))
+    sample = rows.withColumn("place", place).where(F.col("place") <= per_grade).drop("place")
 
     def run(batches):
         got = sorted((r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3)))), key=lambda r: (r[0], r[2], r[1] or ""))
@@ -141,7 +151,8 @@ def train_model(rated: DataFrame, grade_col: str = "grade", n_grades: int = 3, t
 
 
 def with_grades(docs: DataFrame, model: str, at_least: int = 2, text_col: str = "text") -> DataFrame:
-    """``docs`` with expected_grade and tail_probability, P(grade >= at_least), of each whole text."""
+    """``docs`` with expected_grade and tail_probability, P(grade >= at_least), of each whole text; columns of these names are replaced."""
+    docs = docs.drop("expected_grade", "tail_probability")
     column = docs.columns.index(text_col)
 
     def run(batches):

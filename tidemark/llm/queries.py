@@ -109,12 +109,8 @@ _MAY_LEARN = "doc_id is not null and crc32(cast(cast(doc_id as string) as binary
 def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grades: 0 poor, 1 good but toxic, 2 good; kept is a probability of at least one half that the grade is 2."""
     docs = _table(spark, sf_dir, "documents")
-    rated = _table(spark, sf_dir, "labels").where(_MAY_LEARN).where("quality in (0, 1) and toxic in (0, 1)").select("doc_id", (F.col("quality") * (2 - F.col("toxic"))).alias("grade")).groupBy("doc_id").agg(F.max("grade").alias("grade"))
-    picked = None
-    for g in range(3):
-        part = rated.where(F.col("grade") == g).orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(3000)
-        picked = part if picked is None else picked.unionAll(part)
-    model = ordinal.train_model(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"))
+    rated = _table(spark, sf_dir, "labels").where(_MAY_LEARN).where("quality in (0, 1) and toxic in (0, 1)").select("doc_id", (F.col("quality") * (2 - F.col("toxic"))).alias("grade"))
+    model = ordinal.train_model(ordinal.training_rows(docs, rated))
     graded = ordinal.with_grades(docs.select("doc_id", "text"), model, at_least=2)
     return graded.select("doc_id", "expected_grade", "tail_probability", (F.col("tail_probability") >= 0.5).alias("kept"))
 

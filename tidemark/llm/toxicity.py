@@ -12,7 +12,8 @@ others at random.
 The fit sees a bounded sample: at most ``per_class`` rows of each label, those with the smallest hash of the id, of at
 most ``most_chars`` characters. Scoring sees whole texts. Defined results: a null, blank or wordless text is one empty
 window and has a score; without labels of both kinds every score is 0.02; repeated rows have equal scores; a null id or
-label is no training row; all columns of the scored table are kept.
+label is no training row; ids are cast to whole numbers for training only; all columns of the scored table are kept, but for one that
+has the name of the score; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import io
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.files import attempt_name, open_input, open_output, shared_dir, written
@@ -308,8 +309,8 @@ def train_model(labelled: DataFrame, text_col: str = "text", label_col: str = "t
     folder = shared_dir(labelled.sparkSession, "toxicity")
     rows = labelled.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("y"))
     rows = rows.where(f"id is not null and y in (0, 1) and length(coalesce(text, '')) <= {most_chars}")
-    order = F.xxhash64("id", F.lit(seed))
-    sample = rows.where("y = 1").orderBy(order, "id").limit(per_class).unionAll(rows.where("y = 0").orderBy(order, "id").limit(per_class))
+    place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id", F.lit(seed)), "id", "text"))
+    sample = rows.withColumn("place", place).where(F.col("place") <= per_class).drop("place")
 
     def run(batches):
         got = [r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3)))]
@@ -324,7 +325,8 @@ def train_model(labelled: DataFrame, text_col: str = "text", label_col: str = "t
 
 
 def with_scores(docs: DataFrame, model: str, text_col: str = "text", out_col: str = "score") -> DataFrame:
-    """``docs`` with the score (0 to 1) of each whole text."""
+    """``docs`` with the score (0 to 1) of each whole text; a column that has the score's name already is replaced."""
+    docs = docs.drop(out_col) if out_col != text_col else docs
     at = docs.columns.index(text_col)
 
     def run(batches):
@@ -356,6 +358,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = 1500, see
     Ids are chosen before texts are read: at most 2 * ``per_class`` * 2 of them, which is what is broadcast.
     """
     own = labels.where("doc_id is not null and toxic in (0, 1) and crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = F.xxhash64("doc_id", F.lit(seed))
-    picked = own.where("toxic = 1").orderBy(order, "doc_id").limit(2 * per_class).unionAll(own.where("toxic = 0").orderBy(order, "doc_id").limit(2 * per_class))
+    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id"))
+    picked = own.withColumn("_place", place).where(F.col("_place") <= 2 * per_class).drop("_place")
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
