@@ -138,9 +138,11 @@ def train_model(rated: DataFrame, grade_col: str = "grade", n_grades: int = 3, t
     rows = rows.where(f"id is not null and y between 0 and {n_grades - 1} and length(coalesce(text, '')) <= {most_chars}")
     place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id", F.lit(seed)), "id", "text"))
     sample = rows.withColumn("place", place).where(F.col("place") <= per_grade).drop("place")
+    # a row of nulls, which is skipped: there is a task, and a model, without any sample
+    sample = sample.unionAll(rows.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType) for f in sample.schema]))
 
     def run(batches):
-        got = sorted((r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3)))), key=lambda r: (r[0], r[2], r[1] or ""))
+        got = sorted((r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3))) if r[0] is not None), key=lambda r: (r[0], r[2], r[1] or ""))
         model = fit([(t or "").encode("utf-8", "replace") for _, t, _ in got], np.array([y for *_, y in got], np.int64), n_grades)
         path = f"{folder}/{attempt_name('model')}.npz"
         with open_output(path) as out:
