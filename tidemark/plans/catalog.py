@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import adjust, churn, evaluation, forecasts, modelling, origins, panel, rollups, shaping  # noqa: F401
+from tidemark.plans import adjust, churn, evaluation, exports, forecasts, imports, lifts, modelling, origins, panel, rollups, shaping  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 FLAGSHIP = "window_scorecard"

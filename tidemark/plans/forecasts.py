@@ -174,11 +174,27 @@ def wide_horizon(t):
     return rows.select("SnapshotId", "SKU", *[F.coalesce(str(k), F.lit(0.0)).alias(f"FD{k}") for k in range(1, 15)])
 
 
-@query("""select SnapshotId, a as OldTier, b as NewTier, count(*) as n from (select x.SnapshotId, case when x.q * 6.5 <= 20 then 'C' when x.q * 6.5 <= 40 then 'B' when x.q * 6.5 <= 100 then 'A' else 'AA' end as a, d.Velocity as b from (select SnapshotId, SKU, sum(ForecastQty) as q from forecast_sku_day group by all) x join dim_product d using (SKU)) group by all""")
-def tier_transitions(t):
-    """AG30, AG31 and PRJ14 tiers against each other."""
+_TIERS = """t as (select x.SnapshotId, x.SKU, x.q, case when x.q * 6.5 <= 20 then 'C' when x.q * 6.5 <= 40 then 'B' when x.q * 6.5 <= 100 then 'A' else 'AA' end as OldTier, d.Velocity as NewTier from (select SnapshotId, SKU, sum(ForecastQty) as q from forecast_sku_day group by all) x join dim_product d using (SKU))"""
+
+
+def _tiers(t):
     rows = t.forecast_sku_day.groupBy("SnapshotId", "SKU").agg(F.sum("ForecastQty").alias("q")).join(t.dim_product.select("SKU", F.col("Velocity").alias("NewTier")), "SKU")
-    return rows.groupBy("SnapshotId", S.velocity_tier(F.col("q") * 6.5).alias("OldTier"), "NewTier").agg(F.count("*").alias("n"))
+    return rows.withColumn("OldTier", S.velocity_tier(F.col("q") * 6.5))
+
+
+@query(f"with {_TIERS} select SnapshotId, OldTier, NewTier, count(*) as n from t group by all")
+def tier_transitions(t):
+    """AG30 and PRJ14 tiers against each other."""
+    return _tiers(t).groupBy("SnapshotId", "OldTier", "NewTier").agg(F.count("*").alias("n"))
+
+
+@query(f"""with {_TIERS}, m as (select *, abs(list_position(['C', 'B', 'A', 'AA'], OldTier) - list_position(['C', 'B', 'A', 'AA'], NewTier)) as miss from t) select SnapshotId, count(*) as SKUs, round(avg((miss = 0)::int), 6) as Exact, round(avg((miss <= 1)::int), 6) as WithinOne, sum(q * miss) as UnitMiss, round(sum(q * miss) / nullif(sum(q), 0), 6) as WeightedMiss from m group by 1""")
+def tier_accuracy(t):
+    """AG31 how many tiers are right, within one, and how far units are off."""
+    rank = lambda c: F.array_position(F.array(*map(F.lit, ("C", "B", "A", "AA"))), F.col(c))
+    rows = _tiers(t).withColumn("miss", F.abs(rank("OldTier") - rank("NewTier")))
+    share = lambda c: F.round(F.avg(c.cast("int")), 6)
+    return rows.groupBy("SnapshotId").agg(F.count("*").alias("SKUs"), share(F.col("miss") == 0).alias("Exact"), share(F.col("miss") <= 1).alias("WithinOne"), F.sum(F.col("q") * F.col("miss")).alias("UnitMiss"), F.round(S.ratio_or_null(F.sum(F.col("q") * F.col("miss")), F.sum("q")), 6).alias("WeightedMiss"))
 
 
 @query("""select SKU, ForecastDate, arg_max(ForecastQty, effective::varchar || SnapshotId) as units, arg_max(SnapshotId, effective::varchar || SnapshotId) as vintage

@@ -29,11 +29,34 @@ def segment_rollup(t):
     return both.groupBy("PickDate", "SKU").agg(F.sum("u").alias("units"), F.sum("o").alias("order_sum"))
 
 
-@query("""select OrderDate, SKU, count(*) as lines, count(distinct SalesID) as orders, sum(QtyOrdered) as qty, count(*) filter (QtyOrdered < 0) as return_lines, round(sum(LineAmount), 4) as amount, round(case when sum(QtyOrdered * MSRP) <> 0 then 1 - sum(LineAmount) / sum(QtyOrdered * MSRP) end, 6) as weighted_off from order_lines group by all""")
+_ORDERS = """select {0}, sum(QtyOrdered) as Units, sum(abs(QtyOrdered)) as AbsUnits, count(*) as Lines, count(distinct SalesID) as Orders, count(distinct SKU) as SKUs, count(*) filter (QtyOrdered < 0) as ReturnLines, sum(QtyOrdered) filter (QtyOrdered < 0) as ReturnUnits, round(sum(abs(QtyOrdered) * MSRP), 4) as GrossMSRP, round(sum(abs(QtyOrdered) * SalesPrice), 4) as GrossSales,
+  round(sum(LineAmount), 4) as Amount, round(sum(abs(QtyOrdered) * MSRP) - sum(abs(LineAmount)), 4) + 0.0 as DiscountMSRP, round(sum(abs(QtyOrdered) * SalesPrice) - sum(abs(LineAmount)), 4) + 0.0 as DiscountSales, max(off) as MaxOff, count(*) filter (LineDiscPercent > 0 or off >= 0.05) as DiscountedLines, round(case when sum(QtyOrdered * MSRP) <> 0 then 1 - sum(LineAmount) / sum(QtyOrdered * MSRP) end, 6) + 0.0 as WeightedOffMSRP,
+  round(case when sum(QtyOrdered * SalesPrice) <> 0 then 1 - sum(LineAmount) / sum(QtyOrdered * SalesPrice) end, 6) + 0.0 as WeightedOffSales from (select *, case when MSRP <> 0 and QtyOrdered <> 0 then round(1 - LineAmount / (QtyOrdered * MSRP), 6) end as off from order_lines) group by all"""
+
+
+def _order_sums(t, *by):
+    q, off = F.col("QtyOrdered"), F.round(1 - S.ratio_or_null(F.col("LineAmount"), F.col("QtyOrdered") * F.col("MSRP")), 6)
+    # adding 0 turns a rounded -0.0 into 0.0
+    gross, total = lambda p: F.sum(F.abs(q) * F.col(p)), lambda c: F.round(c, 4) + F.lit(0.0)
+    weighted = lambda p: F.round(1 - S.ratio_or_null(F.sum("LineAmount"), F.sum(q * F.col(p))), 6) + F.lit(0.0)
+    paid = F.sum(F.abs("LineAmount"))
+    return t.order_lines.withColumn("off", off).groupBy(*by).agg(
+        F.sum(q).alias("Units"), F.sum(F.abs(q)).alias("AbsUnits"), F.count("*").alias("Lines"), F.countDistinct("SalesID").alias("Orders"), F.countDistinct("SKU").alias("SKUs"), F.count_if(q < 0).alias("ReturnLines"), F.sum(F.when(q < 0, q)).alias("ReturnUnits"),
+        total(gross("MSRP")).alias("GrossMSRP"), total(gross("SalesPrice")).alias("GrossSales"), total(F.sum("LineAmount")).alias("Amount"), total(gross("MSRP") - paid).alias("DiscountMSRP"), total(gross("SalesPrice") - paid).alias("DiscountSales"),
+        F.max("off").alias("MaxOff"), F.count_if((F.col("LineDiscPercent") > 0) | (F.col("off") >= 0.05)).alias("DiscountedLines"), weighted("MSRP").alias("WeightedOffMSRP"), weighted("SalesPrice").alias("WeightedOffSales"),
+    )
+
+
+@query(_ORDERS.format("OrderDate, SKU"))
 def order_rollup(t):
     """AG3 order lines to SKU and day."""
-    gross = F.sum(F.col("QtyOrdered") * F.col("MSRP"))
-    return t.order_lines.groupBy("OrderDate", "SKU").agg(F.count("*").alias("lines"), F.countDistinct("SalesID").alias("orders"), F.sum("QtyOrdered").alias("qty"), F.count_if(F.col("QtyOrdered") < 0).alias("return_lines"), F.round(F.sum("LineAmount"), 4).alias("amount"), F.round(1 - S.ratio_or_null(F.sum("LineAmount"), gross), 6).alias("weighted_off"))
+    return _order_sums(t, "OrderDate", "SKU")
+
+
+@query(_ORDERS.format("OrderDate"))
+def order_days(t):
+    """AG4 order lines to days."""
+    return _order_sums(t, "OrderDate")
 
 
 @query("""select d.OrderDate, b.band, coalesce(x.n, 0) as lines, coalesce(x.q, 0) as qty, coalesce(x.s, 0) as skus, coalesce(x.a, 0) as amount from (select distinct OrderDate from order_lines) d
@@ -57,12 +80,21 @@ def inventory_summary(t):
     return t.inventory_sku_day.groupBy("SnapshotDate").agg(F.count("*").alias("rows"), F.countDistinct("SKU").alias("skus"), F.sum("AvailPhysical").alias("avail"), F.sum(F.greatest(F.col("AvailPhysical") - F.col("PhysicalReserved"), F.lit(0.0))).alias("net"), F.count_if(F.col("AvailPhysical") > 0).alias("in_stock"), F.count_if(F.col("OrderedInTotal") > 1).alias("on_order"))
 
 
-@query("""select PickDate, SKU, sum(Units) filter (Location = '') as physical, sum(Units) filter (Location <> '' and LocProfile like 'Picking%') as picking, sum(Units) filter (Location <> '' and LocProfile = 'Bulk') as bulk, sum(Units) filter (WorkTransType = 1) as received, sum(Units) filter (WorkTransType = 12) as returned, bool_or(LocProfile = 'W001') as any_return, count(distinct Location) as locations from work_lines group by all""")
+_BUCKET = "case when Location = '' then 'BlankLocation' when LocProfile in ('Picking', 'Picking A', 'Picking D', 'PalletPicking') then 'PickFace' when LocProfile = 'W001' then 'W001' when LocProfile in ('Bulk', 'Overflow') then 'ReserveOrBulk' when LocProfile in ('RSTAGE', 'Induction', 'Direct Packing') then 'StagingOrProcessing' else 'OtherLocated' end"
+BUCKETS = ("BlankLocation", "PickFace", "W001", "ReserveOrBulk", "StagingOrProcessing", "OtherLocated")
+
+
+@query(f"""select PickDate, SKU, {", ".join(f"coalesce(sum(Units) filter (b = '{x}'), 0) as {x}" for x in BUCKETS)}, coalesce(sum(Units) filter (b <> 'BlankLocation'), 0) as Located, coalesce(sum(Units) filter (WorkTransType = 1), 0) as Received, coalesce(sum(Units) filter (WorkTransType = 12), 0) as Returned, coalesce(sum(Units) filter (WorkTransType = 11), 0) as Replenished, coalesce(sum(Units) filter (WorkTransType = 7), 0) as Moved,
+  coalesce(sum(Units) filter (Location in ('Washed', 'Rags', 'Quality') or Zone = 'Quarantine'), 0) as Unsold, bool_or(LocProfile = 'W001') as AnyReturn, bool_or(Location in ('Washed', 'Bander')) as AnyExcluded, count(distinct Location) as Locations from (select *, {_BUCKET} as b from work_lines) group by all""")
 def supply_pivot(t):
-    """AG8, AG9 and AG12: filtered sums, any-flags and distinct locations; blank-location level apart."""
-    total = lambda c: F.sum(F.when(c, F.col("Units")))
-    blank, kind = F.col("Location") == "", F.col("WorkTransType")
-    return t.work_lines.groupBy("PickDate", "SKU").agg(total(blank).alias("physical"), total(~blank & F.col("LocProfile").startswith("Picking")).alias("picking"), total(~blank & (F.col("LocProfile") == "Bulk")).alias("bulk"), total(kind == 1).alias("received"), total(kind == 12).alias("returned"), F.bool_or(F.col("LocProfile") == "W001").alias("any_return"), F.countDistinct("Location").alias("locations"))
+    """AG8 quantities by bucket and totals, AG9 filtered sums, AG12 any-flags and distinct locations."""
+    rows = t.work_lines.withColumn("b", S.reservation_bucket(F.col("Location"), F.col("LocProfile")))
+    total = lambda c: F.sum(F.when(c, F.col("Units")).otherwise(0.0))
+    kind = F.col("WorkTransType")
+    return rows.groupBy("PickDate", "SKU").agg(
+        *[total(F.col("b") == x).alias(x) for x in BUCKETS], total(F.col("b") != "BlankLocation").alias("Located"), total(kind == 1).alias("Received"), total(kind == 12).alias("Returned"), total(kind == 11).alias("Replenished"), total(kind == 7).alias("Moved"),
+        total(F.col("Location").isin(*S.UNSOLD_LOCATIONS) | (F.col("Zone") == S.UNSOLD_ZONE)).alias("Unsold"), F.bool_or(F.col("LocProfile") == "W001").alias("AnyReturn"), F.bool_or(F.col("Location").isin("Washed", "Bander")).alias("AnyExcluded"), F.countDistinct("Location").alias("Locations"),
+    )
 
 
 @query("""select SnapshotDate, SKU, sum(case when d < 0 then u else 0 end) as past_due, sum(case when d between 0 and 7 then u else 0 end) as d0_7, sum(case when d between 8 and 14 then u else 0 end) as d8_14, sum(case when d between 15 and 30 then u else 0 end) as d15_30, sum(case when d between 31 and 60 then u else 0 end) as d31_60, sum(case when d between 61 and 90 then u else 0 end) as d61_90, sum(case when d > 90 then u else 0 end) as d90_up from (select SnapshotDate, SKU, ExpectedInDCDate - SnapshotDate as d, InboundRemainderUnits as u from inbound_snapshots) group by all""")
@@ -108,12 +140,14 @@ def demand_lags(t):
     return rows.select("SKU", "ActualDate", "Lag1", "Lag7", "Lag14", F.round("RollingMean7", 6).alias("RollingMean7"), F.round("RollingMean28", 6).alias("RollingMean28"), "Calendar7")
 
 
-@query("""select Category, ActualDate, Units, coalesce(lag(Units, 1) over (partition by Category order by ActualDate), 0) as Lag1, round(coalesce(avg(Units) over (partition by Category order by ActualDate rows between 7 preceding and 1 preceding), 0), 6) as Mean7 from (select Category, ActualDate, sum(SoldUnits) as Units from actual_sku_day join dim_product using (SKU) group by all)""")
+@query("""select Family, Member, ActualDate, Units, coalesce(lag(Units, 1) over w, 0) as Lag1, round(coalesce(avg(Units) over (w rows between 7 preceding and 1 preceding), 0), 6) as Mean7 from (select Family, Member, ActualDate, sum(u) as Units
+  from (select unnest(['category', 'item']) as Family, unnest([Category, Item || '-' || Color]) as Member, ActualDate, SoldUnits as u from actual_sku_day join dim_product using (SKU)) group by all) window w as (partition by Family, Member order by ActualDate)""")
 def family_lags(t):
-    """AG19 and WN3 family totals with their lags; JN3 category join."""
-    days = t.actual_sku_day.join(t.dim_product.select("SKU", "Category"), "SKU").groupBy("Category", "ActualDate").agg(F.sum("SoldUnits").alias("Units"))
-    rows = W.row_lags(days, ["Category"], "ActualDate", "Units", lags=(1,), means=(7,))
-    return rows.select("Category", "ActualDate", "Units", "Lag1", F.round("RollingMean7", 6).alias("Mean7"))
+    """AG19 and WN3 totals of categories and of item and colour, with their lags; JN3 category join."""
+    named = F.array(F.struct(F.lit("category").alias("Family"), F.col("Category").alias("Member")), F.struct(F.lit("item").alias("Family"), F.concat_ws("-", "Item", "Color").alias("Member")))
+    rows = t.actual_sku_day.join(t.dim_product.select("SKU", "Category", "Item", "Color"), "SKU").select("ActualDate", "SoldUnits", F.explode(named).alias("f")).select("f.*", "ActualDate", "SoldUnits")
+    days = rows.groupBy("Family", "Member", "ActualDate").agg(F.sum("SoldUnits").alias("Units"))
+    return W.row_lags(days, ["Family", "Member"], "ActualDate", "Units", lags=(1,), means=(7,)).select("Family", "Member", "ActualDate", "Units", "Lag1", F.round("RollingMean7", 6).alias("Mean7"))
 
 
 @query("""select s.day as Date, coalesce(sum(u), 0) as Sum14 from (select unnest(generate_series(min(ActualDate), max(ActualDate) - 13, interval 1 day))::date as day from actual_sku_day) s join (select ActualDate, sum(SoldUnits) as u from actual_sku_day group by 1) a on a.ActualDate between s.day and s.day + 13 group by 1""")

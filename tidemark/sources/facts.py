@@ -47,6 +47,22 @@ VIEWS = {
         case when l.l_linenumber % 3 = 0 then 20.0 else null end as extra_off, case when l.l_linenumber % 2 = 0 then p.MSRP * 0.7 else null end as clearance_price, l.l_quantity as lw_units, l.l_tax * 1000 as avail_inv
         from promo_events e join {lineitem} l on l.l_orderkey = e.event_id join dim_product p on l.l_partkey = p.pk""",
     "planner_daily": """select cast(o_orderdate as date) as Date, count(*) * 25.0 as PlanUnits, count(*) * 24.0 as ActualUnits from {orders} group by cast(o_orderdate as date)""",
+    "source_files": """select *, 'FWD' || case kind when 0 then '_' || y || '-' || m || '-' || lpad(d, 2, '0') when 1 then ' ' || m || '-' || d || '-' || substr(y, 3, 2) when 2 then ' ' || m || lpad(d, 2, '0') || substr(y, 3, 2) else ' ' || y || lpad(m, 2, '0') || lpad(d, 2, '0') end || '.csv' as name
+        from (select o_orderkey as id, cast(o_orderkey % 4 as int) as kind, cast(year(day) as string) as y, cast(month(day) as string) as m, cast(day(day) as string) as d, day + cast(o_custkey % 9 as int) as modified, case o_custkey % 4 when 0 then 'Error' when 1 then 'Complete' when 2 then 'Processing' else 'Archive' end as folder,
+          date '1998-01-06' + cast(14 * (o_orderkey % 25) as int) as start_min, cast(o_custkey % 20 as int) as skus, cast(o_custkey % 11 as double) as units, 'c' || cast(o_custkey % 400 as string) as content from (select *, cast(o_orderdate as date) + 9132 as day from {orders}) x) f""",
+    "cell_files": """select distinct cast(floor(p_partkey / 20.0) as int) as fid from {part}""",
+    "cells": """select fid as file_id, case fid % 4 when 0 then 'Markdown list' when 1 then 'Coupon tracker' when 2 then 'Promo Offers A' else 'Sale sheet' end as sheet_name, rw, cl, val from (
+        select fid, 0 as rw, 0 as cl, 'Event Name:' as val from cell_files union all select fid, 0, 2, case fid % 3 when 0 then 'Final Sale ' || cast(fid as string) else 'Summer ' || cast(fid as string) end from cell_files
+        union all select fid, 1, 0, 'Start Date' from cell_files union all select fid, 1, 1, '7/4/98' from cell_files
+        union all select fid, 2, 0, 'Offer' from cell_files where fid % 5 <> 4 union all select fid, 2, 1, ' Style ' from cell_files where fid % 5 <> 4 union all select fid, 2, 2, '% Off MSRP' from cell_files where fid % 5 <> 4
+        union all select fid, 2, 3, 'Division' from cell_files where fid % 5 <> 4 union all select fid, 2, 4, 'Division' from cell_files where fid % 5 <> 4 union all select fid, 2, 5, 'Promo & $ Price' from cell_files where fid % 5 <> 4
+        union all select cast(floor(p_partkey / 20.0) as int), 3 + cast(p_partkey % 20 as int), 0, case when p_partkey % 6 = 0 then '' else 'I' || cast(p_partkey as string) || '-C' || cast(p_size as string) end from {part}
+        union all select cast(floor(p_partkey / 20.0) as int), 3 + cast(p_partkey % 20 as int), 1, case when p_partkey % 4 = 0 then 'S' || cast(p_partkey as string) else '' end from {part}
+        union all select cast(floor(p_partkey / 20.0) as int), 3 + cast(p_partkey % 20 as int), 2, cast(p_size as string) || '%' from {part}
+        union all select cast(floor(p_partkey / 20.0) as int), 3 + cast(p_partkey % 20 as int), 5, '$' || cast(p_size * 3 as string) || '.50' from {part}) c""",
+    "planner_cells": """select cl, 4 as rw, cast(Date as string) as val from (select *, row_number() over (order by Date) as cl from planner_daily) a union all select cl, 9, cast(PlanUnits as string) from (select *, row_number() over (order by Date) as cl from planner_daily) b
+        union all select cl, 12, cast(ActualUnits as string) from (select *, row_number() over (order by Date) as cl from planner_daily) c union all select 0, 9, ' Ops IMF Plan ' union all select 0, 12, 'Actual Demand (units)' union all select 0, 4, 'Date'""",
+    "ledger": """select SKU, OrderDate as last_seen, 'L' || cast(SalesID % 9 as string) as source_file, SalesID, case when SalesID % 7 = 0 then '' else substr(Category, 1, 3) end as GroupCode, case when SalesID % 5 = 0 then '' else lower(substr(Category, 4, 1)) end as SizeCode from order_lines""",
     "dirty_text": """select p_partkey as id, case p_partkey % 6 when 0 then ' $' || cast(p_size as string) || ',000 ' when 1 then '(' || cast(p_size as string) || ')' when 2 then cast(p_size as string) || '%' when 3 then 'nan'
         when 4 then ' i1-c2-' || cast(p_size as string) || '-b ' else p_name || ' up to ' || cast(p_size as string) || '% off 6/' || cast(1 + p_size % 28 as string) || '-7/4' end as raw from {part}""",
 }
