@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared ``spark.checkpoint.dir``; a temporary one of this machine only where that is unset, as in tests."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or "file://" + tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
+    """A new folder in the shared ``spark.checkpoint.dir``; a temporary one of this machine only in local mode, where that may be unset."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
