@@ -46,11 +46,20 @@ def latest_snapshot(history: DataFrame, origins: DataFrame, origin: str, known:
     return history.join(chosen.select(origin, known), known)
 
 
+def _near_sums(asks: DataFrame, facts: DataFrame, keys: list[str], at: str, day: str, measure: str, first: int, last: int, out: str) -> DataFrame:
+    """``asks`` with the sum of a measure over the days from ``at`` + first to ``at`` + last; null where there is none.
+
+    Asks and facts are sorted together inside a key and summed in a frame of days: one row for each of them, no row for each day.
+    """
+    a = asks.withColumns({"_n": F.unix_date(at), "_m": F.lit(None).cast("double"), "_ask": F.lit(True)})
+    b = facts.select(*keys, F.unix_date(day).alias("_n"), F.col(measure).cast("double").alias("_m"))
+    near = F.sum("_m").over(Window.partitionBy(*keys).orderBy("_n").rangeBetween(first, last))
+    return a.unionByName(b, allowMissingColumns=True).withColumn(out, near).where("_ask").drop("_n", "_m", "_ask")
+
+
 def in_window(starts: DataFrame, facts: DataFrame, keys: list[str], start: str, day: str, days: int, measure: str, out: str) -> DataFrame:
-    """Rows of ``starts`` with the sum of a measure in [start, start + days); an equi join on each day of the window."""
-    spread = starts.select(*keys, start).distinct().withColumn("_day", F.explode(F.sequence(F.col(start), F.date_add(F.col(start), days - 1))))
-    sums = spread.join(facts.select(*keys, F.col(day).alias("_day"), measure), [*keys, "_day"]).groupBy(*keys, start).agg(F.sum(measure).alias(out))
-    return starts.join(sums, [*keys, start], "left").withColumn(out, F.coalesce(out, F.lit(0.0)))
+    """Rows of ``starts`` with the sum of a measure in [start, start + days)."""
+    return _near_sums(starts, facts, keys, start, day, measure, 0, days - 1, out).withColumn(out, F.coalesce(out, F.lit(0.0)))
 
 
 def days_later(df: DataFrame, day: str, days: int = 1) -> DataFrame:
@@ -58,11 +67,14 @@ def days_later(df: DataFrame, day: str, days: int = 1) -> DataFrame:
 
 
 def seasonal_mean(targets: DataFrame, facts: DataFrame, keys: list[str], day: str, fact_day: str, measure: str, years: int, radius: int, out: str) -> DataFrame:
-    """Mean of a measure over the days within ``radius`` of the same day in each of ``years`` prior years; the divisor is fixed."""
-    near = targets.select(*keys, day).distinct().withColumn("_y", F.explode(F.sequence(F.lit(1), F.lit(years)))).withColumn("_o", F.explode(F.sequence(F.lit(-radius), F.lit(radius))))
-    near = near.withColumn("_day", F.expr(f"date_add(add_months(`{day}`, -12 * _y), _o)"))
-    sums = near.join(facts.select(*keys, F.col(fact_day).alias("_day"), measure), [*keys, "_day"]).groupBy(*keys, day).agg((F.sum(measure) / (years * (2 * radius + 1))).alias(out))
-    return targets.join(sums, [*keys, day], "left").withColumn(out, F.coalesce(out, F.lit(0.0)))
+    """Mean of a measure over the days within ``radius`` of the same day in each of ``years`` prior years; the divisor is fixed.
+
+    Targets that repeat are one row.
+    """
+    asks = targets.withColumn("_y", F.explode(F.sequence(F.lit(1), F.lit(years)))).withColumn("_day", F.expr(f"add_months(`{day}`, -12 * _y)"))
+    rows = _near_sums(asks, facts, keys, "_day", fact_day, measure, -radius, radius, "_sum")
+    mean = F.coalesce(F.sum("_sum"), F.lit(0.0)) / (years * (2 * radius + 1))
+    return rows.groupBy(*targets.columns).agg(mean.alias(out))
 
 
 def set_difference(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
