@@ -3,7 +3,7 @@
 A text's bytes, filled up with 255 to a positive multiple of 576, are the samples of an 8-bit grey PNG image 576
 wide. Each task writes its images to tar shards on the shared folder, one member for each digest it meets, and
 each row carries the digest, shard, offset and length. Where several shards hold a digest, all rows refer to that in
-the smallest (shard, offset): every image has one address. Metadata columns come from a range read of the header
+the first of them (by partition): every image has one address. Metadata columns come from a range read of the header
 alone; payload columns from a range read of the member.
 
 A digest that very many rows share is no hot key: rows find what is known of their image by the member that their own
@@ -23,6 +23,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,25 +79,26 @@ def from_png(data: bytes) -> bytes:
 
 
 class _Shards:
-    """Tar files of at most about SHARD_BYTES; an image is stored once."""
+    """Tar files of at most about SHARD_BYTES; an image is stored once in each. A file's number is of its partition and its turn."""
 
-    def __init__(self, folder: str):
-        self.folder, self.out, self.known = folder, None, {}
+    def __init__(self, folder: str, part: int):
+        self.folder, self.out, self.known, self.number = folder, None, {}, (part << 20) - 1
 
-    def put(self, data: bytes) -> tuple[bytes, str, int, int]:
+    def put(self, data: bytes) -> tuple[bytes, int, str, int, int]:
         digest = hashlib.sha256(data).digest()
         if digest not in self.known:
             if self.out is None or self.at > SHARD_BYTES:
                 self.close()
                 self.known.clear()
                 self.name, self.at = f"{self.folder}/{attempt_name('media')}.tar", 0
+                self.number += 1
                 self.out = open_output(self.name)
             info = tarfile.TarInfo(f"{digest.hex()[:2]}/{digest.hex()}.png")
             info.size = len(data)
             head = info.tobuf(tarfile.GNU_FORMAT)
             fill = b"\0" * (-len(data) % 512)
             self.out.write(head + data + fill)
-            self.known[digest] = (self.name, self.at + len(head), len(data))
+            self.known[digest] = (self.number, self.name, self.at + len(head), len(data))
             self.at += len(head) + len(data) + len(fill)
         return digest, *self.known[digest]
 
@@ -109,16 +111,16 @@ class _Shards:
 
 def _store(folder: str):
     def run(batches):
-        shards = _Shards(folder)
+        shards = _Shards(folder, TaskContext.get().partitionId())
         for batch in batches:
             rows = []
             for text in batch.column(1):
                 raw = text.as_py()
                 raw = raw.encode("utf-8", "surrogatepass") if isinstance(raw, str) else raw or b""
                 rows.append((len(raw), *shards.put(to_png(padded(raw)))))
-            kinds = (pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.int64())
-            cols = [pa.array(x, k) for x, k in zip(zip(*rows) if rows else [()] * 5, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["id", "n_bytes", "digest", "shard", "offset", "length"])
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+            cols = [pa.array(x, k) for x, k in zip(zip(*rows) if rows else [()] * 6, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["id", "n_bytes", "digest", "member", "shard", "offset", "length"])
         shards.close()
 
     return run
@@ -127,17 +129,18 @@ def _store(folder: str):
 def store_media(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Write the shards; two tables in ``folder``.
 
-    Rows: (id, n_bytes, member, at), a row for each row of ``docs`` with the shard's file name and the offset that its task
-    wrote. Members: (member, at, digest, shard, offset, length), each with the one address that its digest has.
+    Rows: (id, n_bytes, member, at), a row for each row of ``docs`` with the number of the file and the offset that its task
+    wrote. Members: (member, at, first, digest, shard, offset, length), each with the one address that its digest has; first
+    says that it is the one.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, digest binary, shard string, offset long, length long"
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, digest binary, member long, shard string, offset long, length long"
     raw = written(rows.mapInArrow(_store(f"{folder}/shards"), schema), f"{folder}/rows")
-    member = F.regexp_extract("shard", "[^/]+$", 0)
-    own = raw.select("digest", "shard", "offset", "length").distinct()
-    place = own.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("p")).select("digest", "p.*")
-    members = own.select(member.alias("member"), F.col("offset").alias("at"), "digest").join(place, "digest")
-    return raw.select("id", "n_bytes", member.alias("member"), F.col("offset").alias("at")), written(members, f"{folder}/members")
+    own = raw.groupBy("member", "offset").agg(F.first("digest").alias("digest"), F.first("shard").alias("shard"), F.first("length").alias("length"))
+    place = own.groupBy("digest").agg(F.min(F.struct("member", "offset", "shard", "length")).alias("p"))
+    first = (F.col("member") == F.col("p.member")) & (F.col("offset") == F.col("p.offset"))
+    members = own.join(place, "digest").select("member", F.col("offset").alias("at"), first.alias("first"), "digest", "p.shard", "p.offset", "p.length")
+    return raw.select("id", "n_bytes", "member", F.col("offset").alias("at")), written(members, f"{folder}/members")
 
 
 def _headers(batches):
@@ -176,7 +179,7 @@ def _payloads(batches):
 
 def _objects(stored: DataFrame) -> DataFrame:
     """Each address once, in the order of the shards, so that reads run forward."""
-    return stored.where(F.col("shard").endswith(F.col("member")) & (F.col("offset") == F.col("at"))).select("digest", "shard", "offset", "length").repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
+    return stored.where("first").select("digest", "shard", "offset", "length").repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
 
 
 def media_headers(stored: DataFrame) -> DataFrame:
