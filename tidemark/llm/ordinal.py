@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.files import attempt_name, open_input, open_output, shared_dir, written
+from tidemark.llm.samples import smallest_hashes
 from tidemark.llm.textscan import SPACES, WordScanner, column_bytes, rows_of, slices
 from tidemark.llm.toxicity import _FOLD, CHARS, WORDS, word_features
 
@@ -126,8 +127,7 @@ def training_rows(docs: DataFrame, rated: DataFrame, grade_col: str = "grade", t
     The ids that are chosen, a bounded number, are what is broadcast. An id with several grades has the highest.
     """
     own = rated.where(f"{id_col} is not null and {grade_col} is not null").groupBy(id_col).agg(F.max(grade_col).alias(grade_col))
-    place = F.row_number().over(Window.partitionBy(grade_col).orderBy(F.xxhash64(id_col, F.lit(seed)), id_col))
-    picked = own.withColumn("_place", place).where(F.col("_place") <= 2 * per_grade).drop("_place")
+    picked = smallest_hashes(own, grade_col, id_col, 2 * per_grade, seed)
     return docs.select(id_col, text_col).join(F.broadcast(picked), id_col)
 
 

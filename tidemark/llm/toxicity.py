@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.files import attempt_name, open_input, open_output, shared_dir, written
+from tidemark.llm.samples import smallest_hashes
 from tidemark.llm.textscan import NON_ALNUM, WordScanner, column_bytes, mix, slices
 
 WINDOW, STRIDE = 32, 24
@@ -360,6 +361,5 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = 1500, see
     Ids are chosen before texts are read: at most 2 * ``per_class`` * 2 of them, which is what is broadcast.
     """
     own = labels.where("doc_id is not null and toxic in (0, 1) and crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id"))
-    picked = own.withColumn("_place", place).where(F.col("_place") <= 2 * per_class).drop("_place")
+    picked = smallest_hashes(own, "toxic", "doc_id", 2 * per_class, seed)
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
