@@ -48,8 +48,8 @@ SKETCH = 64
 LIKELIEST, NEAREST = 4, 2
 #: Documents of a bucket on each side of a unit, about.
 UNIT = 2048
-#: Candidates of a document that are confirmed at once, the likeliest first; then STEP times as many, until none is left.
-AT_ONCE, STEP = 8, 16
+#: A document's candidates are dealt to so many parts; of each part the likeliest AT_ONCE are confirmed, then STEP times as many, until none is left.
+PARTS, AT_ONCE, STEP = 8, 1, 16
 #: Bits of a shingle that say which counter tells how rare it is: a byte for each of the counters goes to every task.
 SLOT_BITS = 18
 #: An id's place in the filter that spares texts without candidates a shuffle: a broadcast of at most so many ints.
@@ -386,7 +386,8 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _settled(sets: DataFrame, queue: DataFrame, roots: DataFrame, percent: int, at: str) -> DataFrame:
     """``roots`` after every pair of ``queue`` (a, lo_a, b, lo_b, same) was confirmed, refuted or found in one group by other links."""
-    rank = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("same"), "a", "lo_a", "lo_b"))
+    part = F.pmod(F.xxhash64("a"), F.lit(PARTS))
+    rank = F.row_number().over(Window.partitionBy("b", part).orderBy(F.desc("same"), "a", "lo_a", "lo_b"))
     left = written(queue.withColumn("rank", rank).drop("same"), f"{at}/queue")
     most = AT_ONCE
     while (top := left.agg(F.max("rank")).first()[0]) is not None:
