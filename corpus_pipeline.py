@@ -32,10 +32,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.with_scores(docs, model, out_col=name).where(F.col(name) < 0.7).select(*docs.columns)
 
 
-def _unit_keys(docs: DataFrame, name: str) -> DataFrame:
+def _unit_keys(docs: DataFrame, name: str, folder: str) -> DataFrame:
     """``docs`` with a whole number for each pair of id and text: the id, or a hash below zero where an id is null or has several texts."""
-    several = docs.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b")).where("a <> b or doc_id is null")
-    several = several.select(F.col("doc_id").alias("_several"), F.lit(True).alias("_is")).where("_several is not null")
+    h = F.xxhash64("text")
+    several = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(h).alias("a"), F.max(h).alias("b")).where("a <> b")
+    # written, so that Spark knows how small it is
+    several = written(several.select(F.col("doc_id").alias("_several"), F.lit(True).alias("_is")), f"{folder}/several")
     rows = docs.join(several, docs["doc_id"] == several["_several"], "left")
     hashed = -1 - F.xxhash64(docs["doc_id"], docs["text"]).bitwiseAND(F.lit((1 << 62) - 1))
     key = F.when(docs["doc_id"].isNotNull() & F.col("_is").isNull(), docs["doc_id"].cast("long")).otherwise(hashed)
@@ -49,15 +51,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     documents of their own and lose to one with an id of its own only if they are near it. Null, empty and wordless texts are near nothing
     and stay, once for each id; very long texts count whole; an empty table gives no rows; further columns stay, whatever their names.
     """
-    key = _free(docs, "_unit")
-    rows = _unit_keys(docs, key)
-    verdicts = written(lshforest.near_duplicates(rows, id_col=key, width=5, percent=80).select(F.col(key).alias("u"), F.col("component_id").alias("c")), f"{shared_dir(spark, 'verdicts')}/rows")
+    key, folder = _free(docs, "_unit"), shared_dir(spark, "verdicts")
+    rows = _unit_keys(docs, key, folder)
+    verdicts = lshforest.near_duplicates(rows, id_col=key, width=5, percent=80)
+    units = verdicts.groupBy(F.col("component_id").alias("c"), F.col(key).alias("u")).agg(F.count("*").alias("n"))
+    units = written(units, f"{folder}/units")
     # keys of ids come before hashes, smallest first
-    first = F.min(F.struct((F.col("u") < 0).alias("hashed"), "u"))
-    units = verdicts.groupBy("c", "u").agg(F.count("*").alias("n"))
-    kept = units.groupBy("c").agg(first["u"].alias("u"))
-    gone = units.select("u").subtract(kept.select("u"))
-    again = units.where("n > 1").select("u")
+    kept = units.groupBy("c").agg(F.min(F.struct((F.col("u") < 0).alias("hashed"), "u"))["u"].alias("k"))
+    judged = units.join(kept, "c").select("u", (F.col("u") == F.col("k")).alias("first"), "n")
+    gone = written(judged.where("not first").select("u"), f"{folder}/gone")
+    again = written(judged.where("first and n > 1").select("u"), f"{folder}/again")
     left = rows.join(gone, rows[key] == gone["u"], "left_anti")
     once = left.join(again, left[key] == again["u"], "left_anti")
     repeated = left.join(again, left[key] == again["u"], "left_semi").dropDuplicates([key])
