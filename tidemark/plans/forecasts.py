@@ -18,7 +18,7 @@ _ALLOC = """select SnapshotId, SKU, w, total, (fl + case when total > 0 and row_
 
 @query(_ALLOC)
 def largest_remainder(t):
-    """FC1 and WN10 largest-remainder allocation; every total is met."""
+    """FC1, WN8 (totals of a group on each row) and WN10 largest-remainder allocation; every total is met."""
     rows = t.forecast_sku_day.groupBy("SnapshotId", "SKU").agg(F.sum("ForecastQty").alias("w")).withColumn("total", (1000 + 37 * F.ascii(F.substring("SnapshotId", 4, 1))).cast("long"))
     return A.allocate(rows, ["SnapshotId"], "w", "total", ["SKU"], "units").select("SnapshotId", "SKU", "w", "total", "units")
 

@@ -131,3 +131,28 @@ def vintage_imports(t):
     files = rows.groupBy("SnapshotId").agg(F.count("*").alias("Rows"), F.countDistinct("SKU").alias("SKUs"), F.sum("ForecastQty").alias("Units"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("SKU", "ForecastDate", text.alias("x")))), lambda s: s["x"]), ",").alias("content"))
     files = files.withColumn("h", F.sha2(F.col("content").cast("binary"), 256))
     return J.keep_one(files, ["h"], ["SnapshotId"]).select("SnapshotId", "Rows", "SKUs", "Units", F.substring("h", 1, 12).alias("ContentId"))
+
+
+@query("""with v as (select k, SnapshotId, ForecastStartDate as d from vintages), r as (select SKU, last_seen, SalesID, upper(GroupCode) as g from ledger) select v.SnapshotId, r.SKU, coalesce(nullif(arg_max(g, (last_seen, SalesID)), ''), 'UNKNOWN') as Category from v join r on r.last_seen < v.d group by all""")
+def vintage_categories(t):
+    """JN8 and JN7 each SKU's category as it was known when a vintage began: the last row before its start."""
+    starts = t.vintages.select("SnapshotId", F.col("ForecastStartDate").alias("d"))
+    rows = t.ledger.select("SKU", "last_seen", "SalesID", F.upper("GroupCode").alias("g"))
+    last = rows.groupBy("SKU", "last_seen").agg(F.max(F.struct("SalesID", "g"))["g"].alias("g"))
+    skus = last.select("SKU").distinct()
+    asks = starts.agg(F.array_sort(F.collect_list(F.struct("d", "SnapshotId"))).alias("s"))
+    events = skus.withColumn("s", F.explode(asks.scalar())).select("SKU", "s.SnapshotId", F.col("s.d").alias("d"))
+    known = J.asof_latest(events, last, ["SKU"], "d", "last_seen", strict=True).where("last_seen is not null")
+    return known.select("SnapshotId", "SKU", F.coalesce(F.nullif(F.col("g"), F.lit("")), F.lit("UNKNOWN")).alias("Category"))
+
+
+@query("""select year(Date)::int as Year, count(*) as Rows, sum(PlanUnits)::double as PlanUnits, sum(ActualUnits) filter (year(Date) >= 1998)::double as ActualUnits from planner_daily group by 1""")
+def planner_years(t):
+    """SRC23 and SRC4 years in parts of different columns, put together by name, columns that a part lacks are null; FC32 which columns there are."""
+    plan = t.planner_daily
+    year = F.year("Date").alias("Year")
+    early = plan.where("year(Date) < 1998").select("Date", year, "PlanUnits")
+    late = plan.where("year(Date) >= 1998").select("Date", year, "PlanUnits", "ActualUnits")
+    both = early.unionByName(late, allowMissingColumns=True)
+    wanted = [c for c in ("PlanUnits", "ActualUnits", "ShippedUnits") if c in both.columns]
+    return both.groupBy("Year").agg(F.count("*").alias("Rows"), *[F.sum(c).cast("double").alias(c) for c in wanted])

@@ -22,7 +22,7 @@ def pick_rollup(t):
 
 @query("""select PickDate, SKU, sum(u) as units, sum(o)::bigint as order_sum from (select PickDate, SKU, PickDate < date '1998-01-01' as archive, sum(Units) as u, count(distinct OrderNum) as o from work_lines group by all) group by all""")
 def segment_rollup(t):
-    """AG2 and SRC9: archive and live parts, half-open at the boundary, summed again; orders are added, not distinct."""
+    """AG2, SRC9 and ST1: archive and live parts, half-open at the boundary, summed again; orders are added, not distinct."""
     lines, cut = t.work_lines, F.lit("1998-01-01").cast("date")
     part = lambda rows: rows.groupBy("PickDate", "SKU").agg(F.sum("Units").alias("u"), F.countDistinct("OrderNum").alias("o"))
     both = part(lines.where(F.col("PickDate") < cut)).unionByName(part(lines.where(F.col("PickDate") >= cut)))
@@ -49,7 +49,7 @@ def _order_sums(t, *by):
 
 @query(_ORDERS.format("OrderDate, SKU"))
 def order_rollup(t):
-    """AG3 order lines to SKU and day."""
+    """AG3 order lines to SKU and day, JN20 orders and their lines."""
     return _order_sums(t, "OrderDate", "SKU")
 
 
@@ -97,6 +97,13 @@ def supply_pivot(t):
     )
 
 
+@query("""select SnapshotDate, Category, max(Name) as Name, sum(AvailPhysical) as Avail, round(avg(MSRP), 4) as AvgPrice, count(*) as Rows, max(case when AvailPhysical > 0 then i.SKU end) as LastInStock from inventory_sku_day i join dim_product using (SKU) group by all""")
+def inventory_rollup(t):
+    """AG6 largest text, summed quantity, mean price and count."""
+    rows = t.inventory_sku_day.join(t.dim_product.select("SKU", "Category", "Name", "MSRP"), "SKU")
+    return rows.groupBy("SnapshotDate", "Category").agg(F.max("Name").alias("Name"), F.sum("AvailPhysical").alias("Avail"), F.round(F.avg("MSRP"), 4).alias("AvgPrice"), F.count("*").alias("Rows"), F.max(F.when(F.col("AvailPhysical") > 0, F.col("SKU"))).alias("LastInStock"))
+
+
 @query("""select SnapshotDate, SKU, sum(case when d < 0 then u else 0 end) as past_due, sum(case when d between 0 and 7 then u else 0 end) as d0_7, sum(case when d between 8 and 14 then u else 0 end) as d8_14, sum(case when d between 15 and 30 then u else 0 end) as d15_30, sum(case when d between 31 and 60 then u else 0 end) as d31_60, sum(case when d between 61 and 90 then u else 0 end) as d61_90, sum(case when d > 90 then u else 0 end) as d90_up from (select SnapshotDate, SKU, ExpectedInDCDate - SnapshotDate as d, InboundRemainderUnits as u from inbound_snapshots) group by all""")
 def inbound_buckets(t):
     """AG11 inbound age buckets."""
