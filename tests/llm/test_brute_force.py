@@ -349,3 +349,19 @@ def test_url_of_very_many_segments_and_clashing_columns(spark):
 def test_clashing_columns_of_archives(spark):
     pages = spark.createDataFrame([(1, "u", "h", "d", "p"), (2, "u", "h", "d", "p")], "page_id long, url string, html string, digest string, payload string").withColumns({"refers_to": F.lit(9), "n": F.lit(1), "sha1": F.lit("s")})
     assert sorted((r.page_id, r.record_type, r.refers_to) for r in warc.archive_round_trip(pages).collect()) == [(1, "response", None), (2, "revisit", 1)]
+
+
+def test_damaged_archives_are_rows_with_errors(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://u/{i}", f"page {i} " * 50) for i in range(1, 7)], "page_id long, url string, html string")
+    manifest = warc.write_archives(pages.coalesce(1), f"file://{tmp_path}/a", segment_bytes=150)
+    path = manifest.first().path.removeprefix("file://")
+    raw = open(path, "rb").read()
+    members = [m.start() for m in re.finditer(b"\x1f\x8b\x08", raw)]
+    cut = members[len(members) // 2] + 20
+    with open(path, "wb") as out:
+        out.write(raw[:cut] + b"\0" * 40 + raw[cut + 40 :])
+    rows = warc.read_archives(manifest).collect()
+    good = [r for r in rows if r.error is None]
+    assert good and all(r.payload.decode() == f"page {r.page_id} " * 50 for r in good) and any(path in (r.error or "") for r in rows)
+    with pytest.raises(ValueError, match="segments"):
+        warc._payload("response", "sha1:x", 9, [{"segment": 1, "block": b"a"}, {"segment": 3, "block": b"b"}])

@@ -9,7 +9,9 @@ tasks leave nothing that is read.
 
 Defined results: a null payload is empty; an empty payload is a payload like others; rows that repeat an id and
 payload are all responses or all revisits; a null id is never referred to (it is a response if no row with an id has
-its payload); an empty table gives no records; columns other than id, url and payload are ignored.
+its payload); very long payloads go over as many segments as they fill; an empty table gives no records; columns other than id,
+url and payload are ignored, whatever their names. A record that cannot be read or put together is a row with an error and no payload, and so
+is the rest of an archive whose bytes are damaged; other records and archives are read as ever.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ from tidemark.llm.files import attempt_name, open_input, open_output, shared_dir
 READ_BYTES = 1 << 18
 ARCHIVE_BYTES = 256 << 20
 MANIFEST = "path string, records long, bytes long"
-RECORD = "record_id string, origin_id string, segment int, total long, page_id string, kind string, refers_to string, digest string, block binary"
-PAGE = "page_id string, record_type string, refers_to string, declared string, payload binary"
+RECORD = "record_id string, origin_id string, segment int, total long, page_id string, kind string, refers_to string, digest string, block binary, error string"
+PAGE = "page_id string, record_type string, refers_to string, declared string, payload binary, error string"
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -180,8 +182,8 @@ def _batch(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, (_, k) in zip(zip(*rows), schema)], names=[n for n, _ in schema])
 
 
-_RECORD = [("record_id", pa.string()), ("origin_id", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("page_id", pa.string()), ("kind", pa.string()), ("refers_to", pa.string()), ("digest", pa.string()), ("block", pa.binary())]
-_PAGE = [("page_id", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()), ("declared", pa.string()), ("payload", pa.binary())]
+_RECORD = [("record_id", pa.string()), ("origin_id", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("page_id", pa.string()), ("kind", pa.string()), ("refers_to", pa.string()), ("digest", pa.string()), ("block", pa.binary()), ("error", pa.string())]
+_PAGE = [("page_id", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()), ("declared", pa.string()), ("payload", pa.binary()), ("error", pa.string())]
 
 
 def _sliced(rows: Iterator[tuple], schema, of: int) -> Iterator[pa.RecordBatch]:
@@ -196,51 +198,70 @@ def _sliced(rows: Iterator[tuple], schema, of: int) -> Iterator[pa.RecordBatch]:
         yield _batch(held, schema)
 
 
+def _fields(h: dict, block: bytes) -> tuple:
+    own = h["warc-record-id"].strip("<>")
+    number, total = h.get("warc-segment-number"), h.get("warc-segment-total-length")
+    return own, h.get("warc-segment-origin-id", own).strip("<>"), number and int(number), total and int(total), h.get("x-page-id"), h["warc-type"], h.get("x-refers-to-page-id"), h.get("warc-payload-digest"), block, None
+
+
 def _read(batches):
     def rows():
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 with open_input(path) as source:
-                    for h, block in records_of(source):
-                        own = h["warc-record-id"].strip("<>")
-                        number = h.get("warc-segment-number")
-                        total = h.get("warc-segment-total-length")
-                        yield own, h.get("warc-segment-origin-id", own).strip("<>"), number and int(number), total and int(total), h.get("x-page-id"), h["warc-type"], h.get("x-refers-to-page-id"), h.get("warc-payload-digest"), block
+                    try:
+                        for h, block in records_of(source):
+                            try:
+                                yield _fields(h, block)
+                            except (KeyError, ValueError) as e:
+                                yield h.get("warc-record-id"), None, None, None, h.get("x-page-id"), h.get("warc-type"), None, None, None, f"{path}: a header is missing or wrong: {e}"
+                    except (KeyError, ValueError, zlib.error) as e:
+                        yield None, None, None, None, None, None, None, None, None, f"{path}: {e}"
 
     yield from _sliced(rows(), _RECORD, 8)
 
 
+def _payload(kind: str, digest: str | None, total: int | None, parts: list[dict]) -> tuple[str, bytes | None]:
+    """The declared digest and the payload of a record from its parts, by segment number; what is not as it should be is an error."""
+    if [p["segment"] for p in parts] not in ([None], list(range(1, len(parts) + 1))):
+        raise ValueError("segments are missing or repeated")
+    block = b"".join(p["block"] for p in parts)
+    if len(parts) > 1 and len(block) != total:
+        raise ValueError(f"segments have {len(block)} bytes and should have {total}")
+    head, _, body = block.partition(b"\r\n\r\n")
+    payload = None if kind == "revisit" else unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
+    declared = (digest or "").removeprefix("sha1:")
+    if payload is not None and base32_sha1(payload) != declared:
+        raise ValueError("a payload is not what its digest says")
+    return declared, payload
+
+
 def _decode(batches):
-    """From the parts of one record, by segment number, to its payload."""
+    """From the parts of one record to its payload."""
 
     def rows():
         for batch in batches:
             for r in range(batch.num_rows):
-                page_id, kind, refers, digest, total = (batch.column(c)[r].as_py() for c in range(5))
-                parts = batch.column(5)[r].as_py()
-                if [p["segment"] for p in parts] not in ([None], list(range(1, len(parts) + 1))):
-                    raise ValueError(f"segments are missing or repeated: {page_id}")
-                block = b"".join(p["block"] for p in parts)
-                if len(parts) > 1 and len(block) != total:
-                    raise ValueError(f"segments have {len(block)} bytes and should have {total}: {page_id}")
-                head, _, body = block.partition(b"\r\n\r\n")
-                payload = None if kind == "revisit" else unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
-                declared = (digest or "").removeprefix("sha1:")
-                if payload is not None and base32_sha1(payload) != declared:
-                    raise ValueError(f"a payload is not what its digest says: {page_id}")
-                yield page_id, kind, refers, declared, payload
+                page_id, kind, refers, digest, total, error = (batch.column(c)[r].as_py() for c in range(6))
+                declared, payload = None, None
+                if error is None:
+                    try:
+                        declared, payload = _payload(kind, digest, total, batch.column(6)[r].as_py())
+                    except ValueError as e:
+                        error = f"page {page_id}: {e}"
+                yield page_id, kind, refers, declared, payload, error
 
     yield from _sliced(rows(), _PAGE, 4)
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
-    """(page_id string, record_type, refers_to, declared, payload) of the archives that ``manifest`` names; a revisit's payload is null."""
+    """(page_id string, record_type, refers_to, declared, payload, error) of the archives that ``manifest`` names; a revisit's payload is null."""
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     records = manifest.select("path").repartition(n).mapInArrow(_read, RECORD)
     part = F.struct("segment", "block")
-    single = records.where("segment is null").select("page_id", "kind", "refers_to", "digest", "total", F.array(part).alias("parts"))
+    single = records.where("segment is null").select("page_id", "kind", "refers_to", "digest", "total", "error", F.array(part).alias("parts"))
     grouped = records.where("segment is not null").groupBy("origin_id").agg(
-        *[F.max(c).alias(c) for c in ("page_id", "refers_to", "digest", "total")], F.min(F.when(F.col("segment") == 1, F.col("kind"))).alias("kind"), F.array_sort(F.collect_list(part)).alias("parts")
+        *[F.max(c).alias(c) for c in ("page_id", "refers_to", "digest", "total", "error")], F.min(F.when(F.col("segment") == 1, F.col("kind"))).alias("kind"), F.array_sort(F.collect_list(part)).alias("parts")
     )
     return single.union(grouped.select(*single.columns)).mapInArrow(_decode, PAGE)
 
@@ -250,7 +271,9 @@ def archive_round_trip(pages: DataFrame, segment_bytes: int = 32 << 10, id_col:
     folder = shared_dir(pages.sparkSession, "warc")
     kind = pages.schema[id_col].dataType
     manifest = write_archives(pages, folder, segment_bytes, id_col=id_col, url_col=url_col, payload_col=payload_col)
-    facts = read_archives(manifest).select(F.col("page_id").cast(kind).alias("page_id"), F.length("payload").cast("long").alias("payload_bytes"), F.col("declared").alias("payload_digest"), "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+    # these archives are our own: an error here would lose a page
+    size = F.when(F.col("error").isNotNull(), F.raise_error("error").cast("long")).otherwise(F.length("payload").cast("long"))
+    facts = read_archives(manifest).select(F.col("page_id").cast(kind).alias("page_id"), size.alias("payload_bytes"), F.col("declared").alias("payload_digest"), "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
     facts = written(facts, f"{folder}/facts")
     origin = facts.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("digest"), F.col("payload_bytes").alias("n")).distinct()
     visits = facts.where("record_type = 'revisit'").join(origin, "refers_to").where("payload_digest = digest")
