@@ -76,10 +76,12 @@ def scope_tags(c: Column, words: tuple[str, ...]) -> Column:
 
 
 def velocity_tier(units13: Column) -> Column:
+    """The tier of 13 weeks' units; names and limits are fixed values."""
     return F.when(units13.isNull() | (units13 <= 20), "C").when(units13 <= 40, "B").when(units13 <= 100, "A").otherwise("AA")
 
 
 def newness(day: Column, go_live: Column) -> Column:
+    """How new a SKU is on a day; names and limits are fixed values."""
     age = F.datediff(day, go_live)
     return F.when(age.isNull(), "UnknownGoLive").when(age < 0, "PreGoLive").when(age <= 30, "New0To30").when(age <= 90, "New31To90").otherwise("Established")
 

@@ -89,8 +89,8 @@ def recent_daily(t):
     return _daily(t).select("Origin", "SKU", "ForecastDate", F.round("RecentUnits", 6).alias("units"))
 
 
-#: Sheet types whose offers count, and the most days of an event.
-OFFER_SHEETS, OFFER_DAYS = ("promo_detail", "markdown", "final_sale", "tier1", "aggregate_promo_offers"), 60
+#: Fixed value: the most days of an event.
+OFFER_DAYS = 60
 _OFFERS = """offer as (select file_id, event_id, sheet_type, event_name, promo_scope, regexp_extract(upper(offer_cc), '^([A-Z0-9]+)-([A-Z0-9]+)(?:-.*)?$', 1) as Item, regexp_extract(upper(offer_cc), '^([A-Z0-9]+)-([A-Z0-9]+)(?:-.*)?$', 2) as Color, start_date, end_date,
     least(greatest(greatest(case when pct_off_msrp > 1 then pct_off_msrp / 100 else pct_off_msrp end, case when extra_off > 1 then extra_off / 100 else extra_off end), 0), 1) as disc, least(promo_price, clearance_price) as price, avail_inv, lw_units from promo_offers where sheet_type <> 'coupon' and end_date - start_date between 0 and 59),
   feature as (select d as Date, SKU, count(*) as OfferRows, count(distinct file_id) as Events, count(distinct x.Item) as Items, max(disc) as MaxDiscount, round(avg(disc), 6) as AvgDiscount, min(price) as MinPrice, max(avail_inv) as AvailInv, max(lw_units) as LastWeekUnits,

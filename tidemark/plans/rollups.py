@@ -10,6 +10,7 @@ from tidemark.operators import joins as J
 from tidemark.operators import windows as W
 from tidemark.plans.registry import query
 
+#: The profiles whose work lines are picks.
 PICK_PROFILES = ("Picking", "Picking A", "Picking D", "PalletPicking")
 
 

@@ -1,7 +1,7 @@
 """Demand facts over the base tables: SKU-by-day picks, order lines, vintages, inventory, inbound and promotions.
 
 The text of each view is in the common subset of Spark SQL and DuckDB, so a query and its check read one definition.
-Every view covers its whole base table.
+Every view covers its whole base table. Profiles, locations and zones in them are fixed values of the rules that read them.
 """
 
 from __future__ import annotations
