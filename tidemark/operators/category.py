@@ -43,12 +43,16 @@ def event_lift(facts: DataFrame, origins: DataFrame, categories: DataFrame, year
     same = lambda c, k: f"add_months({c}, -12 * {k})"
     end = f"date_add(Origin, {HORIZON - 1})"
     # the last day of the horizon is taken to the origin's own earlier year
-    spans = origins.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(years)))).withColumns({"es": F.expr(same("Origin", "k")), "ee": F.expr(same(end, f"(k + year({end}) - year(Origin))"))})
+    spans = origins.withColumn("k",
+        F.explode(F.sequence(F.lit(1), F.lit(years)))).withColumns({"es": F.expr(same("Origin", "k")),
+            "ee": F.expr(same(end, f"(k + year({end}) - year(Origin))"))})
     days = spans.select("Origin", "k", "es", "ee", F.explode(F.expr(f"sequence(date_sub(es, {base_days}), greatest(ee, es))")).alias("ActualDate"))
     days = days.withColumn("event", F.when(F.col("ActualDate") < F.col("es"), False).when(F.col("ActualDate") <= F.col("ee"), True)).where("event is not null")
-    rows = facts.select("SKU", "ActualDate", "SoldUnits").join(days, "ActualDate").join(categories, "SKU", "left").withColumn("Category", F.coalesce("Category", F.lit("UNKNOWN")))
+    rows = facts.select("SKU", "ActualDate", "SoldUnits").join(days, "ActualDate").join(categories, "SKU", "left").withColumn("Category",
+        F.coalesce("Category", F.lit("UNKNOWN")))
     total = lambda e: F.coalesce(F.sum(F.when(F.col("event") == e, F.col("SoldUnits"))), F.lit(0.0))
-    sums = rows.groupBy("Origin", "k", "Category").agg(total(True).alias("event"), total(False).alias("base"), F.greatest(F.datediff(F.first("ee"), F.first("es")) + 1, F.lit(1)).alias("n")).where("base > 0")
+    sums = rows.groupBy("Origin", "k", "Category").agg(total(True).alias("event"), total(False).alias("base"),
+        F.greatest(F.datediff(F.first("ee"), F.first("es")) + 1, F.lit(1)).alias("n")).where("base > 0")
     lift = clip((F.col("event") / F.col("n")) / (F.col("base") / base_days), *LIFT)
     return sums.groupBy("Origin", "Category").agg(clip((F.sum(lift * F.col("base")) + shrink) / (F.sum("base") + shrink), *LIFT).alias("ShrunkLift"))
 
@@ -59,7 +63,8 @@ def weekday_factors(recent: DataFrame, origins: DataFrame, days: int = 56, low:
     sold = recent.groupBy("Origin", F.weekday("ActualDate").alias("dow")).agg(F.sum("SoldUnits").alias("u"))
     mean = F.sum("u").over(Window.partitionBy("Origin")) / days
     rows = spine.join(sold, ["Origin", "dow"], "left").withColumn("mean", mean)
-    return rows.select("Origin", "dow", F.when(F.col("mean") > 0, clip(F.coalesce("u", F.lit(0.0)) / F.col("n") / F.col("mean"), low, high)).otherwise(1.0).alias("factor"))
+    return rows.select("Origin", "dow",
+        F.when(F.col("mean") > 0, clip(F.coalesce("u", F.lit(0.0)) / F.col("n") / F.col("mean"), low, high)).otherwise(1.0).alias("factor"))
 
 
 def weekday_shape(recent: DataFrame) -> DataFrame:
@@ -72,4 +77,5 @@ def weekday_shape(recent: DataFrame) -> DataFrame:
 def targets(rates: DataFrame, lifts: DataFrame) -> DataFrame:
     """(Origin, Category, CategoryTarget): the run rate over the horizon times the lift, 1 where there is none."""
     rows = rates.join(lifts, ["Origin", "Category"], "left")
-    return rows.select("Origin", "Category", (F.col("DailyRunRate") * HORIZON * F.coalesce("ShrunkLift", F.lit(1.0))).alias("CategoryTarget")).where("CategoryTarget > 0")
+    return rows.select("Origin", "Category",
+        (F.col("DailyRunRate") * HORIZON * F.coalesce("ShrunkLift", F.lit(1.0))).alias("CategoryTarget")).where("CategoryTarget > 0")

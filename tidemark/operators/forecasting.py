@@ -48,7 +48,8 @@ def planner_scaled(daily: DataFrame, plan: DataFrame, group: list[str], sku: str
     left = F.greatest(F.bround(F.round(F.sum("_raw").over(w), 6)), F.sum("_floor").over(w)) - F.sum("_floor").over(w)
     rank = F.row_number().over(w.orderBy(F.desc(F.round(F.col("_raw") - F.col("_floor"), 9)), sku))
     rows = rows.withColumns({"_left": left, "_rank": rank})
-    return rows.withColumn(out, (F.col("_floor") + F.when(F.col("_rank") <= F.col("_left"), 1).otherwise(0)).cast("long")).drop("_now", "_raw", "_floor", "_left", "_rank")
+    return rows.withColumn(out, (F.col("_floor") + F.when(F.col("_rank") <= F.col("_left"), 1).otherwise(0)).cast("long")).drop("_now", "_raw", "_floor",
+        "_left", "_rank")
 
 
 def spread_over_days(sku_totals: DataFrame, shapes: DataFrame, origins: DataFrame) -> DataFrame:

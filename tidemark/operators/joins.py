@@ -15,7 +15,8 @@ def upserted(old: DataFrame, new: DataFrame, keys: list[str], values: list[str])
     """Old and new rows, the new one where both have a key, with ``replaced``; a key is once in each table."""
     held = F.struct(*values)
     both = old.select(*keys, F.lit(1).alias("_rank"), held.alias("_v")).unionByName(new.select(*keys, F.lit(0).alias("_rank"), held.alias("_v")))
-    return both.groupBy(*keys).agg(F.min(F.struct("_rank", "_v")).alias("_x"), (F.count("*") > 1).alias("replaced")).select(*keys, *[F.col(f"_x._v.{v}").alias(v) for v in values], "replaced")
+    return both.groupBy(*keys).agg(F.min(F.struct("_rank", "_v")).alias("_x"), (F.count("*") > 1).alias("replaced")).select(*keys,
+        *[F.col(f"_x._v.{v}").alias(v) for v in values], "replaced")
 
 
 def full_outer_zero(left: DataFrame, right: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -42,7 +43,8 @@ def asof_latest(events: DataFrame, history: DataFrame, keys: list[str], at: str,
 def latest_snapshot(history: DataFrame, origins: DataFrame, origin: str, known: str, lag: int = 1) -> DataFrame:
     """For each origin the whole latest snapshot of at most ``lag`` days before; the choice is by date, not by key."""
     dates = history.select(known).distinct()
-    chosen = asof_latest(origins.select(F.col(origin), F.lit(1).alias("_one"), F.date_sub(origin, lag).alias("_limit")), dates.withColumn("_one", F.lit(1)), ["_one"], "_limit", known)
+    chosen = asof_latest(origins.select(F.col(origin), F.lit(1).alias("_one"), F.date_sub(origin, lag).alias("_limit")), dates.withColumn("_one", F.lit(1)),
+        ["_one"], "_limit", known)
     return history.join(chosen.select(origin, known), known)
 
 
@@ -80,4 +82,5 @@ def seasonal_mean(targets: DataFrame, facts: DataFrame, keys: list[str], day: st
 def set_difference(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Counts of keys that only one side has or both have."""
     both = old.select(key).distinct().withColumn("_o", F.lit(1)).join(new.select(key).distinct().withColumn("_n", F.lit(1)), key, "full")
-    return both.agg(F.count_if(F.col("_n").isNull()).alias("old_only"), F.count_if(F.col("_o").isNull()).alias("new_only"), F.count_if(F.col("_o").isNotNull() & F.col("_n").isNotNull()).alias("shared"))
+    return both.agg(F.count_if(F.col("_n").isNull()).alias("old_only"), F.count_if(F.col("_o").isNull()).alias("new_only"),
+        F.count_if(F.col("_o").isNotNull() & F.col("_n").isNotNull()).alias("shared"))

@@ -17,13 +17,17 @@ def inclusion(ahead: DataFrame, categories: DataFrame, facts: DataFrame, least:
     rows = ahead.join(categories, "SKU", "left")
     mapped = rows.groupBy("Origin").agg(ratio_or_null(F.sum(F.when(F.col("Mapped").isNotNull(), F.col("q"))), F.sum("q")).alias("Mapped"))
     origins = ahead.select("Origin").distinct()
-    before = facts.select("SKU", "ActualDate", "SoldUnits").join(days_of(origins, -days, -1), "ActualDate").groupBy("Origin", "SKU").agg(F.sum("SoldUnits").alias("s"))
-    share = before.join(ahead.where("q > 0"), ["Origin", "SKU"], "left").groupBy("Origin").agg(ratio_or_null(F.sum(F.when(F.col("q").isNotNull(), F.col("s"))), F.sum("s")).alias("Proxy"))
+    before = facts.select("SKU", "ActualDate", "SoldUnits").join(days_of(origins, -days, -1), "ActualDate").groupBy("Origin",
+        "SKU").agg(F.sum("SoldUnits").alias("s"))
+    share = before.join(ahead.where("q > 0"), ["Origin", "SKU"],
+        "left").groupBy("Origin").agg(ratio_or_null(F.sum(F.when(F.col("q").isNotNull(), F.col("s"))), F.sum("s")).alias("Proxy"))
     zero = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 6)
-    return mapped.join(share, "Origin", "left").select("Origin", zero("Mapped").alias("Mapped"), (F.col("Mapped") >= least).alias("Included"), zero("Proxy").alias("Proxy"))
+    return mapped.join(share, "Origin", "left").select("Origin", zero("Mapped").alias("Mapped"), (F.col("Mapped") >= least).alias("Included"),
+        zero("Proxy").alias("Proxy"))
 
 
-def recency_brake(windows: DataFrame, order: str, forecast: str, sold: str, caps: list[tuple[float, str]], floor: str, last: int, least_cap: float, least_coverage: float) -> DataFrame:
+def recency_brake(windows: DataFrame, order: str, forecast: str, sold: str, caps: list[tuple[float, str]], floor: str, last: int, least_cap: float,
+    least_coverage: float) -> DataFrame:
     """(order, Candidate, Ratio): the candidate of the largest cap that is not above the recent ratio of sales to forecast.
 
     ``caps`` are (cap, candidate), loosest first. Where the pick's recent coverage (columns cov_...) is too low, the hardest cap that is
@@ -47,8 +51,10 @@ def recency_brake(windows: DataFrame, order: str, forecast: str, sold: str, caps
 
 def break_even(scores: DataFrame, candidate: str, ratios: list[float], zero: float, named: dict[str, str]) -> DataFrame:
     """(Ratio, Winner, costs): the cheaper candidate at each price of a missing unit against one too many; uncovered units cost ``zero`` times it."""
-    sums = scores.groupBy(candidate).agg(F.sum("OverUnits").alias("o"), F.sum(F.col("UnderUnits") - F.col("ZeroForecastSoldUnits")).alias("u"), F.sum("ZeroForecastSoldUnits").alias("z"))
-    rows = sums.withColumn("Ratio", F.explode(F.array(*map(F.lit, ratios)))).withColumn("cost", F.col("o") + F.col("Ratio") * F.col("u") + zero * F.col("Ratio") * F.col("z"))
+    sums = scores.groupBy(candidate).agg(F.sum("OverUnits").alias("o"), F.sum(F.col("UnderUnits") - F.col("ZeroForecastSoldUnits")).alias("u"),
+        F.sum("ZeroForecastSoldUnits").alias("z"))
+    rows = sums.withColumn("Ratio", F.explode(F.array(*map(F.lit, ratios)))).withColumn("cost",
+        F.col("o") + F.col("Ratio") * F.col("u") + zero * F.col("Ratio") * F.col("z"))
     costs = [F.round(F.max(F.when(F.col(candidate) == c, F.col("cost"))), 6).alias(n) for n, c in named.items()]
     return rows.groupBy("Ratio").agg(F.min(F.struct(F.round("cost", 6), candidate))[candidate].alias("Winner"), *costs)
 

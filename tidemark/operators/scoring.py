@@ -23,16 +23,22 @@ def score_rows(rows: DataFrame, window: list[str], units: str, sold: str) -> Dat
     total = lambda c, x: F.sum(F.when(c, x).otherwise(0.0))
     used, missed, over = (f > 0) & (s > 0), (f <= 0) & (s > 0), (f > 0) & (s <= 0)
     out = rows.groupBy(*window).agg(
-        F.sum(f).alias("ForecastUnits"), F.sum(s).alias("SoldUnits"), F.sum(F.abs(f - s)).alias("AbsErrorUnits"), F.sum(F.greatest(f - s, F.lit(0.0))).alias("OverUnits"), F.sum(F.greatest(s - f, F.lit(0.0))).alias("UnderUnits"),
-        F.count_if(f > 0).alias("ForecastedSKUs"), F.count_if(s > 0).alias("SoldSKUs"), F.count_if((f > 0) | (s > 0)).alias("UnionSKUs"), total(used, s).alias("SoldUnitsWithForecast"), F.count_if(missed).alias("ZeroForecastSoldSKUs"),
-        total(f <= 0, s).alias("ZeroForecastSoldUnits"), F.count_if(over).alias("OverGeneratedSKUs"), total(over, f).alias("OverGeneratedUnits"), F.count_if((f <= 0) & (s >= 10)).alias("Missed10SKUs"), total((f <= 0) & (s >= 10), s).alias("Missed10Units"),
+        F.sum(f).alias("ForecastUnits"), F.sum(s).alias("SoldUnits"), F.sum(F.abs(f - s)).alias("AbsErrorUnits"),
+            F.sum(F.greatest(f - s, F.lit(0.0))).alias("OverUnits"), F.sum(F.greatest(s - f, F.lit(0.0))).alias("UnderUnits"),
+        F.count_if(f > 0).alias("ForecastedSKUs"), F.count_if(s > 0).alias("SoldSKUs"), F.count_if((f > 0) | (s > 0)).alias("UnionSKUs"),
+            total(used, s).alias("SoldUnitsWithForecast"), F.count_if(missed).alias("ZeroForecastSoldSKUs"),
+        total(f <= 0, s).alias("ZeroForecastSoldUnits"), F.count_if(over).alias("OverGeneratedSKUs"), total(over, f).alias("OverGeneratedUnits"),
+            F.count_if((f <= 0) & (s >= 10)).alias("Missed10SKUs"), total((f <= 0) & (s >= 10), s).alias("Missed10Units"),
         F.count_if(used).alias("UsedSKUs"), total(used, f).alias("UnitsOnUsedSKUs"),
     )
     ratio = lambda a, b: F.round(ratio_or_null(F.col(a), F.col(b)), 6)
     out = out.withColumn("BiasUnits", F.col("ForecastUnits") - F.col("SoldUnits"))
     return out.withColumns({
-        "WAPE": ratio("AbsErrorUnits", "SoldUnits"), "BiasPct": ratio("BiasUnits", "SoldUnits"), "CoveragePct": F.round(1 - ratio_or_null(F.col("ZeroForecastSoldUnits"), F.col("SoldUnits")), 6), "ZeroForecastPct": ratio("ZeroForecastSoldUnits", "SoldUnits"),
-        "SKUUseRate": ratio("UsedSKUs", "ForecastedSKUs"), "UnitsOnUsedPct": ratio("UnitsOnUsedSKUs", "ForecastUnits"), "ZeroDemandUnitPct": ratio("OverGeneratedUnits", "ForecastUnits"),
+        "WAPE": ratio("AbsErrorUnits", "SoldUnits"), "BiasPct": ratio("BiasUnits", "SoldUnits"),
+            "CoveragePct": F.round(1 - ratio_or_null(F.col("ZeroForecastSoldUnits"), F.col("SoldUnits")), 6),
+                "ZeroForecastPct": ratio("ZeroForecastSoldUnits", "SoldUnits"),
+        "SKUUseRate": ratio("UsedSKUs", "ForecastedSKUs"), "UnitsOnUsedPct": ratio("UnitsOnUsedSKUs", "ForecastUnits"),
+            "ZeroDemandUnitPct": ratio("OverGeneratedUnits", "ForecastUnits"),
     })
 
 
@@ -43,7 +49,9 @@ def side_by_side(scores: DataFrame, window: str, candidate: str, columns: dict[s
 
 def summarise(scores: DataFrame, candidate: str) -> DataFrame:
     """Pooled and mean error of each candidate over windows."""
-    return scores.groupBy(candidate).agg(F.count("*").alias("Windows"), F.round(ratio_or_null(F.sum("AbsErrorUnits"), F.sum("SoldUnits")), 6).alias("PooledWAPE"), F.round(F.avg("WAPE"), 6).alias("MeanWAPE"), F.round(F.median("WAPE"), 6).alias("MedianWAPE"))
+    return scores.groupBy(candidate).agg(F.count("*").alias("Windows"),
+        F.round(ratio_or_null(F.sum("AbsErrorUnits"), F.sum("SoldUnits")), 6).alias("PooledWAPE"), F.round(F.avg("WAPE"), 6).alias("MeanWAPE"),
+            F.round(F.median("WAPE"), 6).alias("MedianWAPE"))
 
 
 def wins(scores: DataFrame, window: str, candidate: str, reference: str) -> DataFrame:
@@ -54,7 +62,8 @@ def wins(scores: DataFrame, window: str, candidate: str, reference: str) -> Data
 
 
 def winners(scores: DataFrame, window: str, candidate: str) -> DataFrame:
-    return scores.withColumn("_k", F.row_number().over(Window.partitionBy(window).orderBy(F.asc_nulls_last("WAPE"), F.abs("BiasPct"), candidate))).where("_k = 1").select(window, F.col(candidate).alias("Winner"), "WAPE")
+    return scores.withColumn("_k", F.row_number().over(Window.partitionBy(window).orderBy(F.asc_nulls_last("WAPE"), F.abs("BiasPct"),
+        candidate))).where("_k = 1").select(window, F.col(candidate).alias("Winner"), "WAPE")
 
 
 def gate_grid(windows: DataFrame, taus: list[float], gate: str, low: str, high: str, sold: str) -> DataFrame:
@@ -66,7 +75,8 @@ def gate_grid(windows: DataFrame, taus: list[float], gate: str, low: str, high:
     rows = windows.withColumn("Tau", F.explode(F.array(*map(F.lit, taus)))).withColumn("_low", F.coalesce(F.col(gate) < F.col("Tau"), F.lit(False)))
     rows = rows.withColumn("_e", F.when(F.col("_low"), F.col(low)).otherwise(F.col(high))).withColumns({"_g": wape(F.col("_e")), "_h": wape(F.col(high))})
     return rows.groupBy("Tau").agg(
-        F.count_if("_low").alias("Triggered"), F.round(ratio_or_null(F.sum("_e"), F.sum(sold)), 6).alias("PooledWAPE"), F.round(F.avg("_g"), 6).alias("MeanWAPE"),
+        F.count_if("_low").alias("Triggered"), F.round(ratio_or_null(F.sum("_e"), F.sum(sold)), 6).alias("PooledWAPE"),
+            F.round(F.avg("_g"), 6).alias("MeanWAPE"),
         F.count_if(F.col("_g") < F.col("_h") - 1e-9).alias("Improved"), F.count_if(F.col("_g") > F.col("_h") + 1e-9).alias("Worsened"),
     )
 
@@ -75,7 +85,8 @@ def cost_split(scores: DataFrame, ratios: list[float], window: list[str]) -> Dat
     """Cost of over- and under-forecasting at each price ratio, from error and bias alone."""
     over = F.greatest(F.col("AbsErrorUnits") + F.col("ForecastUnits") - F.col("SoldUnits"), F.lit(0.0)) / 2
     under = F.greatest(F.col("AbsErrorUnits") - F.col("ForecastUnits") + F.col("SoldUnits"), F.lit(0.0)) / 2
-    return scores.withColumn("Ratio", F.explode(F.array(*map(F.lit, ratios)))).select(*window, "Ratio", over.alias("Over"), under.alias("Under"), (over + F.col("Ratio") * under).alias("Cost"))
+    return scores.withColumn("Ratio", F.explode(F.array(*map(F.lit, ratios)))).select(*window, "Ratio", over.alias("Over"), under.alias("Under"),
+        (over + F.col("Ratio") * under).alias("Cost"))
 
 
 def bootstrap(windows: DataFrame, order: str, new: str, old: str, sold: str, block: int, draws: int) -> DataFrame:
@@ -84,11 +95,15 @@ def bootstrap(windows: DataFrame, order: str, new: str, old: str, sold: str, blo
     Block starts are hashes of draw and block, so reruns agree. One row; none with fewer windows than a block. ``windows`` has one
     row for each scoring window, so its numbering is small; draws are rows, summed in parallel.
     """
-    rows = windows.withColumn("_i", F.row_number().over(Window.orderBy(order)).cast("long") - 1).select("_i", F.col(new).alias("_a"), F.col(old).alias("_b"), F.col(sold).alias("_s"))
+    rows = windows.withColumn("_i", F.row_number().over(Window.orderBy(order)).cast("long") - 1).select("_i", F.col(new).alias("_a"),
+        F.col(old).alias("_b"), F.col(sold).alias("_s"))
     n = windows.count()
     if n < block:
         return windows.sparkSession.createDataFrame([], "Windows long, Draws long, Low double, High double, ShareBetter double")
-    start = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("b").cast("string"), F.floor(F.col("pos") / block).cast("string"))), 1, 8), 16, 10).cast("long") % (n - block + 1)
-    picks = windows.sparkSession.range(draws).withColumnRenamed("id", "b").withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("_i", F.col("pos") % block + start)
+    start = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("b").cast("string"), F.floor(F.col("pos") / block).cast("string"))), 1, 8), 16,
+        10).cast("long") % (n - block + 1)
+    picks = windows.sparkSession.range(draws).withColumnRenamed("id", "b").withColumn("pos", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("_i",
+        F.col("pos") % block + start)
     diffs = picks.join(rows, "_i").groupBy("b").agg((F.sum("_a") / F.sum("_s") - F.sum("_b") / F.sum("_s")).alias("d"))
-    return diffs.agg(F.lit(n).cast("long").alias("Windows"), F.count("*").alias("Draws"), F.round(F.percentile("d", F.lit(0.025)), 6).alias("Low"), F.round(F.percentile("d", F.lit(0.975)), 6).alias("High"), F.round(F.avg((F.col("d") < 0).cast("double")), 6).alias("ShareBetter"))
+    return diffs.agg(F.lit(n).cast("long").alias("Windows"), F.count("*").alias("Draws"), F.round(F.percentile("d", F.lit(0.025)), 6).alias("Low"),
+        F.round(F.percentile("d", F.lit(0.975)), 6).alias("High"), F.round(F.avg((F.col("d") < 0).cast("double")), 6).alias("ShareBetter"))

@@ -9,7 +9,8 @@ from tidemark.functions.scalars import clean_text
 
 SHEET = ["file_id", "sheet_name"]
 #: What header keys are worth; a row of at least 7 is a header row.
-SCORES = {"offer": 5, "style": 3} | dict.fromkeys(("division", "department", "description", "color", "promo_price", "markdown_price", "mkd_price", "original_msrp", "pct_off_msrp", "inventory", "avail_inv"), 1)
+SCORES = {"offer": 5, "style": 3} | dict.fromkeys(("division", "department", "description", "color", "promo_price", "markdown_price", "mkd_price",
+    "original_msrp", "pct_off_msrp", "inventory", "avail_inv"), 1)
 LEAST_SCORE, FIRST_ROWS = 7, 35
 
 
@@ -53,11 +54,15 @@ def sheet_kind(sheet: Column, event: Column, has_header: Column) -> Column:
     """What a sheet is, by words in its names; labels are fixed values and the first rule that holds counts."""
     text = F.lower(F.concat_ws(" ", sheet, F.coalesce(event, F.lit(""))))
     has = lambda *words: F.greatest(*[F.contains(text, F.lit(w)) for w in words], F.lit(False))
-    without = F.when(has("roll up", "pivot"), "rollup_or_pivot").when(has("marketing dropdown") | (F.lower(F.trim(sheet)) == "data"), "support").otherwise("non_offer")
+    without = F.when(has("roll up", "pivot"), "rollup_or_pivot").when(has("marketing dropdown") | (F.lower(F.trim(sheet)) == "data"),
+        "support").otherwise("non_offer")
     return (
-        F.when(has("coupon"), "coupon").when(has("tier 1") & has("recommend", "pin"), "tier1_recommendation").when(has("revision", "correction"), "correction").when(~has_header, without)
-        .when(has("0% offer", "0 percent offer"), "zero_percent_offers").when(has("final sale"), "final_sale").when(has("markdown", "mkd", "further"), "markdown").when(has("badge"), "badge")
-        .when(F.lower(sheet).startswith("promo offers") | has("all promo discount"), "aggregate_promo_offers").when(has("price change", "msrp"), "price_change").otherwise("promo_detail")
+        F.when(has("coupon"), "coupon").when(has("tier 1") & has("recommend", "pin"), "tier1_recommendation").when(has("revision", "correction"),
+            "correction").when(~has_header, without)
+        .when(has("0% offer", "0 percent offer"), "zero_percent_offers").when(has("final sale"), "final_sale").when(has("markdown", "mkd", "further"),
+            "markdown").when(has("badge"), "badge")
+        .when(F.lower(sheet).startswith("promo offers") | has("all promo discount"), "aggregate_promo_offers").when(has("price change", "msrp"),
+            "price_change").otherwise("promo_detail")
     )
 
 
@@ -90,7 +95,8 @@ def dates_in_name(name: Column, modified: Column) -> Column:
 
     def compact(x: Column) -> Column:
         y, body = F.right(x, F.lit(2)).cast("int") + 2000, F.substr(x, F.lit(1), F.length(x) - 2)
-        at = lambda n: try_date(y, F.coalesce(F.substr(body, F.lit(1), F.length(body) - n).try_cast("int"), F.lit(0)), F.right(body, F.lit(n)).cast("int"))
+        at = lambda n: try_date(y, F.coalesce(F.substr(body, F.lit(1), F.length(body) - n).try_cast("int"), F.lit(0)),
+            F.right(body, F.lit(n)).cast("int"))
         return F.when(F.length(body) >= 2, F.array(at(2), at(1))).otherwise(F.array().cast("array<date>"))
 
     three = F.flatten(F.transform(F.regexp_extract_all(name, F.lit(r"(?<!\d)(\d{3,6})(?!\d)"), F.lit(1)), compact))

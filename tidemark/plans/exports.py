@@ -14,45 +14,62 @@ from tidemark.plans.registry import query
 _FD = ", ".join(f"round(coalesce(sum(ForecastQty) filter (ForecastDayOffset = {k}), 0), 4) as FD{k}" for k in range(1, 15))
 
 
-@query(f"""select f.SnapshotId, f.SKU, any_value(d.Item) as Item, any_value(d.Color) as Color, any_value(d.Size) as Size, any_value(coalesce(d.Department, '')) as Department, {_FD}, round(sum(ForecastQty), 4) as Total from forecast_sku_day f left join dim_product d using (SKU) group by all having sum(ForecastQty) > 0""")
+@query(f"""select f.SnapshotId, f.SKU, any_value(d.Item) as Item, any_value(d.Color) as Color, any_value(d.Size) as Size, any_value(coalesce(d.Department, ''))
+  as Department, {_FD}, round(sum(ForecastQty), 4) as Total from forecast_sku_day f left join dim_product d using (SKU) group by all having sum(ForecastQty) > 0""")
 def export_shape(t):
     """FC23 a row for each SKU with its attributes and 14 days, FC24 chosen columns; blank where an attribute is missing."""
     rows = t.forecast_sku_day.groupBy("SnapshotId", "SKU").pivot("ForecastDayOffset", list(range(1, 15))).agg(F.sum("ForecastQty"))
     days = [F.coalesce(F.col(str(k)), F.lit(0.0)) for k in range(1, 15)]
-    rows = rows.select("SnapshotId", "SKU", *[F.round(d, 4).alias(f"FD{k}") for k, d in enumerate(days, 1)], F.round(sum(days[1:], days[0]), 4).alias("Total")).where("Total > 0")
+    rows = rows.select("SnapshotId", "SKU", *[F.round(d, 4).alias(f"FD{k}") for k, d in enumerate(days, 1)],
+        F.round(sum(days[1:], days[0]), 4).alias("Total")).where("Total > 0")
     text = [F.coalesce(c, F.lit("")).alias(c) for c in ("Item", "Color", "Size", "Department")]
-    return rows.join(t.dim_product.select("SKU", *text), "SKU", "left").select("SnapshotId", "SKU", "Item", "Color", "Size", "Department", *[f"FD{k}" for k in range(1, 15)], "Total")
+    return rows.join(t.dim_product.select("SKU", *text), "SKU", "left").select("SnapshotId", "SKU", "Item", "Color", "Size", "Department",
+        *[f"FD{k}" for k in range(1, 15)], "Total")
 
 
-@query("""with m as (select * from (values ('manual-1', 'markdown', 'Owner sale', date '1998-07-01', date '1998-07-05'), ('manual-2', 'final_sale', 'Clearance', date '1998-12-26', date '1998-12-31')) v(file_id, sheet_type, event_name, start_date, end_date)), e as (select file_id, sheet_type, event_name, start_date, end_date from promo_events union all select * from m)
-  select file_id, sheet_type, event_name, start_date, case when month(start_date) <= 2 and start_date < date '1998-11-15' and date '1998-11-15' - start_date < 400 then (start_date + interval 1 year)::date else start_date end as rolled, end_date - start_date + 1 as days from e""")
+@query("""with m as (select * from (values ('manual-1', 'markdown', 'Owner sale', date '1998-07-01', date '1998-07-05'), ('manual-2', 'final_sale', 'Clearance',
+  date '1998-12-26', date '1998-12-31')) v(file_id, sheet_type, event_name, start_date, end_date)), e as (select file_id, sheet_type, event_name, start_date,
+  end_date from promo_events union all select * from m)
+  select file_id, sheet_type, event_name, start_date, case when month(start_date) <= 2 and start_date < date '1998-11-15'
+  and date '1998-11-15' - start_date < 400 then (start_date + interval 1 year)::date else start_date end as rolled, end_date - start_date + 1 as days from e""")
 def manual_events(t):
     """FC28 events entered by hand beside those of the sheets; PRJ24 January and February seen from a file of November are of the next year."""
     hand = [("manual-1", "markdown", "Owner sale", "1998-07-01", "1998-07-05"), ("manual-2", "final_sale", "Clearance", "1998-12-26", "1998-12-31")]
     events = t.promo_events.select("file_id", "sheet_type", "event_name", "start_date", "end_date")
-    extra = events.sparkSession.createDataFrame(hand, "file_id string, sheet_type string, event_name string, a string, b string").select("file_id", "sheet_type", "event_name", F.to_date("a").alias("start_date"), F.to_date("b").alias("end_date"))
+    extra = events.sparkSession.createDataFrame(hand, "file_id string, sheet_type string, event_name string, a string, b string").select("file_id",
+        "sheet_type", "event_name", F.to_date("a").alias("start_date"), F.to_date("b").alias("end_date"))
     day, seen = F.col("start_date"), F.lit("1998-11-15").cast("date")
     rolled = F.when((F.month(day) <= 2) & (day < seen) & (F.datediff(seen, day) < 400), S.same_day_of_year(day, 1)).otherwise(day)
-    return events.unionByName(extra).select("file_id", "sheet_type", "event_name", "start_date", rolled.alias("rolled"), (F.datediff("end_date", "start_date") + 1).cast("long").alias("days"))
+    return events.unionByName(extra).select("file_id", "sheet_type", "event_name", "start_date", rolled.alias("rolled"),
+        (F.datediff("end_date", "start_date") + 1).cast("long").alias("days"))
 
 
-@query(f"""with {_DAILY}, c as (select ForecastStartDate as Origin, ForecastDate, SKU, sum(ForecastQty) as u from forecast_sku_day group by all), d as (select Origin, ForecastDate, round_even(sum(u), 0)::bigint as total from c group by all),
-  s as (select Origin, ForecastDate, SKU, RecentUnits as w, total from daily join d using (Origin, ForecastDate) where RecentUnits > 0), x as (select *, floor(round(w / sum(w) over p * total, 9)) as fl, w / sum(w) over p * total as sh from s window p as (partition by Origin, ForecastDate)),
-  a as (select Origin, ForecastDate, SKU, (fl + case when total > 0 and row_number() over (partition by Origin, ForecastDate order by round(sh - fl, 9) desc, SKU) <= total - sum(fl) over (partition by Origin, ForecastDate) then 1 else 0 end)::double as u from x)
-  select Candidate, Origin, round(sum(u), 4) as Units, count(distinct SKU) filter (u > 0) as SKUs, count(distinct ForecastDate) as Days from (select 'corporate' as Candidate, Origin, ForecastDate, SKU, u from c union all select 'recent', Origin, ForecastDate, SKU, RecentUnits from daily union all select 'anchored', Origin, ForecastDate, SKU, u from a) group by all""")
+@query(f"""with {_DAILY}, c as (select ForecastStartDate as Origin, ForecastDate, SKU, sum(ForecastQty) as u from forecast_sku_day group by all), d
+  as (select Origin, ForecastDate, round_even(sum(u), 0)::bigint as total from c group by all),
+  s as (select Origin, ForecastDate, SKU, RecentUnits as w, total from daily join d using (Origin, ForecastDate) where RecentUnits > 0), x as (select *,
+  floor(round(w / sum(w) over p * total, 9)) as fl, w / sum(w) over p * total as sh from s window p as (partition by Origin, ForecastDate)),
+  a as (select Origin, ForecastDate, SKU, (fl + case when total > 0 and row_number() over (partition by Origin, ForecastDate order by round(sh - fl, 9) desc,
+  SKU) <= total - sum(fl) over (partition by Origin, ForecastDate) then 1 else 0 end)::double as u from x)
+  select Candidate, Origin, round(sum(u), 4) as Units, count(distinct SKU) filter (u > 0) as SKUs, count(distinct ForecastDate) as Days from (select 'corporate'
+  as Candidate, Origin, ForecastDate, SKU, u from c union all select 'recent', Origin, ForecastDate, SKU, RecentUnits from daily union all select 'anchored',
+  Origin, ForecastDate, SKU, u from a) group by all""")
 def forward_pack(t):
     """FC33 corporate, recent and anchored candidates of every origin with their totals."""
     corporate = t.forecast_sku_day.groupBy(F.col("ForecastStartDate").alias("Origin"), "ForecastDate", "SKU").agg(F.sum("ForecastQty").alias("u"))
     recent = _daily(t).select("Origin", "ForecastDate", "SKU", F.col("RecentUnits").alias("u"))
     days = corporate.groupBy("Origin", "ForecastDate").agg(F.bround(F.sum("u")).cast("long").alias("total"))
     shape = recent.where("u > 0").join(days, ["Origin", "ForecastDate"])
-    anchored = A.allocate(shape, ["Origin", "ForecastDate"], "u", "total", ["SKU"], "a").select("Origin", "ForecastDate", "SKU", F.col("a").cast("double").alias("u"))
+    anchored = A.allocate(shape, ["Origin", "ForecastDate"], "u", "total", ["SKU"], "a").select("Origin", "ForecastDate", "SKU",
+        F.col("a").cast("double").alias("u"))
     one = lambda df, n: df.select(F.lit(n).alias("Candidate"), "Origin", "ForecastDate", "SKU", "u")
     rows = one(corporate, "corporate").unionByName(one(recent, "recent")).unionByName(one(anchored, "anchored"))
-    return rows.groupBy("Candidate", "Origin").agg(F.round(F.sum("u"), 4).alias("Units"), F.countDistinct(F.when(F.col("u") > 0, F.col("SKU"))).alias("SKUs"), F.countDistinct("ForecastDate").alias("Days"))
+    return rows.groupBy("Candidate", "Origin").agg(F.round(F.sum("u"), 4).alias("Units"),
+        F.countDistinct(F.when(F.col("u") > 0, F.col("SKU"))).alias("SKUs"), F.countDistinct("ForecastDate").alias("Days"))
 
 
-@query("""with l as (select * from inventory_sku_day qualify row_number() over (partition by SKU order by SnapshotDate desc) = 1), f as (select SKU, sum(ForecastQty) as q from forecast_sku_day where SnapshotId = 'V024' group by 1) select l.SKU, SnapshotDate, AvailPhysical, q, q is null as NoForecast from l left join f using (SKU)""")
+@query("""with l as (select * from inventory_sku_day qualify row_number() over (partition by SKU order by SnapshotDate desc) = 1), f as (select SKU,
+  sum(ForecastQty) as q from forecast_sku_day where SnapshotId = 'V024' group by 1) select l.SKU, SnapshotDate, AvailPhysical, q, q is null as NoForecast from l
+  left join f using (SKU)""")
 def stock_gap(t):
     """JN21 the latest stock of each SKU and whether the last vintage has it; AG36 those without a forecast."""
     last = J.keep_one(t.inventory_sku_day.select("SKU", "SnapshotDate", "AvailPhysical"), ["SKU"], [F.desc("SnapshotDate")])
@@ -60,10 +77,13 @@ def stock_gap(t):
     return last.join(ahead, "SKU", "left").withColumn("NoForecast", F.col("q").isNull())
 
 
-@query(f"""with d as {_DAYS}, k as (select Category, quantile_cont(s - f, 0.35) as q from d where ForecastStartDate < date '1998-07-01' group by 1) select SnapshotId, SKU, ForecastDate, f as Raw, round(greatest(f + coalesce(q, 0), 0), 6) as Quantile from d left join k using (Category) where ForecastStartDate >= date '1998-07-01'""")
+@query(f"""with d as {_DAYS}, k as (select Category, quantile_cont(s - f, 0.35) as q from d where ForecastStartDate < date '1998-07-01'
+  group by 1) select SnapshotId, SKU, ForecastDate, f as Raw, round(greatest(f + coalesce(q, 0), 0), 6) as Quantile from d left join k using (Category)
+  where ForecastStartDate >= date '1998-07-01'""")
 def quantile_forecast(t):
     """ML7 a forecast moved to the 0.35 quantile by each category's errors in earlier windows; there is no quantile tree in Spark."""
     rows = _days(t)
     errors = rows.where("ForecastStartDate < date '1998-07-01'").groupBy("Category").agg(F.percentile(F.col("s") - F.col("f"), F.lit(0.35)).alias("q"))
     later = rows.where("ForecastStartDate >= date '1998-07-01'").join(errors, "Category", "left")
-    return later.select("SnapshotId", "SKU", "ForecastDate", F.col("f").alias("Raw"), F.round(F.greatest(F.col("f") + F.coalesce("q", F.lit(0.0)), F.lit(0.0)), 6).alias("Quantile"))
+    return later.select("SnapshotId", "SKU", "ForecastDate", F.col("f").alias("Raw"),
+        F.round(F.greatest(F.col("f") + F.coalesce("q", F.lit(0.0)), F.lit(0.0)), 6).alias("Quantile"))

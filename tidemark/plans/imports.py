@@ -14,16 +14,20 @@ ALIASES = {"promo_and_dollar_price": "promo_price"}
 
 
 @query(r"""with c as (select id, name, modified, case kind when 0 then [make_date(y::int, m::int, d::int)] when 1 then [make_date(y::int, m::int, d::int)]
-    when 2 then (select list(x) from (select unnest([case when length(b) = 3 then try_cast('20' || right(y, 2) || '-' || lpad(b[1:1], 2, '0') || '-' || b[2:3] as date) else try_cast('20' || right(y, 2) || '-' || b[1:2] || '-' || b[3:4] as date) end, case when length(b) = 3 then try_cast('20' || right(y, 2) || '-' || b[1:2] || '-0' || b[3:3] as date) end]) as x) where x is not null) else [modified] end as found
+    when 2 then (select list(x) from (select unnest([case when length(b) = 3 then try_cast('20' || right(y, 2) || '-' || lpad(b[1:1], 2, '0') || '-' || b[2:3]
+  as date) else try_cast('20' || right(y, 2) || '-' || b[1:2] || '-' || b[3:4] as date) end, case when length(b) = 3 then try_cast('20' || right(y,
+  2) || '-' || b[1:2] || '-0' || b[3:3] as date) end]) as x) where x is not null) else [modified] end as found
     from (select *, m || lpad(d, 2, '0') as b from source_files))
-  select id, name, len(found) as n, found[1] as near from (select id, name, [x.d for x in list_sort([{'far': abs(x - modified), 'd': x} for x in list_distinct(found)])] as found from c)""")
+  select id, name, len(found) as n, found[1] as near from (select id, name,
+  [x.d for x in list_sort([{'far': abs(x - modified), 'd': x} for x in list_distinct(found)])] as found from c)""")
 def file_dates(t):
     """SRC11 and PRJ46 dates in file names, nearest to the file's own first."""
     rows = t.source_files.select("id", "name", H.dates_in_name(F.col("name"), F.col("modified")).alias("found"))
     return rows.select("id", "name", F.size("found").cast("long").alias("n"), F.element_at("found", 1).alias("near"))
 
 
-@query("""with h as (select * from source_files qualify row_number() over (partition by sha256(content || '|' || start_min::varchar) order by modified, name, id) = 1), k as (select *, case folder when 'Error' then 0 when 'Complete' then 1 when 'Processing' then 2 else 9 end as p from h)
+@query("""with h as (select * from source_files qualify row_number() over (partition by sha256(content || '|' || start_min::varchar) order by modified, name,
+  id) = 1), k as (select *, case folder when 'Error' then 0 when 'Complete' then 1 when 'Processing' then 2 else 9 end as p from h)
   select id, name, folder, start_min, skus, units, row_number() over (partition by start_min, skus, units order by p, modified, name, id) = 1 as selected from k""")
 def weekly_files(t):
     """ST7 files of equal content once, and of each weekly key the file of the first folder; TK5 earliest first."""
@@ -32,13 +36,17 @@ def weekly_files(t):
     rank = F.coalesce(*[F.when(F.col("folder") == n, F.lit(k)) for k, n in enumerate(("Error", "Complete", "Processing"))], F.lit(9))
     rows = once.withColumn("p", rank)
     best = rows.groupBy("start_min", "skus", "units").agg(F.min(F.struct("p", "modified", "name", "id"))["id"].alias("best"))
-    return rows.join(best, ["start_min", "skus", "units"]).select("id", "name", "folder", "start_min", "skus", "units", (F.col("id") == F.col("best")).alias("selected"))
+    return rows.join(best, ["start_min", "skus", "units"]).select("id", "name", "folder", "start_min", "skus", "units",
+        (F.col("id") == F.col("best")).alias("selected"))
 
 
 _KEY = r"trim(regexp_replace(replace(replace(replace(lower(trim(regexp_replace(val, '\s+', ' ', 'g'))), '%', ' pct '), '&', ' and '), '$', ' dollar '), '[^a-z0-9]+', '_', 'g'), '_')"
-_KEYED = f"""k1 as (select *, case when {_KEY} = 'promo_and_dollar_price' then 'promo_price' when {_KEY} = '' then 'unnamed_' || (cl + 1) else {_KEY} end as key from cells), k2 as (select *, row_number() over (partition by file_id, sheet_name, rw, key order by cl) as n from k1),
+_KEYED = f"""k1 as (select *, case when {_KEY} = 'promo_and_dollar_price' then 'promo_price' when {_KEY} = '' then 'unnamed_' || (cl + 1) else {_KEY} end as key
+  from cells), k2 as (select *, row_number() over (partition by file_id, sheet_name, rw, key order by cl) as n from k1),
   keyed as (select *, case when n = 1 then key else key || '_' || n end as header from k2),
-  heads as (select file_id, sheet_name, arg_max(rw, (score, -rw)) as header_row, max(score) as score from (select file_id, sheet_name, rw, sum(case header when 'offer' then 5 when 'style' then 3 when 'division' then 1 when 'description' then 1 when 'promo_price' then 1 when 'pct_off_msrp' then 1 when 'inventory' then 1 else 0 end) as score from keyed where rw < 35 group by all) group by all having max(score) >= 7)"""
+  heads as (select file_id, sheet_name, arg_max(rw, (score, -rw)) as header_row, max(score) as score from (select file_id, sheet_name, rw, sum(case header
+  when 'offer' then 5 when 'style' then 3 when 'division' then 1 when 'description' then 1 when 'promo_price' then 1 when 'pct_off_msrp' then 1 when 'inventory'
+  then 1 else 0 end) as score from keyed where rw < 35 group by all) group by all having max(score) >= 7)"""
 
 
 @query(f"with {_KEYED} select file_id, sheet_name, cl, header from keyed where rw = 2")
@@ -53,54 +61,77 @@ def header_rows(t):
     return H.header_rows(t.cells, ALIASES)
 
 
-@query(f"""with {_KEYED}, e as (select file_id, sheet_name, arg_min(nx, (rw, cl)) as event from (select *, lead(val) over (partition by file_id, sheet_name, rw order by cl) as nx from keyed where trim(val) <> '') where key = 'event_name' and nx is not null group by all),
-  s as (select file_id, sheet_name, event, header_row, lower(sheet_name || ' ' || coalesce(event, '')) as x from (select distinct file_id, sheet_name from cells) left join e using (file_id, sheet_name) left join heads using (file_id, sheet_name))
-  select file_id, sheet_name, event, header_row, case when x like '%coupon%' then 'coupon' when header_row is null then case when x like '%pivot%' then 'rollup_or_pivot' else 'non_offer' end when x like '%final sale%' then 'final_sale' when x like '%markdown%' then 'markdown' when x like 'promo offers%' then 'aggregate_promo_offers' else 'promo_detail' end as kind from s""")
+@query(f"""with {_KEYED}, e as (select file_id, sheet_name, arg_min(nx, (rw, cl)) as event from (select *, lead(val) over (partition by file_id, sheet_name, rw
+  order by cl) as nx from keyed where trim(val) <> '') where key = 'event_name' and nx is not null group by all),
+  s as (select file_id, sheet_name, event, header_row, lower(sheet_name || ' ' || coalesce(event, '')) as x from (select distinct file_id, sheet_name
+  from cells) left join e using (file_id, sheet_name) left join heads using (file_id, sheet_name))
+  select file_id, sheet_name, event, header_row, case when x like '%coupon%' then 'coupon' when header_row is null then case when x like '%pivot%'
+  then 'rollup_or_pivot' else 'non_offer' end when x like '%final sale%' then 'final_sale' when x like '%markdown%' then 'markdown' when x like 'promo offers%'
+  then 'aggregate_promo_offers' else 'promo_detail' end as kind from s""")
 def sheet_kinds(t):
     """PRJ21 kinds of sheets, FC27 their event names from labels."""
     sheets = t.cells.select(*H.SHEET).distinct()
-    rows = sheets.join(H.label_values(t.cells, ("event_name",), ALIASES, "event"), H.SHEET, "left").join(H.header_rows(t.cells, ALIASES).drop("score"), H.SHEET, "left")
+    rows = sheets.join(H.label_values(t.cells, ("event_name",), ALIASES, "event"), H.SHEET, "left").join(H.header_rows(t.cells, ALIASES).drop("score"),
+        H.SHEET, "left")
     return rows.select(*H.SHEET, "event", "header_row", H.sheet_kind(F.col("sheet_name"), F.col("event"), F.col("header_row").isNotNull()).alias("kind"))
 
 
-@query(f"""with {_KEYED}, b as (select k.file_id, k.sheet_name, k.rw, h.header, trim(k.val) as val from keyed k join heads using (file_id, sheet_name) join (select x.file_id, x.sheet_name, cl, header from keyed x join heads y on y.file_id = x.file_id and y.sheet_name = x.sheet_name and y.header_row = x.rw) h on h.file_id = k.file_id and h.sheet_name = k.sheet_name and h.cl = k.cl where k.rw > header_row),
-  r as (select file_id, sheet_name, rw, coalesce(max(val) filter (header = 'offer'), '') as offer, coalesce(max(val) filter (header = 'style'), '') as style, coalesce(max(val) filter (header = 'pct_off_msrp'), '') as pct, coalesce(max(val) filter (header = 'promo_price'), '') as price from b group by all)
-  select file_id, sheet_name, rw, offer, case when style = '' then string_split(offer, '-')[1] else style end as style, try_cast(replace(pct, '%', '') as double) / 100 as discount, try_cast(replace(price, '$', '') as double) as price from r where (offer <> '' or style <> '') and lower(offer) <> 'offer'""")
+@query(f"""with {_KEYED}, b as (select k.file_id, k.sheet_name, k.rw, h.header, trim(k.val) as val from keyed k join heads using (file_id, sheet_name)
+  join (select x.file_id, x.sheet_name, cl, header from keyed x join heads y on y.file_id = x.file_id and y.sheet_name = x.sheet_name
+  and y.header_row = x.rw) h on h.file_id = k.file_id and h.sheet_name = k.sheet_name and h.cl = k.cl where k.rw > header_row),
+  r as (select file_id, sheet_name, rw, coalesce(max(val) filter (header = 'offer'), '') as offer, coalesce(max(val) filter (header = 'style'), '') as style,
+  coalesce(max(val) filter (header = 'pct_off_msrp'), '') as pct, coalesce(max(val) filter (header = 'promo_price'), '') as price from b group by all)
+  select file_id, sheet_name, rw, offer, case when style = '' then string_split(offer, '-')[1] else style end as style, try_cast(replace(pct, '%', '')
+  as double) / 100 as discount, try_cast(replace(price, '$', '') as double) as price from r where (offer <> '' or style <> '') and lower(offer) <> 'offer'""")
 def sheet_records(t):
     """FC27 and PRJ38 records of all sheets with a header, valid rows alone; PRJ39 sheets without records have none."""
     rows = H.records(t.cells, ALIASES, ["offer", "style", "pct_off_msrp", "promo_price"])
-    return rows.select(*H.SHEET, "rw", "offer", "style", (S.to_number(F.col("pct_off_msrp")) / 100).alias("discount"), S.to_number(F.col("promo_price")).alias("price"))
+    return rows.select(*H.SHEET, "rw", "offer", "style", (S.to_number(F.col("pct_off_msrp")) / 100).alias("discount"),
+        S.to_number(F.col("promo_price")).alias("price"))
 
 
-@query("""select try_cast(d.val as date) as Date, p.val::double as PlanUnits, a.val::double as ActualUnits, round(p.val::double / nullif(a.val::double, 0), 6) as PlanVsActual from planner_cells d left join planner_cells p on p.cl = d.cl and p.rw = 9 left join planner_cells a on a.cl = d.cl and a.rw = 12 where d.rw = 4 and try_cast(d.val as date) is not null""")
+@query("""select try_cast(d.val as date) as Date, p.val::double as PlanUnits, a.val::double as ActualUnits, round(p.val::double / nullif(a.val::double, 0), 6)
+  as PlanVsActual from planner_cells d left join planner_cells p on p.cl = d.cl and p.rw = 9 left join planner_cells a on a.cl = d.cl and a.rw = 12
+  where d.rw = 4 and try_cast(d.val as date) is not null""")
 def planner_grid(t):
     """FC25 a grid with dates across to a table by day: rows are found by their labels, columns by the date row."""
     cells = t.planner_cells
     labels = cells.where("cl = 0").select("rw", F.lower(F.trim("val")).alias("label"))
     named = cells.where("cl > 0").join(labels, "rw")
     pick = lambda label: F.max(F.when(F.col("label") == label, F.col("val")))
-    rows = named.groupBy("cl").agg(pick("date").try_cast("date").alias("Date"), pick("ops imf plan").try_cast("double").alias("PlanUnits"), pick("actual demand (units)").try_cast("double").alias("ActualUnits"))
-    return rows.where("Date is not null").select("Date", "PlanUnits", "ActualUnits", F.round(S.ratio_or_null(F.col("PlanUnits"), F.col("ActualUnits")), 6).alias("PlanVsActual"))
+    rows = named.groupBy("cl").agg(pick("date").try_cast("date").alias("Date"), pick("ops imf plan").try_cast("double").alias("PlanUnits"),
+        pick("actual demand (units)").try_cast("double").alias("ActualUnits"))
+    return rows.where("Date is not null").select("Date", "PlanUnits", "ActualUnits",
+        F.round(S.ratio_or_null(F.col("PlanUnits"), F.col("ActualUnits")), 6).alias("PlanVsActual"))
 
 
-@query("""with x as (select unnest(generate_series(start_date, end_date, interval 1 day))::date as day, event_id, promo_scope from promo_events where sheet_type = 'coupon'), f as (select day, promo_scope, min(event_id) as first from x where promo_scope <> '' group by all)
-  select day, count(*) as Coupons, max(event_id % 60) as MaxPercent, coalesce((select string_agg(promo_scope, '|' order by first) from f where f.day = x.day), '') as Scopes from x group by day""")
+@query("""with x as (select unnest(generate_series(start_date, end_date, interval 1 day))::date as day, event_id, promo_scope from promo_events
+  where sheet_type = 'coupon'), f as (select day, promo_scope, min(event_id) as first from x where promo_scope <> '' group by all)
+  select day, count(*) as Coupons, max(event_id % 60) as MaxPercent, coalesce((select string_agg(promo_scope, '|' order by first) from f where f.day = x.day),
+  '') as Scopes from x group by day""")
 def coupon_days(t):
     """AG16 coupons by day, AG14 scopes in the order in which they are first seen, blanks skipped."""
     x = t.promo_events.where("sheet_type = 'coupon'").select(F.explode(F.sequence("start_date", "end_date")).alias("day"), "event_id", "promo_scope")
-    scopes = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(F.col("promo_scope") != "", F.struct("event_id", "promo_scope")))), lambda s: s["promo_scope"]))
+    scopes = F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(F.col("promo_scope") != "", F.struct("event_id", "promo_scope")))),
+        lambda s: s["promo_scope"]))
     return x.groupBy("day").agg(F.count("*").alias("Coupons"), F.max(F.col("event_id") % 60).alias("MaxPercent"), F.array_join(scopes, "|").alias("Scopes"))
 
 
-@query("""with n as (select SKU, trim(upper(GroupCode)) as g, trim(upper(SizeCode)) as s, last_seen, source_file, SalesID from ledger), a as (select * from n qualify row_number() over (partition by SKU order by last_seen desc, source_file desc, SalesID desc) = 1), b as (select * from n qualify row_number() over (partition by SKU order by g, last_seen desc, SalesID desc) = 1)
-  select SKU, case when a.g || a.s = '' then 'UNKNOWN' else a.g || a.s end as Newest, case when b.g <> '' and b.s <> '' then b.g || b.s when b.g <> '' then b.g else 'UNKNOWN' end as FirstGroup from a join b using (SKU)""")
+@query("""with n as (select SKU, trim(upper(GroupCode)) as g, trim(upper(SizeCode)) as s, last_seen, source_file, SalesID from ledger), a as (select * from n
+  qualify row_number() over (partition by SKU order by last_seen desc, source_file desc, SalesID desc) = 1), b as (select * from n qualify row_number()
+  over (partition by SKU order by g, last_seen desc, SalesID desc) = 1)
+  select SKU, case when a.g || a.s = '' then 'UNKNOWN' else a.g || a.s end as Newest, case when b.g <> '' and b.s <> '' then b.g || b.s when b.g <> '' then b.g
+  else 'UNKNOWN' end as FirstGroup from a join b using (SKU)""")
 def crosswalks(t):
     """SRC13 a SKU's category by its newest row, SRC14 by its first group code: two rules that differ."""
     n = t.ledger.select("SKU", F.trim(F.upper("GroupCode")).alias("g"), F.trim(F.upper("SizeCode")).alias("s"), "last_seen", "source_file", "SalesID")
-    newest, lowest = F.max(F.struct("last_seen", "source_file", "SalesID", "g", "s")), F.min(F.struct("g", (-F.unix_date("last_seen")).alias("d"), (-F.col("SalesID")).alias("i"), "s"))
+    newest, lowest = F.max(F.struct("last_seen", "source_file", "SalesID", "g", "s")), F.min(F.struct("g", (-F.unix_date("last_seen")).alias("d"),
+        (-F.col("SalesID")).alias("i"), "s"))
     rows = n.groupBy("SKU").agg(newest.alias("a"), lowest.alias("b"))
     both = F.concat("a.g", "a.s")
-    return rows.select("SKU", F.when(both == "", "UNKNOWN").otherwise(both).alias("Newest"), F.when((F.col("b.g") != "") & (F.col("b.s") != ""), F.concat("b.g", "b.s")).when(F.col("b.g") != "", F.col("b.g")).otherwise("UNKNOWN").alias("FirstGroup"))
+    return rows.select("SKU", F.when(both == "", "UNKNOWN").otherwise(both).alias("Newest"),
+        F.when((F.col("b.g") != "") & (F.col("b.s") != ""), F.concat("b.g", "b.s")).when(F.col("b.g") != "",
+            F.col("b.g")).otherwise("UNKNOWN").alias("FirstGroup"))
 
 
 _NEW = "n as (select case when SnapshotId = 'V003' then 'V004' else 'V100' end as SnapshotId, SKU, ForecastDate, ForecastQty + 1 as ForecastQty from forecast_sku_day where SnapshotId in ('V003', 'V007'))"
@@ -109,7 +140,8 @@ _NEW = "n as (select case when SnapshotId = 'V003' then 'V004' else 'V100' end a
 def _imported(t):
     """Two imports: one with the id of an old vintage, one with an id of its own."""
     rows = t.forecast_sku_day.where("SnapshotId in ('V003', 'V007')")
-    return rows.select(F.when(F.col("SnapshotId") == "V003", "V004").otherwise("V100").alias("SnapshotId"), "SKU", "ForecastDate", (F.col("ForecastQty") + 1).alias("ForecastQty"))
+    return rows.select(F.when(F.col("SnapshotId") == "V003", "V004").otherwise("V100").alias("SnapshotId"), "SKU", "ForecastDate",
+        (F.col("ForecastQty") + 1).alias("ForecastQty"))
 
 
 @query(f"with {_NEW} select SnapshotId, SKU, ForecastDate, ForecastQty from forecast_sku_day where SnapshotId not in (select SnapshotId from n) union all select * from n")
@@ -128,12 +160,15 @@ def vintage_imports(t):
     rows = old.unionByName(again).unionByName(_imported(t).where("SnapshotId = 'V100'"))
     text = F.concat_ws(":", "SKU", F.col("ForecastDate").cast("string"), F.col("ForecastQty").cast("long").cast("string"))
     # a vintage is a file of bounded size, so its rows are one list
-    files = rows.groupBy("SnapshotId").agg(F.count("*").alias("Rows"), F.countDistinct("SKU").alias("SKUs"), F.sum("ForecastQty").alias("Units"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("SKU", "ForecastDate", text.alias("x")))), lambda s: s["x"]), ",").alias("content"))
+    files = rows.groupBy("SnapshotId").agg(F.count("*").alias("Rows"), F.countDistinct("SKU").alias("SKUs"), F.sum("ForecastQty").alias("Units"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("SKU", "ForecastDate", text.alias("x")))), lambda s: s["x"]), ",").alias("content"))
     files = files.withColumn("h", F.sha2(F.col("content").cast("binary"), 256))
     return J.keep_one(files, ["h"], ["SnapshotId"]).select("SnapshotId", "Rows", "SKUs", "Units", F.substring("h", 1, 12).alias("ContentId"))
 
 
-@query("""with v as (select k, SnapshotId, ForecastStartDate as d from vintages), r as (select SKU, last_seen, SalesID, upper(GroupCode) as g from ledger) select v.SnapshotId, r.SKU, coalesce(nullif(arg_max(g, (last_seen, SalesID)), ''), 'UNKNOWN') as Category from v join r on r.last_seen < v.d group by all""")
+@query("""with v as (select k, SnapshotId, ForecastStartDate as d from vintages), r as (select SKU, last_seen, SalesID, upper(GroupCode) as g
+  from ledger) select v.SnapshotId, r.SKU, coalesce(nullif(arg_max(g, (last_seen, SalesID)), ''), 'UNKNOWN') as Category from v join r on r.last_seen < v.d
+  group by all""")
 def vintage_categories(t):
     """JN8 and JN7 each SKU's category as it was known when a vintage began: the last row before its start."""
     starts = t.vintages.select("SnapshotId", F.col("ForecastStartDate").alias("d"))
@@ -146,7 +181,8 @@ def vintage_categories(t):
     return known.select("SnapshotId", "SKU", F.coalesce(F.nullif(F.col("g"), F.lit("")), F.lit("UNKNOWN")).alias("Category"))
 
 
-@query("""select year(Date)::int as Year, count(*) as Rows, sum(PlanUnits)::double as PlanUnits, sum(ActualUnits) filter (year(Date) >= 1998)::double as ActualUnits from planner_daily group by 1""")
+@query("""select year(Date)::int as Year, count(*) as Rows, sum(PlanUnits)::double as PlanUnits, sum(ActualUnits) filter (year(Date) >= 1998)::double
+  as ActualUnits from planner_daily group by 1""")
 def planner_years(t):
     """SRC23 and SRC4 years in parts of different columns, put together by name, columns that a part lacks are null; FC32 which columns there are."""
     plan = t.planner_daily

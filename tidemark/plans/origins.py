@@ -26,12 +26,16 @@ def _recent(t):
 
 _O = "o as (select distinct ForecastStartDate as Origin from vintages)"
 _R = f"{_O}, r as (select Origin, ActualDate, SKU, coalesce(Category, 'UNKNOWN') as Category, SoldUnits from o join actual_sku_day a on a.ActualDate >= Origin - 56 and a.ActualDate < Origin left join dim_product using (SKU))"
-_RATE = f"""{_R}, d as (select Origin, Category, ActualDate, sum(SoldUnits) as u from r group by all), m as (select *, median(u) over (partition by Origin, Category) as med from d),
+_RATE = f"""{_R}, d as (select Origin, Category, ActualDate, sum(SoldUnits) as u from r group by all), m as (select *, median(u) over (partition by Origin,
+  Category) as med from d),
   rate as (select Origin, Category, sum(least(u, greatest(2.5 * med, 10))) / 56 as DailyRunRate from m group by all)"""
-_LIFT = """s as (select Origin, k, (Origin - to_years(k))::date as es, ((Origin + 13) - to_years((k + year(Origin + 13) - year(Origin))::int))::date as ee from o, (select unnest([1, 2, 3])::int as k)),
-  e as (select Origin, k, coalesce(Category, 'UNKNOWN') as Category, coalesce(sum(SoldUnits) filter (ActualDate between es and ee), 0) as ev, coalesce(sum(SoldUnits) filter (ActualDate between es - 28 and es - 1), 0) as base, greatest(any_value(ee) - any_value(es) + 1, 1) as n
+_LIFT = """s as (select Origin, k, (Origin - to_years(k))::date as es, ((Origin + 13) - to_years((k + year(Origin + 13) - year(Origin))::int))::date as ee
+  from o, (select unnest([1, 2, 3])::int as k)),
+  e as (select Origin, k, coalesce(Category, 'UNKNOWN') as Category, coalesce(sum(SoldUnits) filter (ActualDate between es and ee), 0) as ev,
+  coalesce(sum(SoldUnits) filter (ActualDate between es - 28 and es - 1), 0) as base, greatest(any_value(ee) - any_value(es) + 1, 1) as n
     from s join actual_sku_day on ActualDate between es - 28 and greatest(ee, es) left join dim_product using (SKU) group by all),
-  lift as (select Origin, Category, least(greatest((sum(least(greatest((ev / n) / (base / 28), 0.5), 3.0) * base) + 400.0) / (sum(base) + 400.0), 0.5), 3.0) as ShrunkLift from e where base > 0 group by all)"""
+  lift as (select Origin, Category, least(greatest((sum(least(greatest((ev / n) / (base / 28), 0.5), 3.0) * base) + 400.0) / (sum(base) + 400.0), 0.5), 3.0)
+  as ShrunkLift from e where base > 0 group by all)"""
 _TARGET = f"{_RATE}, {_LIFT}, target as (select Origin, Category, DailyRunRate * 14 * coalesce(ShrunkLift, 1.0) as CategoryTarget from rate left join lift using (Origin, Category) where DailyRunRate > 0)"
 
 
@@ -47,9 +51,11 @@ def event_lift(t):
     return K.event_lift(t.actual_sku_day, origins_of(t), _categories(t)).select("Origin", "Category", F.round("ShrunkLift", 6).alias("lift"))
 
 
-_FACTOR = """p as (select Origin, isodow(d) - 1 as dow, count(*) as n from (select Origin, unnest(generate_series(Origin - 56, Origin - 1, interval 1 day))::date as d from o) group by all),
+_FACTOR = """p as (select Origin, isodow(d) - 1 as dow, count(*) as n from (select Origin, unnest(generate_series(Origin - 56, Origin - 1,
+  interval 1 day))::date as d from o) group by all),
   q as (select Origin, isodow(ActualDate) - 1 as dow, sum(SoldUnits) as u from r group by all),
-  factor as (select Origin, dow, case when mean > 0 then least(greatest(coalesce(u, 0) / n / mean, 0.65), 1.35) else 1.0 end as factor from (select *, sum(u) over (partition by Origin) / 56 as mean from p left join q using (Origin, dow)))"""
+  factor as (select Origin, dow, case when mean > 0 then least(greatest(coalesce(u, 0) / n / mean, 0.65), 1.35) else 1.0 end as factor from (select *, sum(u)
+  over (partition by Origin) / 56 as mean from p left join q using (Origin, dow)))"""
 
 
 @query(f"with {_R}, {_FACTOR} select Origin, dow, round(factor, 6) as factor from factor")
@@ -74,8 +80,10 @@ def category_targets(t):
     return rows.select("Origin", "Category", F.round("CategoryTarget", 6).alias("target"))
 
 
-_DAILY = f"""{_R}, {_FACTOR}, daily as (select x.Origin, SKU, d as ForecastDate, rate * factor as RecentUnits from (select Origin, SKU, sum(SoldUnits) / 56 as rate from r group by all) x
-  join (select Origin, unnest(generate_series(Origin, Origin + 13, interval 1 day))::date as d from o) h on h.Origin = x.Origin join factor f on f.Origin = x.Origin and f.dow = isodow(d) - 1)"""
+_DAILY = f"""{_R}, {_FACTOR}, daily as (select x.Origin, SKU, d as ForecastDate, rate * factor as RecentUnits from (select Origin, SKU, sum(SoldUnits) / 56
+  as rate from r group by all) x
+  join (select Origin, unnest(generate_series(Origin, Origin + 13, interval 1 day))::date as d from o) h on h.Origin = x.Origin
+  join factor f on f.Origin = x.Origin and f.dow = isodow(d) - 1)"""
 
 
 def _daily(t):
@@ -91,11 +99,17 @@ def recent_daily(t):
 
 #: Fixed value: the most days of an event.
 OFFER_DAYS = 60
-_OFFERS = """offer as (select file_id, event_id, sheet_type, event_name, promo_scope, regexp_extract(upper(offer_cc), '^([A-Z0-9]+)-([A-Z0-9]+)(?:-.*)?$', 1) as Item, regexp_extract(upper(offer_cc), '^([A-Z0-9]+)-([A-Z0-9]+)(?:-.*)?$', 2) as Color, start_date, end_date,
-    least(greatest(greatest(case when pct_off_msrp > 1 then pct_off_msrp / 100 else pct_off_msrp end, case when extra_off > 1 then extra_off / 100 else extra_off end), 0), 1) as disc, least(promo_price, clearance_price) as price, avail_inv, lw_units from promo_offers where sheet_type <> 'coupon' and end_date - start_date between 0 and 59),
-  feature as (select d as Date, SKU, count(*) as OfferRows, count(distinct file_id) as Events, count(distinct x.Item) as Items, max(disc) as MaxDiscount, round(avg(disc), 6) as AvgDiscount, min(price) as MinPrice, max(avail_inv) as AvailInv, max(lw_units) as LastWeekUnits,
-    bool_or(sheet_type = 'markdown') as Markdown, bool_or(sheet_type = 'final_sale') as FinalSale, arg_min(sheet_type, (event_id, day_offset)) as SheetType, arg_min(event_name, (event_id, day_offset)) as EventName
-    from (select offer.*, d, d - start_date as day_offset from (select *, unnest(generate_series(start_date, end_date, interval 1 day))::date as d from offer) offer) x join dim_product p on p.Item = x.Item and p.Color = x.Color group by all)"""
+_OFFERS = """offer as (select file_id, event_id, sheet_type, event_name, promo_scope, regexp_extract(upper(offer_cc), '^([A-Z0-9]+)-([A-Z0-9]+)(?:-.*)?$', 1)
+  as Item, regexp_extract(upper(offer_cc), '^([A-Z0-9]+)-([A-Z0-9]+)(?:-.*)?$', 2) as Color, start_date, end_date,
+    least(greatest(greatest(case when pct_off_msrp > 1 then pct_off_msrp / 100 else pct_off_msrp end, case when extra_off > 1 then extra_off / 100
+  else extra_off end), 0), 1) as disc, least(promo_price, clearance_price) as price, avail_inv, lw_units from promo_offers where sheet_type <> 'coupon'
+  and end_date - start_date between 0 and 59),
+  feature as (select d as Date, SKU, count(*) as OfferRows, count(distinct file_id) as Events, count(distinct x.Item) as Items, max(disc) as MaxDiscount,
+  round(avg(disc), 6) as AvgDiscount, min(price) as MinPrice, max(avail_inv) as AvailInv, max(lw_units) as LastWeekUnits,
+    bool_or(sheet_type = 'markdown') as Markdown, bool_or(sheet_type = 'final_sale') as FinalSale, arg_min(sheet_type, (event_id, day_offset)) as SheetType,
+  arg_min(event_name, (event_id, day_offset)) as EventName
+    from (select offer.*, d, d - start_date as day_offset from (select *, unnest(generate_series(start_date, end_date, interval 1 day))::date as d
+  from offer) offer) x join dim_product p on p.Item = x.Item and p.Color = x.Color group by all)"""
 
 
 def _promo_features(t):
@@ -103,12 +117,17 @@ def _promo_features(t):
     rows = t.promo_offers.where((F.col("sheet_type") != "coupon") & F.datediff("end_date", "start_date").between(0, OFFER_DAYS - 1))
     code = S.offer_code(F.col("offer_cc"))
     disc = F.greatest(S.unit_discount(F.col("pct_off_msrp")), S.unit_discount(F.col("extra_off")))
-    rows = rows.select("file_id", "event_id", "sheet_type", "event_name", code["Item"].alias("Item"), code["Color"].alias("Color"), disc.alias("disc"), F.least("promo_price", "clearance_price").alias("price"), "avail_inv", "lw_units", F.posexplode(F.sequence("start_date", "end_date")).alias("day_offset", "Date"))
+    rows = rows.select("file_id", "event_id", "sheet_type", "event_name", code["Item"].alias("Item"), code["Color"].alias("Color"), disc.alias("disc"),
+        F.least("promo_price", "clearance_price").alias("price"), "avail_inv", "lw_units",
+            F.posexplode(F.sequence("start_date", "end_date")).alias("day_offset", "Date"))
     rows = rows.join(t.dim_product.select("SKU", "Item", "Color"), ["Item", "Color"])
     first = lambda c: F.min_by(c, F.struct("event_id", "day_offset"))
     return rows.groupBy("Date", "SKU").agg(
-        F.count("*").alias("OfferRows"), F.countDistinct("file_id").alias("Events"), F.countDistinct("Item").alias("Items"), F.max("disc").alias("MaxDiscount"), F.round(F.avg("disc"), 6).alias("AvgDiscount"), F.min("price").alias("MinPrice"), F.max("avail_inv").alias("AvailInv"),
-        F.max("lw_units").alias("LastWeekUnits"), F.bool_or(F.col("sheet_type") == "markdown").alias("Markdown"), F.bool_or(F.col("sheet_type") == "final_sale").alias("FinalSale"), first("sheet_type").alias("SheetType"), first("event_name").alias("EventName"),
+        F.count("*").alias("OfferRows"), F.countDistinct("file_id").alias("Events"), F.countDistinct("Item").alias("Items"),
+            F.max("disc").alias("MaxDiscount"), F.round(F.avg("disc"), 6).alias("AvgDiscount"), F.min("price").alias("MinPrice"),
+                F.max("avail_inv").alias("AvailInv"),
+        F.max("lw_units").alias("LastWeekUnits"), F.bool_or(F.col("sheet_type") == "markdown").alias("Markdown"),
+            F.bool_or(F.col("sheet_type") == "final_sale").alias("FinalSale"), first("sheet_type").alias("SheetType"), first("event_name").alias("EventName"),
     )
 
 
@@ -119,23 +138,36 @@ def promo_sku_days(t):
 
 
 _NO_MODEL = f"""{_DAILY}, {_OFFERS},
-  promo as (select Origin, SKU, Date as ForecastDate, max(case when MaxDiscount <= 0 then 1.25 else least(greatest(1 + least(MaxDiscount, 1.0) * 0.75, 1.0), 2.0) end) as m, max(greatest(LastWeekUnits, 0)) / 7 as fl from o join feature on Date between Origin and Origin + 13 group by all),
-  season as (select h.Origin, SKU, d as ForecastDate, sum(SoldUnits) / 14 as SeasonalUnits from (select Origin, unnest(generate_series(Origin, Origin + 13, interval 1 day))::date as d from o) h, (select unnest([1, 2])::int as y) z join actual_sku_day on ActualDate between (d - to_years(y))::date - 3 and (d - to_years(y))::date + 3 group by all),
-  u as (select distinct Origin, SKU from (select ForecastStartDate as Origin, SKU from forecast_sku_day union all select Origin, SKU from daily union all select Origin, SKU from promo)),
-  g as (select u.Origin, u.SKU, coalesce(RecentUnits, 0) as a, coalesce(SeasonalUnits, 0) as b, m, coalesce(fl, 0) as fl from u join (select Origin, unnest(generate_series(Origin, Origin + 13, interval 1 day))::date as ForecastDate from o) h on h.Origin = u.Origin
-    left join daily x on x.Origin = u.Origin and x.SKU = u.SKU and x.ForecastDate = h.ForecastDate left join season s on s.Origin = u.Origin and s.SKU = u.SKU and s.ForecastDate = h.ForecastDate left join promo p on p.Origin = u.Origin and p.SKU = u.SKU and p.ForecastDate = h.ForecastDate),
+  promo as (select Origin, SKU, Date as ForecastDate, max(case when MaxDiscount <= 0 then 1.25 else least(greatest(1 + least(MaxDiscount, 1.0) * 0.75, 1.0),
+  2.0) end) as m, max(greatest(LastWeekUnits, 0)) / 7 as fl from o join feature on Date between Origin and Origin + 13 group by all),
+  season as (select h.Origin, SKU, d as ForecastDate, sum(SoldUnits) / 14 as SeasonalUnits from (select Origin, unnest(generate_series(Origin, Origin + 13,
+  interval 1 day))::date as d from o) h, (select unnest([1, 2])::int as y) z join actual_sku_day on ActualDate between (d - to_years(y))::date - 3
+  and (d - to_years(y))::date + 3 group by all),
+  u as (select distinct Origin, SKU from (select ForecastStartDate as Origin, SKU from forecast_sku_day union all select Origin, SKU from daily
+  union all select Origin, SKU from promo)),
+  g as (select u.Origin, u.SKU, coalesce(RecentUnits, 0) as a, coalesce(SeasonalUnits, 0) as b, m, coalesce(fl, 0) as fl from u join (select Origin,
+  unnest(generate_series(Origin, Origin + 13, interval 1 day))::date as ForecastDate from o) h on h.Origin = u.Origin
+    left join daily x on x.Origin = u.Origin and x.SKU = u.SKU and x.ForecastDate = h.ForecastDate left join season s on s.Origin = u.Origin and s.SKU = u.SKU
+  and s.ForecastDate = h.ForecastDate left join promo p on p.Origin = u.Origin and p.SKU = u.SKU and p.ForecastDate = h.ForecastDate),
   w as (select *, case when a > 0 and b > 0 then 0.65 * a + 0.35 * b when b > 0 then b else a end as c from g),
-  forecast as (select Variant, Origin, SKU, ForecastUnits from (select Origin, SKU, unnest(['recent', 'recent_floor', 'seasonal', 'seasonal_floor']) as Variant, unnest([v1, v2, v3, v4]) as ForecastUnits from (select Origin, SKU, round_even(round(sum(case when m is null then a else greatest(a * m, 0) end), 6), 0) as v1,
-    round_even(round(sum(case when m is null then a else greatest(a * m, fl) end), 6), 0) as v2, round_even(round(sum(case when m is null then c else greatest(c * m, 0) end), 6), 0) as v3, round_even(round(sum(case when m is null then c else greatest(c * m, fl) end), 6), 0) as v4 from w group by all)) where ForecastUnits > 0)"""
+  forecast as (select Variant, Origin, SKU, ForecastUnits from (select Origin, SKU, unnest(['recent', 'recent_floor', 'seasonal', 'seasonal_floor']) as Variant,
+  unnest([v1, v2, v3, v4]) as ForecastUnits from (select Origin, SKU, round_even(round(sum(case when m is null then a else greatest(a * m, 0) end), 6), 0)
+  as v1,
+    round_even(round(sum(case when m is null then a else greatest(a * m, fl) end), 6), 0) as v2, round_even(round(sum(case when m is null then c
+  else greatest(c * m, 0) end), 6), 0) as v3, round_even(round(sum(case when m is null then c else greatest(c * m, fl) end), 6), 0) as v4 from w group by all))
+  where ForecastUnits > 0)"""
 
 
 def _no_model(t):
     origins = origins_of(t)
     daily = _daily(t)
     ahead = K.days_of(origins, 0, K.HORIZON - 1, "ForecastDate")
-    promo = _promo_features(t).select("SKU", F.col("Date").alias("ForecastDate"), S.promo_multiplier(F.lit(True), F.col("MaxDiscount")).alias("Multiplier"), (F.greatest("LastWeekUnits", F.lit(0.0)) / 7).alias("Floor")).join(ahead, "ForecastDate")
-    near = ahead.withColumns({"y": F.explode(F.array(F.lit(1), F.lit(2)))}).withColumn("o", F.explode(F.sequence(F.lit(-3), F.lit(3)))).select("Origin", "ForecastDate", F.expr("date_add(add_months(ForecastDate, -12 * y), o)").alias("ActualDate"))
-    season = t.actual_sku_day.select("SKU", "ActualDate", "SoldUnits").join(near, "ActualDate").groupBy("Origin", "SKU", "ForecastDate").agg((F.sum("SoldUnits") / 14).alias("SeasonalUnits"))
+    promo = _promo_features(t).select("SKU", F.col("Date").alias("ForecastDate"), S.promo_multiplier(F.lit(True), F.col("MaxDiscount")).alias("Multiplier"),
+        (F.greatest("LastWeekUnits", F.lit(0.0)) / 7).alias("Floor")).join(ahead, "ForecastDate")
+    near = ahead.withColumns({"y": F.explode(F.array(F.lit(1), F.lit(2)))}).withColumn("o", F.explode(F.sequence(F.lit(-3), F.lit(3)))).select("Origin",
+        "ForecastDate", F.expr("date_add(add_months(ForecastDate, -12 * y), o)").alias("ActualDate"))
+    season = t.actual_sku_day.select("SKU", "ActualDate", "SoldUnits").join(near, "ActualDate").groupBy("Origin", "SKU",
+        "ForecastDate").agg((F.sum("SoldUnits") / 14).alias("SeasonalUnits"))
     source = t.forecast_sku_day.select(F.col("ForecastStartDate").alias("Origin"), "SKU")
     universe = source.union(daily.select("Origin", "SKU")).union(promo.select("Origin", "SKU")).distinct()
     return P.no_model(universe, origins, daily, season, promo)
