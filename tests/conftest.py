@@ -16,7 +16,8 @@ os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("P
 def spark():
     from pyspark.sql import SparkSession
 
-    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled",
+        "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -30,7 +30,8 @@ def test_calibration(spark):
 def test_activation(spark):
     origin = dt.date(2024, 1, 1)
     recent = spark.createDataFrame([(origin, "a", 10.0), (origin, "b", 4.0), (origin, "c", 1.0)], "Origin date, SKU string, RecentUnits double")
-    evidence = spark.createDataFrame([(origin, "a", True, False), (origin, "c", False, True), (origin, "n", True, True)], "Origin date, SKU string, HasInv boolean, HasInbound boolean")
+    evidence = spark.createDataFrame([(origin, "a", True, False), (origin, "c", False, True), (origin, "n", True, True)],
+        "Origin date, SKU string, HasInv boolean, HasInbound boolean")
     kinds = spark.createDataFrame([("a", "X"), ("b", "X"), ("c", "X"), ("n", "X")], "SKU string, Category string")
     got = {r["SKU"]: (r["Gate"], r["Weight"]) for r in activation.activation_weights(recent, evidence, kinds).collect()}
     assert got["a"] == (1.0, 10.0) and got["n"] == (1.0, 2.0)

@@ -19,7 +19,8 @@ def values(spark, rows, schema, *columns):
     return [tuple(r) for r in spark.createDataFrame(rows, schema).select(*columns).collect()]
 
 
-@pytest.mark.parametrize("raw, sku", [("i1", "i1"), (" - c", ""), ("it-", "it--"), ("it--l", "it--L"), ("it - c1 ", "it-C1"), ("it-c-s-x", "it-C-S-X"), (None, "")])
+@pytest.mark.parametrize("raw, sku",
+    [("i1", "i1"), (" - c", ""), ("it-", "it--"), ("it--l", "it--L"), ("it - c1 ", "it-C1"), ("it-c-s-x", "it-C-S-X"), (None, "")])
 def test_normal_sku(spark, raw, sku):
     assert values(spark, [(raw,)], "x string", S.normal_sku(F.col("x"))) == [(sku,)]
 
@@ -60,7 +61,8 @@ def test_allocation(spark, weights, total, want):
 
 
 def test_calendar_mean_counts_missing_days(spark):
-    rows = spark.createDataFrame([("a", dt.date(2024, 1, 1), 7.0), ("a", dt.date(2024, 1, 6), 1.0), ("a", dt.date(2024, 1, 20), 1.0)], "k string, d date, v double")
+    rows = spark.createDataFrame([("a", dt.date(2024, 1, 1), 7.0), ("a", dt.date(2024, 1, 6), 1.0), ("a", dt.date(2024, 1, 20), 1.0)],
+        "k string, d date, v double")
     got = rows.select("d", W.calendar_mean("v", ["k"], "d", 7).alias("m")).orderBy("d").collect()
     assert [r.m for r in got] == [0.0, 1.0, 0.0]
 
