@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, lshforest, media, mixing, ordinal, tokens, toxicity, urllists, warc
+from tidemark.llm import chat, decontam, linededup, lshforest, media, merkle, mixing, ordinal, ranked, tokens, toxicity, urllists, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -189,5 +189,81 @@ def op10_media_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "header")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_list_join, op2_warc_segments, op3_lsh_forest, op4_benchmark_decontamination, op5_ordinal_quality, op6_source_mix, op7_training_order, op8_toxicity_bigru, op9_chat_format, op10_media_shards)}
-ORACLE_SQL = {"op1_url_list_join": _OP1_SQL, "op2_warc_segments": _OP2_SQL, "op3_lsh_forest": _OP3_SQL, "op4_benchmark_decontamination": _OP4_SQL, "op6_source_mix": _OP6_SQL, "op9_chat_format": _OP9_SQL}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; in those whose id's CRC-32 3 divides, the record held against the manifest has its A-Z lower-cased."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lower = F.when(tampered, F.translate("text", linededup.UPPER, linededup.LOWER)).otherwise(F.col("text"))
+    rows = merkle.proofs(_table(spark, sf_dir, "documents"), presented={"text": lower})
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-')" for f in fields) + ")"
+
+
+def _tree_sql(name: str, groups: str, levels: int) -> str:
+    """Levels of a tree over {name}0 (groups, r, h, n), with the digests before and after each node in its run; a tree of one node stays as it is."""
+    run = f"PARTITION BY {groups}, r // 8 ORDER BY r ROWS BETWEEN"
+    level = lambda k: f"""{name}{k}s AS (SELECT *, CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS before,
+  CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS after FROM {name}{k}),
+{name}{k + 1} AS (SELECT {groups}, r // 8 AS r, CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY r)) ELSE min(h) END AS h, (n + 7) // 8 AS n FROM {name}{k} GROUP BY {groups}, r // 8, n)"""
+    return ",\n".join(map(level, range(levels)))
+
+
+def _fold_sql(name: str, source: str, tree: str, same: str, rank: str, levels: int) -> str:
+    """{name}{levels}: {source} with cur folded and sib lengthened along the levels of a tree."""
+    level = lambda k: f"""{name}{k + 1} AS (SELECT x.* EXCLUDE (cur, sib), CASE WHEN before IS NULL THEN cur ELSE sha256(before || cur || after) END AS cur, sib || coalesce(before || after, '') AS sib
+  FROM {name if k else source}{k if k else ''} x JOIN {tree}{k}s s ON {same} AND s.r = x.{rank} // {8**k})"""
+    return ",\n".join(map(level, range(levels)))
+
+
+#: Levels written out in SQL: enough for 8 ** 6 documents of a language, and 8 ** 3 languages.
+_OP11_SQL = rf"""
+WITH c AS (SELECT *, list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]), lambda a, b : list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y : xor(x >> 1, (x & 1) * 3988292384))) AS crc FROM documents),
+d AS (SELECT doc_id, lang, {_leaf_sql("text")} AS leaf, CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_leaf_sql("text")} END AS other FROM c),
+e AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM d),
+t0 AS (SELECT lang, rank AS r, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM e),
+{_tree_sql("t", "lang", 6)},
+g AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM t6),
+u0 AS (SELECT 0 AS one, g AS r, subroot AS h, count(*) OVER () AS n FROM g),
+{_tree_sql("u", "one", 3)},
+f0 AS (SELECT e.doc_id, e.lang, e.leaf, e.rank, g.g, g.subroot, other AS cur, '' AS sib FROM e JOIN g ON g.lang IS NOT DISTINCT FROM e.lang),
+{_fold_sql("f", "f0", "t", "s.lang IS NOT DISTINCT FROM x.lang", "rank", 6)},
+{_fold_sql("v", "f6", "u", "true", "g", 3)}
+SELECT doc_id, leaf, subroot, u3.h AS root, sha256(sib) AS proof_sha256, cur AS folded_root, cur = u3.h AS verified FROM v3, u3
+"""
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = linededup.without_common_lines(_table(spark, sf_dir, "documents"), least_documents=10, least_chars=1)
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+_OP12_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, true AS common FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(common) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (common IS NULL), '')) AS kept_sha256 FROM k LEFT JOIN f USING (key) GROUP BY doc_id
+"""
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+_OP13_SQL = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS ws FROM documents),
+n AS (SELECT doc_id, len(ws) AS n FROM w WHERE len(ws) > 0),
+g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM n),
+i AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '{_ALNUM}')) AS t FROM benchmark) GROUP BY ALL),
+f AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(ws) AS t FROM w) WHERE t IN (SELECT t FROM i) GROUP BY ALL),
+v AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, g GROUP BY t, docs),
+s AS (SELECT item_id, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))))::BIGINT AS score FROM i JOIN f USING (t) JOIN v USING (t) JOIN n USING (doc_id), g GROUP BY ALL),
+r AS (SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+QUERIES = {f.__name__: f for f in (op1_url_list_join, op2_warc_segments, op3_lsh_forest, op4_benchmark_decontamination, op5_ordinal_quality, op6_source_mix, op7_training_order, op8_toxicity_bigru, op9_chat_format, op10_media_shards, op11_merkle_manifest, op12_line_dedup, op13_ranked_search)}
+ORACLE_SQL = {"op1_url_list_join": _OP1_SQL, "op2_warc_segments": _OP2_SQL, "op3_lsh_forest": _OP3_SQL, "op4_benchmark_decontamination": _OP4_SQL, "op6_source_mix": _OP6_SQL, "op9_chat_format": _OP9_SQL,
+    "op11_merkle_manifest": _OP11_SQL, "op12_line_dedup": _OP12_SQL, "op13_ranked_search": _OP13_SQL}
