@@ -2,24 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.selection import attach, ranked
+from tidemark.sources.sinks import kept
+
+
+#: Remainders are whole numbers of billionths, in bins of this many.
+BILLION, BIN = 1_000_000_000, 1 << 15
+
 
 def allocate(df: DataFrame, group: list[str], weight: str, total: str, tie: list[str], out: str) -> DataFrame:
     """Whole numbers in proportion to ``weight`` that add up to ``total`` in each group; remainders go to the largest, ties by ``tie``.
 
-    All are 0 where the total or the sum of weights is not positive.
+    All are 0 where the total or the sum of weights is not positive; a null weight is 0, a null group is a group. Remainders are selected,
+    not sorted: they are counted in at most BILLION / BIN bins of each group, all above the bin in which the total is met are rounded up, all
+    below it down, and only that bin's rows are ranked, in buckets. So a group may hold any share of all rows. The rows are read several times,
+    so they are written first.
     """
-    w = Window.partitionBy(*group)
-    share = F.col(weight) / F.sum(weight).over(w) * F.col(total)
-    good = (F.col(total) > 0) & (F.sum(weight).over(w) > 0)
-    rows = df.withColumn("_share", F.when(good, share).otherwise(0.0)).withColumn("_floor", F.floor(F.round("_share", 9)))
+    rows = kept(df.withColumn("_weight", F.coalesce(F.col(weight), F.lit(0.0))), "allocated")
+    rows = attach(rows, rows.groupBy(*group).agg(F.sum("_weight").alias("_sum")), group)
+    good = (F.col(total) > 0) & (F.col("_sum") > 0)
+    share = F.when(good, F.col("_weight") / F.col("_sum") * F.col(total)).otherwise(0.0)
+    rows = rows.withColumn("_share", share).withColumn("_floor", F.floor(F.round("_share", 9)))
     # remainders are compared to nine places, so equal shares are ties on every machine
-    rank = F.row_number().over(w.orderBy(F.desc(F.round(F.col("_share") - F.col("_floor"), 9)), *tie))
-    rows = rows.withColumns({"_rank": rank, "_left": F.col(total) - F.sum("_floor").over(w)})
-    value = F.col("_floor") + F.when(good & (F.col("_rank") <= F.col("_left")), 1).otherwise(0)
-    return rows.withColumn(out, value.cast("long")).drop("_share", "_floor", "_rank", "_left")
+    rows = rows.withColumn("_rest", F.round(F.round(F.col("_share") - F.col("_floor"), 9) * BILLION).cast("long")).withColumn("_bin", F.floor(F.col("_rest") / BIN))
+    whole = Window.partitionBy(*group)
+    bins = rows.where(good).groupBy(*group, "_bin").agg(F.count("*").alias("_n"), F.sum("_floor").alias("_f"), F.max(total).alias("_t"))
+    upto = F.sum("_n").over(whole.orderBy(F.desc("_bin")))
+    bins = bins.withColumns({"_upto": upto, "_left": F.floor(F.max("_t").over(whole) - F.sum("_f").over(whole))})
+    met = (F.col("_upto") - F.col("_n") < F.col("_left")) & (F.col("_left") <= F.col("_upto"))
+    # a total that is met before the first bin, or by none, has no bin to be ranked
+    cut = bins.groupBy(*group).agg(F.max("_left").alias("_left"), F.max(F.when(met, F.col("_bin"))).alias("_cut"), F.max(F.when(met, F.col("_left") - F.col("_upto") + F.col("_n"))).alias("_need"))
+    rows = attach(rows, cut, group).drop("_weight", "_sum", "_share")
+    tight = F.coalesce(F.col("_bin") == F.col("_cut"), F.lit(False))
+    up = F.coalesce(F.when(F.col("_cut").isNull(), F.col("_left") > 0).otherwise(F.col("_bin") > F.col("_cut")), F.lit(False))
+    placed = ranked(rows.where(tight), group, [-F.col("_rest"), *map(F.col, tie)], "_rank").withColumn(out, F.col("_floor") + (F.col("_rank") <= F.col("_need")).cast("long"))
+    others = rows.where(~tight).withColumn(out, F.col("_floor") + up.cast("long"))
+    columns = [*[c for c in df.columns if c.lower() != out.lower()], out]
+    return others.select(*columns).unionByName(placed.select(*columns))
 
 
 def anchor(shape: DataFrame, totals: DataFrame, day: str, units: str, total: str, tie: list[str], out: str) -> DataFrame:

@@ -21,6 +21,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of the work folder: computed once, its lineage cut, its size known to Spark."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_shards(rows: DataFrame, path: str, by: dict, overwrite: bool = False) -> DataFrame:
     """Write zstd Parquet in one folder for each value of ``by`` and read it again; an existing path is an error unless asked."""
     shards = rows.withColumns(by)
