@@ -49,9 +49,11 @@ def _order_sums(t, *by):
     gross, total = lambda p: F.sum(F.abs(q) * F.col(p)), lambda c: F.round(c, 4) + F.lit(0.0)
     weighted = lambda p: F.round(1 - S.ratio_or_null(F.sum("LineAmount"), F.sum(q * F.col(p))), 6) + F.lit(0.0)
     paid = F.sum(F.abs("LineAmount"))
+    # a key has one value: counting it distinctly beside the orders would double all rows
+    skus = F.max(F.lit(1).cast("long")) if "SKU" in by else F.countDistinct("SKU")
     return t.order_lines.withColumn("off", off).groupBy(*by).agg(
         F.sum(q).alias("Units"), F.sum(F.abs(q)).alias("AbsUnits"), F.count("*").alias("Lines"), F.countDistinct("SalesID").alias("Orders"),
-            F.countDistinct("SKU").alias("SKUs"), F.count_if(q < 0).alias("ReturnLines"), F.sum(F.when(q < 0, q)).alias("ReturnUnits"),
+            skus.alias("SKUs"), F.count_if(q < 0).alias("ReturnLines"), F.sum(F.when(q < 0, q)).alias("ReturnUnits"),
         total(gross("MSRP")).alias("GrossMSRP"), total(gross("SalesPrice")).alias("GrossSales"), total(F.sum("LineAmount")).alias("Amount"),
             total(gross("MSRP") - paid).alias("DiscountMSRP"), total(gross("SalesPrice") - paid).alias("DiscountSales"),
         F.max("off").alias("MaxOff"), F.count_if((F.col("LineDiscPercent") > 0) | (F.col("off") >= 0.05)).alias("DiscountedLines"),
