@@ -8,6 +8,8 @@ from tidemark.functions import scalars as S
 from tidemark.operators import joins as J
 from tidemark.operators import sheets as H
 from tidemark.plans.registry import query
+from tidemark.sources import scans, sinks, vintages
+from tidemark.sources.store import PartStore
 
 #: Aliases of header keys.
 ALIASES = {"promo_and_dollar_price": "promo_price"}
@@ -134,36 +136,95 @@ def crosswalks(t):
             F.col("b.g")).otherwise("UNKNOWN").alias("FirstGroup"))
 
 
-_NEW = "n as (select case when SnapshotId = 'V003' then 'V004' else 'V100' end as SnapshotId, SKU, ForecastDate, ForecastQty + 1 as ForecastQty from forecast_sku_day where SnapshotId in ('V003', 'V007'))"
+#: Imports: every fifth vintage with other quantities; of these every second has an id of its own, the others that of an old one.
+_NEW = """n as (select case when k % 10 = 0 then SnapshotId else 'N' || SnapshotId end as SnapshotId, SKU, ForecastDate, ForecastQty + 1 as ForecastQty
+  from forecast_sku_day join (select k, SnapshotId from vintages where k % 5 = 0) using (SnapshotId))"""
 
 
-def _imported(t):
-    """Two imports: one with the id of an old vintage, one with an id of its own."""
-    rows = t.forecast_sku_day.where("SnapshotId in ('V003', 'V007')")
-    return rows.select(F.when(F.col("SnapshotId") == "V003", "V004").otherwise("V100").alias("SnapshotId"), "SKU", "ForecastDate",
-        (F.col("ForecastQty") + 1).alias("ForecastQty"))
+def _tables(rows):
+    """A vintage's three tables: its file, its SKUs and its days."""
+    return {
+        "file": rows.groupBy("SnapshotId").agg(F.countDistinct("SKU").alias("SKUs"), F.sum("ForecastQty").alias("Units")),
+        "sku": rows.groupBy("SnapshotId", "SKU").agg(F.sum("ForecastQty").alias("Units")), "day": rows,
+    }
 
 
-@query(f"with {_NEW} select SnapshotId, SKU, ForecastDate, ForecastQty from forecast_sku_day where SnapshotId not in (select SnapshotId from n) union all select * from n")
-def vintage_replace(t):
-    """SNK8 and ST2 what has an imported id goes as a whole, other vintages stay."""
-    new = _imported(t)
+def _replaced(t, overwrite: bool):
+    """A store of all vintages, into which others are imported."""
     old = t.forecast_sku_day.select("SnapshotId", "SKU", "ForecastDate", "ForecastQty")
-    return old.join(new.select("SnapshotId").distinct(), "SnapshotId", "left_anti").unionByName(new)
+    numbers = t.vintages.where("k % 5 = 0").select("SnapshotId", "k")
+    new = old.join(numbers, "SnapshotId").select(F.when(F.col("k") % 10 == 0, F.col("SnapshotId")).otherwise(F.concat(F.lit("N"), "SnapshotId")).alias("SnapshotId"), "SKU",
+        "ForecastDate", (F.col("ForecastQty") + 1).alias("ForecastQty"))
+    store = PartStore(old.sparkSession, sinks.work_folder(old.sparkSession, "vintages"))
+    store.replace_parts(_tables(old), "SnapshotId")
+    return store, store.replace_parts(_tables(new), "SnapshotId", overwrite)
 
 
-@query(f"with {_NEW}, w as (select SnapshotId, sha256(string_agg(SKU || ':' || ForecastDate::varchar || ':' || ForecastQty::bigint::varchar, ',' order by SKU, ForecastDate)) as h, count(*) as Rows, count(distinct SKU) as SKUs, sum(ForecastQty) as Units from (select SnapshotId, SKU, ForecastDate, ForecastQty from forecast_sku_day union all select SnapshotId || 'b', SKU, ForecastDate, ForecastQty from forecast_sku_day where SnapshotId < 'V003' union all select * from n where SnapshotId = 'V100') group by 1) select SnapshotId, Rows, SKUs, Units, substr(h, 1, 12) as ContentId from w qualify row_number() over (partition by h order by SnapshotId) = 1")
+@query(f"with {_NEW} select SnapshotId, SKU, ForecastDate, ForecastQty from forecast_sku_day where SnapshotId not in (select SnapshotId from n) union all select * from n")
+def vintage_replace(t):
+    """SNK8 and ST2 what has an imported id goes as a whole from the stored tables, other vintages stay: the days."""
+    return _replaced(t, True)[0].read("day")
+
+
+@query(f"""with {_NEW}, d as (select SnapshotId, SKU, ForecastQty from forecast_sku_day union all select SnapshotId, SKU, ForecastQty from n
+  where SnapshotId not in (select SnapshotId from vintages)), u as (select SnapshotId, count(distinct SKU) as SKUs, sum(ForecastQty) as Units, count(*) as Days from d
+  group by 1), i as (select distinct SnapshotId as part from n)
+  select SnapshotId, SKUs, Units, SKUs as SkuRows, Days as DayRows, case when part is null then 'old' when SnapshotId like 'N%' then 'imported' else 'skipped' end as Status
+  from u left join i on part = SnapshotId""")
+def vintage_tables(t):
+    """SNK8 the three tables of each vintage after an import that may not overwrite: known ids are skipped in all of them."""
+    store, status = _replaced(t, False)
+    count = lambda table, name: store.read(table).groupBy("SnapshotId").agg(F.count("*").alias(name))
+    rows = store.read("file").join(count("sku", "SkuRows"), "SnapshotId").join(count("day", "DayRows"), "SnapshotId")
+    rows = rows.join(status.withColumnRenamed("part", "SnapshotId"), "SnapshotId", "left")
+    return rows.select("SnapshotId", "SKUs", "Units", "SkuRows", "DayRows", F.coalesce("status", F.lit("old")).alias("Status"))
+
+
+_FDS = ", ".join(f"coalesce(sum(ForecastQty) filter (ForecastDayOffset = {k}), 0) as FD{k}" for k in range(1, 15))
+_DAY_LIST = ", ".join(f"FD{k}" for k in range(1, 15))
+_WIDE = f"""x as (select SnapshotId, k, SKU, Velocity, PutawayIndicator, start, {_FDS} from (select f.SnapshotId, v.k, f.SKU, p.Velocity, p.PutawayIndicator,
+    f.ForecastStartDate as start, ForecastDayOffset, ForecastQty from forecast_sku_day f join vintages v on v.SnapshotId = f.SnapshotId join dim_product p on p.SKU = f.SKU) group by all),
+  raw as (select 'FwdDemandCSV_' || SnapshotId || '.csv' as SourceFile, * from x union all select 'FwdDemandCSV_' || SnapshotId || '_again.csv', * from x where k % 8 = 0
+    union all select 'FwdDemandCSV_' || SnapshotId || '_twice.csv', * from x where k % 8 = 1 union all select 'FwdDemandCSV_' || SnapshotId || '_twice.csv', * from x where k % 8 = 1),
+  txt as (select *, concat_ws('|', SKU, Velocity, PutawayIndicator::varchar, start::varchar, {", ".join(f"FD{k}::decimal(18,4)::varchar" for k in range(1, 15))}) as t,
+    {" + ".join(f"FD{k}" for k in range(1, 15))} as total, hash_bad from (select *, ('0x' || substr(md5(SKU), 1, 1))::int = 7 as hash_bad from raw)),
+  files as (select SourceFile, count(*) as RowsImported, count(distinct SKU) as DistinctSKUs, min(start) as ForecastStartDateMin, max(start) as ForecastStartDateMax,
+    sum(total) as TotalForecastUnits, count(*) filter (total > 0) as ForecastedSKUs, count(*) filter (total = 0) as ZeroForecastSKUs,
+    count(*) filter (PutawayIndicator = 1) as ActiveSKUCount, count(*) filter (PutawayIndicator = 0) as ReserveSKUCount, count(*) filter (PutawayIndicator = 2) as OffsiteSKUCount,
+    count(*) filter (hash_bad) as FilledStarts, sha256(count(*)::varchar || ':' || sum(('0x' || substr(md5(t), 1, 15))::bigint)::varchar || ':'
+    || sum(('0x' || substr(md5(t), 17, 15))::bigint)::varchar) as ContentId from txt group by 1),
+  meta as (select *, sha256(lower(SourceFile) || '|' || ContentId) as SnapshotId, case when DistinctSKUs < RowsImported then 'duplicate_skus'
+    when row_number() over (partition by ContentId order by SourceFile) > 1 then 'skipped_content' else 'imported' end as Status from files)"""
+
+
+def _wide_files(t):
+    """The vintages as wide CSV files on disk, some again in another order under other names and some with every SKU twice; some starts are no dates."""
+    f = t.forecast_sku_day.join(t.vintages.select("SnapshotId", "k"), "SnapshotId").join(t.dim_product.select("SKU", "Velocity", "PutawayIndicator"), "SKU")
+    sums = [F.coalesce(F.sum(F.when(F.col("ForecastDayOffset") == k, F.col("ForecastQty"))), F.lit(0.0)).alias(c) for k, c in enumerate(vintages.DAYS, 1)]
+    wide = f.groupBy("SnapshotId", "k", "SKU", "Velocity", "PutawayIndicator", "ForecastStartDate").agg(*sums)
+    bad = F.conv(F.substring(F.md5(F.col("SKU").cast("binary")), 1, 1), 16, 10).cast("int") == 7
+    wide = wide.withColumn("ForecastStartDate", F.when(bad, "n/a").otherwise(F.col("ForecastStartDate").cast("string")))
+    kinds = F.when(F.col("k") % 8 == 0, F.array(F.lit(""), F.lit("_again"))).when(F.col("k") % 8 == 1, F.array(F.lit(""), F.lit("_twice"), F.lit("_twice"))).otherwise(F.array(F.lit("")))
+    rows = wide.withColumn("_kind", F.explode(kinds)).withColumn("SourceFile", F.concat(F.lit("FwdDemandCSV_"), "SnapshotId", "_kind", F.lit(".csv")))
+    path = sinks.work_folder(f.sparkSession, "wide")
+    rows.select("SourceFile", *vintages.COLUMNS).write.partitionBy("SourceFile").option("header", True).csv(path)
+    return vintages.typed(f.sparkSession.read.option("header", True).csv(path), F.col("SourceFile"))
+
+
+@query(f"with {_WIDE} select * from meta")
 def vintage_imports(t):
-    """SRC10 vintages with their metadata; one whose content is known already is skipped."""
-    old = t.forecast_sku_day.select("SnapshotId", "SKU", "ForecastDate", "ForecastQty")
-    again = old.where("SnapshotId < 'V003'").withColumn("SnapshotId", F.concat("SnapshotId", F.lit("b")))
-    rows = old.unionByName(again).unionByName(_imported(t).where("SnapshotId = 'V100'"))
-    text = F.concat_ws(":", "SKU", F.col("ForecastDate").cast("string"), F.col("ForecastQty").cast("long").cast("string"))
-    # a vintage is a file of bounded size, so its rows are one list
-    files = rows.groupBy("SnapshotId").agg(F.count("*").alias("Rows"), F.countDistinct("SKU").alias("SKUs"), F.sum("ForecastQty").alias("Units"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("SKU", "ForecastDate", text.alias("x")))), lambda s: s["x"]), ",").alias("content"))
-    files = files.withColumn("h", F.sha2(F.col("content").cast("binary"), 256))
-    return J.keep_one(files, ["h"], ["SnapshotId"]).select("SnapshotId", "Rows", "SKUs", "Units", F.substring("h", 1, 12).alias("ContentId"))
+    """SRC5, SRC10, SRC12 and ST7: wide CSV files read by path; bad starts take the file's most common one, files with a SKU twice are
+    rejected, and of files with the same rows in any order the first is imported; the metadata of each."""
+    return vintages.file_metadata(_wide_files(t))
+
+
+@query(f"""with {_WIDE} select SnapshotId, SKU, ForecastStartDate, k::int as ForecastDayOffset, ForecastStartDate + (k - 1)::int as ForecastDate, q as ForecastQty
+  from (select meta.SnapshotId, SKU, start as ForecastStartDate, unnest(range(1, 15)) as k, unnest([{_DAY_LIST}]) as q from txt join meta using (SourceFile)
+  where Status = 'imported') where q <> 0""")
+def vintage_days(t):
+    """SRC10 the imported files' days as rows, those without units left out."""
+    rows = _wide_files(t)
+    return vintages.by_day(rows, vintages.file_metadata(rows))
 
 
 @query("""with v as (select k, SnapshotId, ForecastStartDate as d from vintages), r as (select SKU, last_seen, SalesID, upper(GroupCode) as g
@@ -181,14 +242,28 @@ def vintage_categories(t):
     return known.select("SnapshotId", "SKU", F.coalesce(F.nullif(F.col("g"), F.lit("")), F.lit("UNKNOWN")).alias("Category"))
 
 
-@query("""select year(Date)::int as Year, count(*) as Rows, sum(PlanUnits)::double as PlanUnits, sum(ActualUnits) filter (year(Date) >= 1998)::double
+@query("""select year(Date)::int as Year, count(*) as Rows, sum(PlanUnits)::double as PlanUnits, sum(ActualUnits) filter (year(Date) % 2 = 0)::double
   as ActualUnits from planner_daily group by 1""")
 def planner_years(t):
-    """SRC23 and SRC4 years in parts of different columns, put together by name, columns that a part lacks are null; FC32 which columns there are."""
-    plan = t.planner_daily
-    year = F.year("Date").alias("Year")
-    early = plan.where("year(Date) < 1998").select("Date", year, "PlanUnits")
-    late = plan.where("year(Date) >= 1998").select("Date", year, "PlanUnits", "ActualUnits")
-    both = early.unionByName(late, allowMissingColumns=True)
-    wanted = [c for c in ("PlanUnits", "ActualUnits", "ShippedUnits") if c in both.columns]
-    return both.groupBy("Year").agg(F.count("*").alias("Rows"), *[F.sum(c).cast("double").alias(c) for c in wanted])
+    """SRC23 and SRC4 a folder of year parts with different columns, read as one table, null where a part lacks one; FC32 which columns there are."""
+    plan = t.planner_daily.withColumn("Year", F.year("Date"))
+    path = sinks.work_folder(plan.sparkSession, "years")
+    plan.where("Year % 2 = 1").select("Year", "Date", "PlanUnits").write.partitionBy("Year").parquet(path)
+    plan.where("Year % 2 = 0").select("Year", "Date", "PlanUnits", "ActualUnits").write.mode("append").partitionBy("Year").parquet(path)
+    both = scans.read_parts(plan.sparkSession, path)
+    sums = scans.available(both, ["PlanUnits", "ActualUnits", "ShippedUnits"])
+    return both.groupBy("Year").agg(F.count("*").alias("Rows"), *[F.sum(c).cast("double").alias(c) for c in sums])
+
+
+@query("""select ActualDate, SKU, SoldUnits from actual_sku_day, (select min(ActualDate) as a, max(ActualDate) as b from actual_sku_day)
+  where ActualDate between a + 100 and b - 100""")
+def portable_actuals(t):
+    """SRC1, SRC6 and SRC7: actuals exported as CSV and as Parquet under other names, read by suffix, probed for their columns, cut to a span."""
+    rows, spark = t.actual_sku_day, t.actual_sku_day.sparkSession
+    path = sinks.work_folder(spark, "portable")
+    early = F.year("ActualDate") % 2 == 0
+    rows.where(early).select(F.col("ActualDate").alias("PickDate"), F.concat(F.lit(" "), "SKU").alias("SKU"), F.col("SoldUnits").alias("PickUnits")).write.option("header",
+        True).csv(f"{path}/early.csv")
+    rows.where(~early).select(F.col("ActualDate").alias("Date"), "SKU", F.col("SoldUnits").alias("Units"), "PickLines").write.parquet(f"{path}/late.parquet")
+    first, last = rows.agg(F.date_add(F.min("ActualDate"), 100), F.date_sub(F.max("ActualDate"), 100)).first()
+    return scans.portable_actuals(spark, f"{path}/early.csv", first, last).unionByName(scans.portable_actuals(spark, f"{path}/late.parquet", first, last))

@@ -9,6 +9,8 @@ from tidemark.functions import scalars as S
 from tidemark.operators import joins as J
 from tidemark.operators import windows as W
 from tidemark.plans.registry import query
+from tidemark.sources import sinks
+from tidemark.sources.store import PartStore
 
 #: The profiles whose work lines are picks.
 PICK_PROFILES = ("Picking", "Picking A", "Picking D", "PalletPicking")
@@ -263,7 +265,7 @@ def key_multiplicity(t):
 @query("""select date_trunc('month', ActualDate)::date as month, count(distinct ActualDate) as days, (max(ActualDate) - min(ActualDate) + 1)::int as span,
   sum(SoldUnits) as units from actual_sku_day group by 1""")
 def completeness(t):
-    """AG40, AG41 and SNK3 distinct days against expected, by month."""
+    """AG40 and AG41 distinct days against expected, by month."""
     return t.actual_sku_day.groupBy(F.trunc("ActualDate", "month").alias("month")).agg(F.countDistinct("ActualDate").alias("days"),
         (F.datediff(F.max("ActualDate"), F.min("ActualDate")) + 1).alias("span"), F.sum("SoldUnits").alias("units"))
 
@@ -294,14 +296,37 @@ def local_days(t):
     return events.groupBy(day.alias("local_day"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@query("""select SKU, ActualDate, SoldUnits from actual_sku_day where ActualDate < date '1999-01-01' and ActualDate not between date '1998-06-01'
-  and date '1998-06-30' union all select SKU, PickDate, sum(Units) from work_lines where PickDate between date '1998-06-01' and date '1998-06-30' group by all""")
+def _month(day):
+    return F.date_format(day, "yyyy-MM")
+
+
+_MIDDLE = "(select min(ActualDate) + (max(ActualDate) - min(ActualDate)) // 2 as lo from actual_sku_day)"
+
+
+@query(f"""with n as (select SKU, PickDate as ActualDate, sum(Units) as SoldUnits from work_lines, {_MIDDLE} where PickDate between lo and lo + 40 group by all)
+  select SKU, ActualDate, SoldUnits from actual_sku_day, (select min(ActualDate) as a, max(ActualDate) as b from n) where ActualDate not between a and b
+  union all select SKU, ActualDate, SoldUnits from n""")
 def range_replace(t):
-    """SNK4 and ST3: the whole date range of the new rows replaces the old ones."""
-    old = t.actual_sku_day.select("SKU", "ActualDate", "SoldUnits").where("ActualDate < date '1999-01-01'")
-    new = t.work_lines.where("PickDate between date '1998-06-01' and date '1998-06-30'").groupBy("SKU",
-        F.col("PickDate").alias("ActualDate")).agg(F.sum("Units").alias("SoldUnits"))
-    return old.where("ActualDate not between date '1998-06-01' and date '1998-06-30'").unionByName(new)
+    """SNK4 and ST3: a store by month, in which the whole date range of new rows (40 days from the middle of the table) replaces the old ones."""
+    old = t.actual_sku_day.select("SKU", "ActualDate", "SoldUnits")
+    lo = old.agg(F.expr("date_add(min(ActualDate), cast(datediff(max(ActualDate), min(ActualDate)) div 2 as int))")).first()[0]
+    new = t.work_lines.where(F.col("PickDate").between(F.lit(lo), F.date_add(F.lit(lo), 40))).groupBy("SKU", F.col("PickDate").alias("ActualDate")).agg(F.sum("Units").alias("SoldUnits"))
+    store = PartStore(old.sparkSession, sinks.work_folder(old.sparkSession, "store"))
+    store.replace_range("actual", old, "ActualDate", _month)
+    store.replace_range("actual", new, "ActualDate", _month)
+    return store.read("actual")
+
+
+@query("""select strftime(ActualDate, '%Y-%m') as part, count(*) as rows, sum(SoldUnits) as units, count(distinct SKU) as skus, min(ActualDate) as first_day,
+  max(ActualDate) as last_day from actual_sku_day group by 1""")
+def month_parts(t):
+    """SNK3 a table split into months and put together again: what each part holds, by the manifest and by the rows that were read."""
+    rows = t.actual_sku_day.select("SKU", "ActualDate", "SoldUnits")
+    store = PartStore(rows.sparkSession, sinks.work_folder(rows.sparkSession, "store"))
+    store.replace_range("actual", rows, "ActualDate", _month)
+    back = store.read("actual").groupBy(_month("ActualDate").alias("part")).agg(F.sum("SoldUnits").alias("units"), F.countDistinct("SKU").alias("skus"),
+        F.min("ActualDate").alias("first_day"), F.max("ActualDate").alias("last_day"))
+    return store.manifest().select("part", "rows").join(back, "part", "full")
 
 
 @query("""select coalesce(n.SKU, o.SKU) as SKU, coalesce(n.SnapshotDate, o.SnapshotDate) as SnapshotDate, case when n.SKU is not null then n.AvailPhysical
