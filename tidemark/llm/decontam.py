@@ -11,7 +11,8 @@ test shingles against a bitmap of bounded size, so neither the benchmark nor the
 
 Defined results: a null text has no words; an item without words has no window; an item with a null id marks words
 as hit but is in no list; repeated items count once by id; repeated document rows each get a row, ids may be null
-or repeated (hits are kept by id and text); other columns are ignored; empty tables give n_hit = 0 or no rows.
+or repeated (hits are kept by id and text); very long texts count whole, a slice of them in memory at a time; of shingles that are equally rare
+the one with the smallest hash is joined; other columns are ignored; empty tables give n_hit = 0 or no rows. Words are equal if their 64-bit hashes are.
 """
 
 from __future__ import annotations

@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``; where that is unset (tests), below a temporary one."""
+    """A new folder below ``spark.checkpoint.dir``; where that is unset in local mode (tests), below a temporary one of this machine."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or getattr(shared_dir, "own", "")
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         base = shared_dir.own = "file://" + tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
