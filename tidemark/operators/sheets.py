@@ -12,6 +12,11 @@ SHEET = ["file_id", "sheet_name"]
 SCORES = {"offer": 5, "style": 3} | dict.fromkeys(("division", "department", "description", "color", "promo_price", "markdown_price", "mkd_price",
     "original_msrp", "pct_off_msrp", "inventory", "avail_inv"), 1)
 LEAST_SCORE, FIRST_ROWS = 7, 35
+#: Keys under which a header may stand, and the key it has.
+ALIASES = {"markdown_pct_off_msrp": "pct_off_msrp", "original_msrp_": "original_msrp", "orig_msrp": "original_msrp", "avail_inv_": "avail_inv", "dept": "department",
+    "exec": "exec_view", "style_id": "style"}
+#: The labels of a sheet's event and of its dates.
+EVENT_LABELS, DATE_LABELS = ("event_name",), ("effective_date_s",)
 
 
 def header_key(c: Column, aliases: dict[str, str]) -> Column:
@@ -50,9 +55,9 @@ def label_values(cells: DataFrame, labels: tuple[str, ...], aliases: dict[str, s
     return rows.groupBy(*SHEET).agg(F.min_by("next", F.struct("rw", "cl")).alias(name))
 
 
-def sheet_kind(sheet: Column, event: Column, has_header: Column) -> Column:
-    """What a sheet is, by words in its names; labels are fixed values and the first rule that holds counts."""
-    text = F.lower(F.concat_ws(" ", sheet, F.coalesce(event, F.lit(""))))
+def sheet_kind(sheet: Column, event: Column, has_header: Column, file: Column | None = None) -> Column:
+    """What a sheet is, by words in the names of its file, itself and its event; labels are fixed values and the first rule that holds counts."""
+    text = F.lower(F.concat_ws(" ", *([] if file is None else [F.coalesce(file, F.lit(""))]), sheet, F.coalesce(event, F.lit(""))))
     has = lambda *words: F.greatest(*[F.contains(text, F.lit(w)) for w in words], F.lit(False))
     without = F.when(has("roll up", "pivot"), "rollup_or_pivot").when(has("marketing dropdown") | (F.lower(F.trim(sheet)) == "data"),
         "support").otherwise("non_offer")
@@ -85,6 +90,56 @@ def try_date(year: Column, month: Column, day: Column) -> Column:
     return F.to_date(F.try_to_timestamp(F.format_string("%04d-%02d-%02d", year, month, day), F.lit("yyyy-MM-dd")))
 
 
+DATE = r"(?<![0-9])([0-9]{1,2})[/.-]([0-9]{1,2})(?:[/.-]([0-9]{2,4}))?(?![0-9])"
+
+
+def date_range(text: Column, year: Column) -> Column:
+    """struct(first, last) of the first two dates (month, day, perhaps year) in a text; one date is both.
+
+    Without a year the first is of ``year``, and the second of the first one's year, or of the year after where it would lie before the
+    first. A first date that is none gives nulls; a second one that is none is left out.
+    """
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(DATE), F.lit(0))
+    part = lambda x, k: F.regexp_extract(x, DATE, k)
+    written = lambda x: F.when(part(x, 3) != "", F.when(F.length(part(x, 3)) == 2, part(x, 3).cast("int") + 2000).otherwise(part(x, 3).cast("int")))
+    day = lambda x, y: try_date(F.coalesce(written(x), y), part(x, 1).cast("int"), part(x, 2).cast("int"))
+
+    def pair(x: Column) -> Column:
+        first = day(F.get(x, F.lit(0)), year)
+        second = F.get(x, F.lit(1))
+        last = day(second, F.year(first))
+        last = F.when((part(second, 3) == "") & (last < first), F.coalesce(day(second, F.year(first) + 1), first)).otherwise(last)
+        return F.struct(first.alias("first"), F.when(first.isNotNull(), F.coalesce(last, first)).alias("last"))
+
+    # the dates are found once, however often they are asked for
+    return F.get(F.transform(F.array(found), pair), F.lit(0))
+
+
+def seen_from(days: Column, file_date: Column) -> Column:
+    """A range in January or February that a file of the last quarter names, and that would lie long before it, is of the year after."""
+    late = (F.month(file_date) >= 10) & (F.month(days["first"]) <= 3) & (days["first"] < file_date)
+    later = lambda c: F.when(late, F.add_months(c, 12)).otherwise(c)
+    return F.struct(later(days["first"]).alias("first"), later(days["last"]).alias("last"))
+
+
+def sheet_events(cells: DataFrame, files: DataFrame, aliases: dict[str, str]) -> DataFrame:
+    """A record for each sheet: its file, height, width, header row, kind, event and dates; ``files`` has file_id, source_file, file_date.
+
+    Dates come from the cell beside their label, or, where that has none, from the sheet's own name.
+    """
+    sheets = cells.groupBy(*SHEET).agg((F.max("rw") + 1).alias("height"), (F.max("cl") + 1).alias("width"))
+    for found in (label_values(cells, EVENT_LABELS, aliases, "event"), label_values(cells, DATE_LABELS, aliases, "dates"), header_rows(cells, aliases).drop("score")):
+        sheets = sheets.join(found, SHEET, "left")
+    rows = sheets.join(files, "file_id", "left")
+    year = F.year("file_date")
+    own, named = seen_from(date_range(F.col("dates"), year), F.col("file_date")), seen_from(date_range(F.col("sheet_name"), year), F.col("file_date"))
+    rows = rows.withColumns({"_own": own, "_named": named})
+    days = F.when(F.col("_own.first").isNotNull(), F.col("_own")).otherwise(F.col("_named"))
+    kind = sheet_kind(F.col("sheet_name"), F.col("event"), F.col("header_row").isNotNull(), F.col("source_file"))
+    return rows.select(*SHEET, "source_file", "height", "width", "header_row", "event", F.trim("dates").alias("dates"), days["first"].alias("start_date"), days["last"].alias("end_date"),
+        kind.alias("kind"))
+
+
 def dates_in_name(name: Column, modified: Column) -> Column:
     """All dates that a file name may mean, nearest to the file's own first; that one alone where it means none."""
     part = lambda x, p, k: F.regexp_extract(x, p, k).cast("int")

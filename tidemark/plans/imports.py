@@ -11,8 +11,8 @@ from tidemark.plans.registry import query
 from tidemark.sources import scans, sinks, vintages
 from tidemark.sources.store import PartStore
 
-#: Aliases of header keys.
-ALIASES = {"promo_and_dollar_price": "promo_price"}
+#: Aliases of header keys: those of all sheets, and one of these sheets' own.
+ALIASES = H.ALIASES | {"promo_and_dollar_price": "promo_price"}
 
 
 @query(r"""with c as (select id, name, modified, case kind when 0 then [make_date(y::int, m::int, d::int)] when 1 then [make_date(y::int, m::int, d::int)]
@@ -43,18 +43,19 @@ def weekly_files(t):
 
 
 _KEY = r"trim(regexp_replace(replace(replace(replace(lower(trim(regexp_replace(val, '\s+', ' ', 'g'))), '%', ' pct '), '&', ' and '), '$', ' dollar '), '[^a-z0-9]+', '_', 'g'), '_')"
-_KEYED = f"""k1 as (select *, case when {_KEY} = 'promo_and_dollar_price' then 'promo_price' when {_KEY} = '' then 'unnamed_' || (cl + 1) else {_KEY} end as key
-  from cells), k2 as (select *, row_number() over (partition by file_id, sheet_name, rw, key order by cl) as n from k1),
+_ALIASED = f"case {' '.join(f"when raw = '{a}' then '{b}'" for a, b in ALIASES.items())} when raw = '' then 'unnamed_' || (cl + 1) else raw end"
+_WORTH = f"case {' '.join(f"when header = '{k}' then {v}" for k, v in H.SCORES.items())} else 0 end"
+_KEYED = f"""k1 as (select *, {_ALIASED} as key from (select *, {_KEY} as raw from cells)),
+  k2 as (select *, row_number() over (partition by file_id, sheet_name, rw, key order by cl) as n from k1),
   keyed as (select *, case when n = 1 then key else key || '_' || n end as header from k2),
-  heads as (select file_id, sheet_name, arg_max(rw, (score, -rw)) as header_row, max(score) as score from (select file_id, sheet_name, rw, sum(case header
-  when 'offer' then 5 when 'style' then 3 when 'division' then 1 when 'description' then 1 when 'promo_price' then 1 when 'pct_off_msrp' then 1 when 'inventory'
-  then 1 else 0 end) as score from keyed where rw < 35 group by all) group by all having max(score) >= 7)"""
+  heads as (select file_id, sheet_name, arg_max(rw, (score, -rw)) as header_row, max(score) as score from (select file_id, sheet_name, rw, sum({_WORTH}) as score
+    from keyed where rw < 35 group by all) group by all having max(score) >= 7)"""
 
 
-@query(f"with {_KEYED} select file_id, sheet_name, cl, header from keyed where rw = 2")
+@query(f"with {_KEYED} select file_id, sheet_name, rw, cl, header from keyed")
 def header_keys(t):
-    """PRJ6 header labels in snake case, told apart."""
-    return H.keyed(t.cells.where("rw = 2"), ALIASES).select("file_id", "sheet_name", "cl", "header")
+    """PRJ6 labels of all rows in snake case, by all aliases, told apart."""
+    return H.keyed(t.cells, ALIASES).select("file_id", "sheet_name", "rw", "cl", "header")
 
 
 @query(f"with {_KEYED} select * from heads")
@@ -63,19 +64,52 @@ def header_rows(t):
     return H.header_rows(t.cells, ALIASES)
 
 
-@query(f"""with {_KEYED}, e as (select file_id, sheet_name, arg_min(nx, (rw, cl)) as event from (select *, lead(val) over (partition by file_id, sheet_name, rw
-  order by cl) as nx from keyed where trim(val) <> '') where key = 'event_name' and nx is not null group by all),
-  s as (select file_id, sheet_name, event, header_row, lower(sheet_name || ' ' || coalesce(event, '')) as x from (select distinct file_id, sheet_name
-  from cells) left join e using (file_id, sheet_name) left join heads using (file_id, sheet_name))
-  select file_id, sheet_name, event, header_row, case when x like '%coupon%' then 'coupon' when header_row is null then case when x like '%pivot%'
-  then 'rollup_or_pivot' else 'non_offer' end when x like '%final sale%' then 'final_sale' when x like '%markdown%' then 'markdown' when x like 'promo offers%'
-  then 'aggregate_promo_offers' else 'promo_detail' end as kind from s""")
+_FILE_NAME = "case file_id % 7 when 0 then 'Coupon book ' when 1 then 'Markdown ' else 'Promo ' end || file_id::varchar || '.xlsx'"
+_FILE_DATE = "date '1998-03-01' + (file_id * 37 % 300)::int"
+
+
+def _date_sql(text: str) -> str:
+    """(first, last) of a date range in a text, as a SQL struct over columns fd (the file's date) and the text."""
+    return f"""(select {{'first': first, 'last': case when first is null then null else coalesce(last, first) end}} from (select first,
+      case when b.y = '' and make_last < first then coalesce(try_cast(format('{{:04d}}-{{:02d}}-{{:02d}}', year(first) + 1, b.m, b.d) as date), first) else make_last end as last
+      from (select *, try_cast(format('{{:04d}}-{{:02d}}-{{:02d}}', case when b.y = '' then year(first) when length(b.y) = 2 then try_cast(b.y as int) + 2000 else try_cast(b.y as int) end, b.m, b.d) as date) as make_last
+      from (select *, try_cast(format('{{:04d}}-{{:02d}}-{{:02d}}', case when a.y = '' then year(fd) when length(a.y) = 2 then try_cast(a.y as int) + 2000 else try_cast(a.y as int) end, a.m, a.d) as date) as first
+      from (select x[1] as a, x[2] as b from (select [{{'m': regexp_extract(z, '^([0-9]+)[/.-]([0-9]+)', 1)::int, 'd': regexp_extract(z, '^([0-9]+)[/.-]([0-9]+)', 2)::int,
+        'y': regexp_extract(z, '^[0-9]+[/.-][0-9]+[/.-]([0-9]+)', 1)}} for z in regexp_extract_all(coalesce({text}, ''), '[0-9]{{1,2}}[/.-][0-9]{{1,2}}(?:[/.-][0-9]{{2,4}})?')] as x))))))"""
+
+
+_EVENTS = f"""{_KEYED}, lab as (select file_id, sheet_name, key, arg_min(nx, (rw, cl)) as nx from (select *, lead(val) over (partition by file_id, sheet_name, rw
+    order by cl) as nx from keyed where trim(val) <> '') where key in ('event_name', 'effective_date_s') and nx is not null group by all),
+  sh as (select file_id, sheet_name, max(rw) + 1 as height, max(cl) + 1 as width, {_FILE_NAME} as source_file, {_FILE_DATE} as fd from cells group by all),
+  s as (select sh.*, e.nx as event, d.nx as dates, header_row, lower(source_file || ' ' || sheet_name || ' ' || coalesce(e.nx, '')) as x from sh
+    left join (select * from lab where key = 'event_name') e using (file_id, sheet_name) left join (select * from lab where key = 'effective_date_s') d using (file_id, sheet_name)
+    left join heads using (file_id, sheet_name)),
+  k as (select *, case when x like '%coupon%' then 'coupon' when header_row is null then case when x like '%pivot%' then 'rollup_or_pivot' else 'non_offer' end
+    when x like '%final sale%' then 'final_sale' when x like '%markdown%' then 'markdown' when lower(sheet_name) like 'promo offers%' then 'aggregate_promo_offers'
+    else 'promo_detail' end as kind from s)"""
+
+
+@query(f"with {_EVENTS} select file_id, sheet_name, event, header_row, kind from k")
 def sheet_kinds(t):
-    """PRJ21 kinds of sheets, FC27 their event names from labels."""
-    sheets = t.cells.select(*H.SHEET).distinct()
-    rows = sheets.join(H.label_values(t.cells, ("event_name",), ALIASES, "event"), H.SHEET, "left").join(H.header_rows(t.cells, ALIASES).drop("score"),
-        H.SHEET, "left")
-    return rows.select(*H.SHEET, "event", "header_row", H.sheet_kind(F.col("sheet_name"), F.col("event"), F.col("header_row").isNotNull()).alias("kind"))
+    """PRJ21 kinds of sheets, by the words in the names of file, sheet and event."""
+    return H.sheet_events(t.cells, _workbooks(t), ALIASES).select(*H.SHEET, "event", "header_row", "kind")
+
+
+def _workbooks(t):
+    """Names and dates of the files."""
+    ids = t.cells.select("file_id").distinct()
+    name = F.concat(F.when(F.col("file_id") % 7 == 0, "Coupon book ").when(F.col("file_id") % 7 == 1, "Markdown ").otherwise("Promo "), F.col("file_id").cast("string"), F.lit(".xlsx"))
+    return ids.select("file_id", name.alias("source_file"), F.date_add(F.lit("1998-03-01").cast("date"), (F.col("file_id") * 37 % 300).cast("int")).alias("file_date"))
+
+
+@query(f"""with {_EVENTS}, r as (select *, {_date_sql('dates')} as own, {_date_sql('sheet_name')} as named from k),
+  z as (select *, case when own.first is not null then own else named end as p from r),
+  q as (select *, month(fd) >= 10 and month(p.first) <= 3 and p.first < fd as late from z)
+  select file_id, sheet_name, source_file, height, width, header_row, event, trim(dates) as dates, kind, case when late then (p.first + interval 1 year)::date else p.first end as start_date,
+  case when late then (p.last + interval 1 year)::date else p.last end as end_date from q""")
+def sheet_events(t):
+    """FC27 a record for each sheet, with PRJ23 the dates of its event from the label or the sheet's name, and PRJ24 the year after for a file of the last quarter."""
+    return H.sheet_events(t.cells, _workbooks(t), ALIASES)
 
 
 @query(f"""with {_KEYED}, b as (select k.file_id, k.sheet_name, k.rw, h.header, trim(k.val) as val from keyed k join heads using (file_id, sheet_name)

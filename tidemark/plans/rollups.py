@@ -300,7 +300,7 @@ def _month(day):
     return F.date_format(day, "yyyy-MM")
 
 
-_MIDDLE = "(select min(ActualDate) + (max(ActualDate) - min(ActualDate)) // 2 as lo from actual_sku_day)"
+_MIDDLE = "(select min(ActualDate) + ((max(ActualDate) - min(ActualDate)) // 2)::int as lo from actual_sku_day)"
 
 
 @query(f"""with n as (select SKU, PickDate as ActualDate, sum(Units) as SoldUnits from work_lines, {_MIDDLE} where PickDate between lo and lo + 40 group by all)

@@ -164,11 +164,30 @@ def interval_actuals(t):
   from forecast_sku_day) f left join (select 1 as y union all select 2) on true left join actual_sku_day a on a.SKU = f.SKU
   and a.ActualDate between (f.ForecastStartDate - to_years(y))::date - 3 and (f.ForecastStartDate - to_years(y))::date + 3 group by all""")
 def seasonal_demand(t):
-    """JN11 and FC19 same season of prior years."""
+    """JN11 same season of prior years."""
     starts = t.forecast_sku_day.select("SKU", "ForecastStartDate").distinct()
     return J.seasonal_mean(starts, t.actual_sku_day, ["SKU"], "ForecastStartDate", "ActualDate", "SoldUnits", 2, 3, "Seasonal")
 
 
+_GRAINS = """g as (select SKU, unnest(['sku', 'item_color', 'group', 'category_size']) as Grain, unnest([SKU, Item || '-' || Color, ProductGroupCode, Category || '-' || Size]) as Key
+    from dim_product), a as (select Grain, Key, ActualDate, sum(SoldUnits) as u from actual_sku_day join g using (SKU) group by all),
+  q as (select distinct ForecastStartDate, Grain, Key from forecast_sku_day join g using (SKU))"""
+
+
+@query(f"""with {_GRAINS} select q.Grain, q.Key, q.ForecastStartDate, coalesce(sum(u), 0) / 14 as Seasonal from q left join (select 1 as y union all select 2) on true
+  left join a on a.Grain = q.Grain and a.Key = q.Key and a.ActualDate between (q.ForecastStartDate - to_years(y))::date - 3 and (q.ForecastStartDate - to_years(y))::date + 3
+  group by all""")
+def seasonal_grains(t):
+    """FC19 same season of prior years at four grains: SKU, item and colour, product group, category and size, in one scan and one window."""
+    keys = {"sku": F.col("SKU"), "item_color": F.concat_ws("-", "Item", "Color"), "group": F.col("ProductGroupCode"), "category_size": F.concat_ws("-", "Category", "Size")}
+    grains = F.explode(F.array(*[F.struct(F.lit(n).alias("Grain"), c.alias("Key")) for n, c in keys.items()])).alias("g")
+    products = t.dim_product.select("SKU", grains).select("SKU", "g.*")
+    # a day of a grain is one row before the window, however many SKUs the grain has
+    facts = t.actual_sku_day.join(products, "SKU").groupBy("Grain", "Key", "ActualDate").agg(F.sum("SoldUnits").alias("SoldUnits"))
+    asks = t.forecast_sku_day.select("SKU", "ForecastStartDate").distinct().join(products, "SKU").select("Grain", "Key", "ForecastStartDate").distinct()
+    return J.seasonal_mean(asks, facts, ["Grain", "Key"], "ForecastStartDate", "ActualDate", "SoldUnits", 2, 3, "Seasonal")
+
+
 @query("""select count(*) filter (b.SKU is null) as old_only, count(*) filter (a.SKU is null) as new_only, count(*) filter (a.SKU is not null
   and b.SKU is not null) as shared from (select distinct SKU from inventory_sku_day) a full join (select distinct SKU from actual_sku_day) b on a.SKU = b.SKU""")
 def sku_set_difference(t):

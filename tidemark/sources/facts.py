@@ -51,11 +51,11 @@ VIEWS = {
         from (select o_orderkey as id, cast(o_orderkey % 4 as int) as kind, cast(year(day) as string) as y, cast(month(day) as string) as m, cast(day(day) as string) as d, day + cast(o_custkey % 9 as int) as modified, case o_custkey % 4 when 0 then 'Error' when 1 then 'Complete' when 2 then 'Processing' else 'Archive' end as folder,
           date '1998-01-06' + cast(14 * (o_orderkey % 25) as int) as start_min, cast(o_custkey % 20 as int) as skus, cast(o_custkey % 11 as double) as units, 'c' || cast(o_custkey % 400 as string) as content from (select *, cast(o_orderdate as date) + 9132 as day from {orders}) x) f""",
     "cell_files": """select distinct cast(floor(p_partkey / 20.0) as int) as fid from {part}""",
-    "cells": """select fid as file_id, case fid % 4 when 0 then 'Markdown list' when 1 then 'Coupon tracker' when 2 then 'Promo Offers A' else 'Sale sheet' end as sheet_name, rw, cl, val from (
+    "cells": """select fid as file_id, case fid % 4 when 0 then 'Markdown list' when 1 then 'Coupon tracker' when 2 then 'Promo Offers A' else 'Sale 3/5-3/9' end as sheet_name, rw, cl, val from (
         select fid, 0 as rw, 0 as cl, 'Event Name:' as val from cell_files union all select fid, 0, 2, case fid % 3 when 0 then 'Final Sale ' || cast(fid as string) else 'Summer ' || cast(fid as string) end from cell_files
-        union all select fid, 1, 0, 'Start Date' from cell_files union all select fid, 1, 1, '7/4/98' from cell_files
-        union all select fid, 2, 0, 'Offer' from cell_files where fid % 5 <> 4 union all select fid, 2, 1, ' Style ' from cell_files where fid % 5 <> 4 union all select fid, 2, 2, '% Off MSRP' from cell_files where fid % 5 <> 4
-        union all select fid, 2, 3, 'Division' from cell_files where fid % 5 <> 4 union all select fid, 2, 4, 'Division' from cell_files where fid % 5 <> 4 union all select fid, 2, 5, 'Promo & $ Price' from cell_files where fid % 5 <> 4
+        union all select fid, 1, 0, 'Effective Date(s)' from cell_files union all select fid, 1, 1, case fid % 5 when 0 then '7/4/98 - 7/9/98' when 1 then '12/28 - 1/3' when 2 then ' ' when 3 then '2/5' else '13/40' end from cell_files
+        union all select fid, 2, 0, 'Offer' from cell_files where fid % 5 <> 4 union all select fid, 2, 1, case fid % 3 when 1 then 'Style ID' else ' Style ' end from cell_files where fid % 5 <> 4 union all select fid, 2, 2, '% Off MSRP' from cell_files where fid % 5 <> 4
+        union all select fid, 2, 3, case fid % 2 when 1 then 'Dept' else 'Orig MSRP' end from cell_files where fid % 5 <> 4 union all select fid, 2, 4, 'Division' from cell_files where fid % 5 <> 4 union all select fid, 2, 5, 'Promo & $ Price' from cell_files where fid % 5 <> 4
         union all select cast(floor(p_partkey / 20.0) as int), 3 + cast(p_partkey % 20 as int), 0, case when p_partkey % 6 = 0 then '' else 'I' || cast(p_partkey as string) || '-C' || cast(p_size as string) end from {part}
         union all select cast(floor(p_partkey / 20.0) as int), 3 + cast(p_partkey % 20 as int), 1, case when p_partkey % 4 = 0 then 'S' || cast(p_partkey as string) else '' end from {part}
         union all select cast(floor(p_partkey / 20.0) as int), 3 + cast(p_partkey % 20 as int), 2, cast(p_size as string) || '%' from {part}
