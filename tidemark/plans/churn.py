@@ -72,17 +72,19 @@ def slot_deltas(t):
 _LIVE = f"""{_SNAP}, live as (select SKU, Location, LocProfile, sum(Units) as Qty, any_value(pk) as pk from work_lines where Location <> '' group by all), b
   as (select l.*, p.Category || '-' || case l.pk % 4 when 0 then 'AA' when 1 then 'A' when 2 then 'B' else 'C' end as Zone, o.SlotTier as OldTier, n.SlotTier
   as NewTier
-  from live l join dim_product p using (SKU) left join (select * from snap where k = 10) o using (SKU) left join (select * from snap
-  where k = 11) n using (SKU))"""
+  from live l join dim_product p using (SKU) left join (select * from snap where k = (select max(k) - 1 from snap)) o using (SKU)
+  left join (select * from snap where k = (select max(k) from snap)) n using (SKU))"""
 
 
 def _live(t):
-    """Stock on the floor with the tiers of two vintages: JN18; the zone's velocity is its suffix."""
+    """Stock on the floor with the tiers of the two newest vintages: JN18; the zone's velocity is its suffix."""
     live = t.work_lines.where("Location <> ''").groupBy("SKU", "Location", "LocProfile").agg(F.sum("Units").alias("Qty"), F.first("pk").alias("pk"))
     velocity = F.element_at(F.array(*map(F.lit, ("AA", "A", "B", "C"))), (F.col("pk") % 4 + 1).cast("int"))
     live = live.join(t.dim_product.select("SKU", "Category"), "SKU").withColumn("Zone", F.concat_ws("-", "Category", velocity))
-    tiers = _snapshots(t).where("k in (10, 11)").groupBy("SKU").agg(F.max(F.when(F.col("k") == 10, F.col("SlotTier"))).alias("OldTier"),
-        F.max(F.when(F.col("k") == 11, F.col("SlotTier"))).alias("NewTier"))
+    snaps = _snapshots(t)
+    back = snaps.agg(F.max("k")).scalar() - F.col("k")
+    tiers = snaps.withColumn("_back", back).where("_back < 2").groupBy("SKU").agg(F.max(F.when(F.col("_back") == 1, F.col("SlotTier"))).alias("OldTier"),
+        F.max(F.when(F.col("_back") == 0, F.col("SlotTier"))).alias("NewTier"))
     return live.join(tiers, "SKU", "left")
 
 

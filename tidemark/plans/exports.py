@@ -44,17 +44,18 @@ def manual_events(t):
         (F.datediff("end_date", "start_date") + 1).cast("long").alias("days"))
 
 
-@query(f"""with {_DAILY}, c as (select ForecastStartDate as Origin, ForecastDate, SKU, sum(ForecastQty) as u from forecast_sku_day group by all), d
+_PACK = f"""{_DAILY}, c as (select ForecastStartDate as Origin, ForecastDate, SKU, sum(ForecastQty) as u from forecast_sku_day group by all), d
   as (select Origin, ForecastDate, round_even(sum(u), 0)::bigint as total from c group by all),
   s as (select Origin, ForecastDate, SKU, RecentUnits as w, total from daily join d using (Origin, ForecastDate) where RecentUnits > 0), x as (select *,
   floor(round(w / sum(w) over p * total, 9)) as fl, w / sum(w) over p * total as sh from s window p as (partition by Origin, ForecastDate)),
   a as (select Origin, ForecastDate, SKU, (fl + case when total > 0 and row_number() over (partition by Origin, ForecastDate order by round(sh - fl, 9) desc,
-  SKU) <= total - sum(fl) over (partition by Origin, ForecastDate) then 1 else 0 end)::double as u from x)
-  select Candidate, Origin, round(sum(u), 4) as Units, count(distinct SKU) filter (u > 0) as SKUs, count(distinct ForecastDate) as Days from (select 'corporate'
-  as Candidate, Origin, ForecastDate, SKU, u from c union all select 'recent', Origin, ForecastDate, SKU, RecentUnits from daily union all select 'anchored',
-  Origin, ForecastDate, SKU, u from a) group by all""")
-def forward_pack(t):
-    """FC33 corporate, recent and anchored candidates of every origin with their totals."""
+  SKU) <= total - sum(fl) over (partition by Origin, ForecastDate) then 1 else 0 end)::double as u from x),
+  pack as (select 'corporate' as Candidate, Origin, ForecastDate, SKU, u from c union all select 'recent', Origin, ForecastDate, SKU, RecentUnits from daily
+    union all select 'anchored', Origin, ForecastDate, SKU, u from a)"""
+
+
+def _pack(t):
+    """(Candidate, Origin, ForecastDate, SKU, u) of the corporate, the recent and the anchored candidate at every origin."""
     corporate = t.forecast_sku_day.groupBy(F.col("ForecastStartDate").alias("Origin"), "ForecastDate", "SKU").agg(F.sum("ForecastQty").alias("u"))
     recent = _daily(t).select("Origin", "ForecastDate", "SKU", F.col("RecentUnits").alias("u"))
     days = corporate.groupBy("Origin", "ForecastDate").agg(F.bround(F.sum("u")).cast("long").alias("total"))
@@ -62,18 +63,41 @@ def forward_pack(t):
     anchored = A.allocate(shape, ["Origin", "ForecastDate"], "u", "total", ["SKU"], "a").select("Origin", "ForecastDate", "SKU",
         F.col("a").cast("double").alias("u"))
     one = lambda df, n: df.select(F.lit(n).alias("Candidate"), "Origin", "ForecastDate", "SKU", "u")
-    rows = one(corporate, "corporate").unionByName(one(recent, "recent")).unionByName(one(anchored, "anchored"))
-    return rows.groupBy("Candidate", "Origin").agg(F.round(F.sum("u"), 4).alias("Units"),
+    return one(corporate, "corporate").unionByName(one(recent, "recent")).unionByName(one(anchored, "anchored"))
+
+
+@query(f"""with {_PACK} select Candidate, Origin, round(sum(u), 4) as Units, count(distinct SKU) filter (u > 0) as SKUs, count(distinct ForecastDate) as Days
+  from pack group by all""")
+def forward_pack(t):
+    """FC33 corporate, recent and anchored candidates of every origin: their totals."""
+    return _pack(t).groupBy("Candidate", "Origin").agg(F.round(F.sum("u"), 4).alias("Units"),
         F.countDistinct(F.when(F.col("u") > 0, F.col("SKU"))).alias("SKUs"), F.countDistinct("ForecastDate").alias("Days"))
 
 
+@query(f"with {_PACK} select Candidate, Origin, ForecastDate, SKU, round(u, 6) as ForecastUnits from pack where u > 0")
+def forward_pack_rows(t):
+    """FC33 the pack itself: a row for each candidate, origin, day and SKU with units."""
+    return _pack(t).where("u > 0").select("Candidate", "Origin", "ForecastDate", "SKU", F.round("u", 6).alias("ForecastUnits"))
+
+
+@query(f"""with {_PACK} select Candidate, Origin, ForecastDate, round(sum(u), 4) as Units from pack where Candidate = (select arg_min(Candidate,
+  (Candidate <> 'corporate_raw', Candidate)) from pack where Candidate like '%corporate%') group by all""")
+def corporate_series(t):
+    """SRC22 the corporate series of a frame of candidates by day: that of the fixed name, else the smallest name that says corporate."""
+    rows = _pack(t)
+    name = F.col("Candidate")
+    chosen = rows.where(F.contains(name, F.lit("corporate"))).agg(F.min_by(name, F.struct((name != "corporate_raw").alias("other"), name)))
+    return rows.where(name == chosen.scalar()).groupBy("Candidate", "Origin", "ForecastDate").agg(F.round(F.sum("u"), 4).alias("Units"))
+
+
 @query("""with l as (select * from inventory_sku_day qualify row_number() over (partition by SKU order by SnapshotDate desc) = 1), f as (select SKU,
-  sum(ForecastQty) as q from forecast_sku_day where SnapshotId = 'V024' group by 1) select l.SKU, SnapshotDate, AvailPhysical, q, q is null as NoForecast from l
+  sum(ForecastQty) as q from forecast_sku_day where SnapshotId = (select arg_max(SnapshotId, ForecastStartDate) from vintages) group by 1) select l.SKU, SnapshotDate, AvailPhysical, q, q is null as NoForecast from l
   left join f using (SKU)""")
 def stock_gap(t):
     """JN21 the latest stock of each SKU and whether the last vintage has it; AG36 those without a forecast."""
     last = J.keep_one(t.inventory_sku_day.select("SKU", "SnapshotDate", "AvailPhysical"), ["SKU"], [F.desc("SnapshotDate")])
-    ahead = t.forecast_sku_day.where("SnapshotId = 'V024'").groupBy("SKU").agg(F.sum("ForecastQty").alias("q"))
+    newest = t.vintages.agg(F.max_by("SnapshotId", "ForecastStartDate"))
+    ahead = t.forecast_sku_day.where(F.col("SnapshotId") == newest.scalar()).groupBy("SKU").agg(F.sum("ForecastQty").alias("q"))
     return last.join(ahead, "SKU", "left").withColumn("NoForecast", F.col("q").isNull())
 
 
@@ -81,7 +105,7 @@ def stock_gap(t):
   group by 1) select SnapshotId, SKU, ForecastDate, f as Raw, round(greatest(f + coalesce(q, 0), 0), 6) as Quantile from d left join k using (Category)
   where ForecastStartDate >= date '1998-07-01'""")
 def quantile_forecast(t):
-    """ML7 a forecast moved to the 0.35 quantile by each category's errors in earlier windows; there is no quantile tree in Spark."""
+    """ML7 a forecast moved to the 0.35 quantile by each category's errors in earlier windows; the boosted model of the quantile is in demand_models."""
     rows = _days(t)
     errors = rows.where("ForecastStartDate < date '1998-07-01'").groupBy("Category").agg(F.percentile(F.col("s") - F.col("f"), F.lit(0.35)).alias("q"))
     later = rows.where("ForecastStartDate >= date '1998-07-01'").join(errors, "Category", "left")

@@ -35,6 +35,13 @@ def write_shards(rows: DataFrame, path: str, by: dict, overwrite: bool = False)
     return rows.sparkSession.read.schema(shards.schema).parquet(path)
 
 
+def write_twins(rows: DataFrame, path: str) -> tuple[str, str]:
+    """The same rows as zstd Parquet and as CSV with header, computed once; the two paths."""
+    rows.write.option("compression", "zstd").parquet(f"{path}.parquet")
+    rows.sparkSession.read.schema(rows.schema).parquet(f"{path}.parquet").write.option("header", True).csv(f"{path}.csv")
+    return f"{path}.parquet", f"{path}.csv"
+
+
 def manifest(rows: DataFrame, by: list[str], day: str, sku: str, units: str) -> DataFrame:
     """Rows, distinct SKUs, units and date span of each part."""
     return rows.groupBy(*by).agg(F.count("*").alias("Rows"), F.countDistinct(sku).alias("SKUs"), F.sum(units).alias("Units"), F.min(day).alias("FirstDay"), F.max(day).alias("LastDay"))
