@@ -22,7 +22,8 @@ def allocate(df: DataFrame, group: list[str], weight: str, total: str, tie: list
     so they are written first.
     """
     rows = kept(df.withColumn("_weight", F.coalesce(F.col(weight), F.lit(0.0))), "allocated")
-    rows = attach(rows, rows.groupBy(*group).agg(F.sum("_weight").alias("_sum")), group)
+    # a row for each group; written, so that Spark knows whether it is small enough to broadcast
+    rows = attach(rows, kept(rows.groupBy(*group).agg(F.sum("_weight").alias("_sum")), "sums"), group)
     good = (F.col(total) > 0) & (F.col("_sum") > 0)
     share = F.when(good, F.col("_weight") / F.col("_sum") * F.col(total)).otherwise(0.0)
     rows = rows.withColumn("_share", share).withColumn("_floor", F.floor(F.round("_share", 9)))
@@ -35,7 +36,7 @@ def allocate(df: DataFrame, group: list[str], weight: str, total: str, tie: list
     met = (F.col("_upto") - F.col("_n") < F.col("_left")) & (F.col("_left") <= F.col("_upto"))
     # a total that is met before the first bin, or by none, has no bin to be ranked
     cut = bins.groupBy(*group).agg(F.max("_left").alias("_left"), F.max(F.when(met, F.col("_bin"))).alias("_cut"), F.max(F.when(met, F.col("_left") - F.col("_upto") + F.col("_n"))).alias("_need"))
-    rows = attach(rows, cut, group).drop("_weight", "_sum", "_share")
+    rows = attach(rows, kept(cut, "cuts"), group).drop("_weight", "_sum", "_share")
     tight = F.coalesce(F.col("_bin") == F.col("_cut"), F.lit(False))
     up = F.coalesce(F.when(F.col("_cut").isNull(), F.col("_left") > 0).otherwise(F.col("_bin") > F.col("_cut")), F.lit(False))
     placed = ranked(rows.where(tight), group, [-F.col("_rest"), *map(F.col, tie)], "_rank").withColumn(out, F.col("_floor") + (F.col("_rank") <= F.col("_need")).cast("long"))
