@@ -10,7 +10,8 @@ copies shrinks to one in two cheap rounds, which confirm a document's likeliest
 nothing else: then every bucket (the documents that share the first half of a tree's key) that still holds two groups
 is gone through whole. Its members outside its largest group ask all its members, and each pair of different groups
 whose signatures are near enough and whose rarest shingles agree enough is confirmed, the likeliest first, until no
-candidate joins two groups. A bucket is cut into units of bounded size, so none is one task's work.
+candidate joins two groups. A bucket is cut into units that are bounded in documents and in bytes, so none is one task's work
+and very long texts meet a few at a time.
 
 The rarest shingles are an exact bound, so they lose no link. All shingles have one order, by how often their counter was
 met in the documents of such buckets and then by hash; a document brings the first of its own. Of these, those that come
@@ -46,8 +47,9 @@ DEPTH = 8
 SKETCH = 64
 #: Candidates of a document that one of the two first rounds confirms, and that one tree gives to them.
 LIKELIEST, NEAREST = 4, 2
-#: Documents of a bucket on each side of a unit, about.
-UNIT = 2048
+#: Documents of a bucket on each side of a unit, about, and their bytes, about: a document has FIXED, and PER_SHINGLE for each shingle.
+UNIT, UNIT_BYTES = 2048, 8 << 20
+FIXED, PER_SHINGLE = 640, 2
 #: A document's candidates are dealt to so many parts; of each part the likeliest AT_ONCE are confirmed, then STEP times as many, until none is left.
 PARTS, AT_ONCE, STEP = 8, 1, 16
 #: Bits of a shingle that say which counter tells how rare it is: a byte for each of the counters goes to every task.
@@ -178,15 +180,15 @@ def _look(ahead: int, percent: int):
 
 
 def _buckets(batches):
-    """A mapper from classes (id, lo, comp, sig) to each one's bucket in each tree."""
+    """A mapper from classes (id, lo, comp, bytes, sig) to each one's bucket in each tree."""
     orders = _orders()[:, : DEPTH // 2]
     for batch in batches:
         m = batch.num_rows
         if m:
-            keys = column_bytes(batch.column(3))[0].view(np.uint16).reshape(m, HASHES)
+            keys = column_bytes(batch.column(4))[0].view(np.uint16).reshape(m, HASHES)
             for t in range(TREES):
                 k1 = np.ascontiguousarray(keys[:, orders[t]]).view(np.int64)[:, 0]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, t, np.int32)), pa.array(k1.copy()), *batch.columns[:3]], names=["tree", "k1", "id", "lo", "comp"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, t, np.int32)), pa.array(k1.copy()), *batch.columns[:4]], names=["tree", "k1", "id", "lo", "comp", "bytes"])
 
 
 def _set_rows(width: int):
@@ -406,13 +408,17 @@ def _settled(sets: DataFrame, queue: DataFrame, roots: DataFrame, percent: int,
 
 def _bucket_links(docs: DataFrame, classes: DataFrame, roots: DataFrame, width: int, percent: int, at: str) -> DataFrame:
     """``roots`` when no bucket holds an unconfirmed candidate that joins two groups."""
-    rows = _grouped(classes.select("id", "lo", "sig"), roots).select("id", "lo", "comp", "sig")
-    lain = written(rows.mapInArrow(_buckets, "tree int, k1 long, id long, lo long, comp long"), f"{at}/lain")
+    size = (F.col("n") * PER_SHINGLE + FIXED).cast("long").alias("bytes")
+    rows = _grouped(classes.select("id", "lo", "n", "sig"), roots).select("id", "lo", "comp", size, "sig")
+    lain = written(rows.mapInArrow(_buckets, "tree int, k1 long, id long, lo long, comp long, bytes long"), f"{at}/lain")
     several = lain.groupBy("tree", "k1").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("tree", "k1")
     met = written(lain.join(several, ["tree", "k1"]), f"{at}/met")
-    groups = met.groupBy("tree", "k1", "comp").agg(F.count("*").alias("c")).groupBy("tree", "k1").agg(F.sum("c").alias("m"), F.max("c").alias("c"), F.max_by("comp", "c").alias("major"))
-    mixed = written(groups.select("tree", "k1", "major", F.ceil(F.col("m") / UNIT).cast("int").alias("gm"), F.ceil((F.col("m") - F.col("c")) / UNIT).cast("int").alias("ga")), f"{at}/mixed")
-    met = met.join(mixed, ["tree", "k1"])
+    groups = met.groupBy("tree", "k1", "comp").agg(F.struct(F.count("*").alias("rows"), F.sum("bytes").alias("bytes"), F.col("comp").alias("comp")).alias("g"))
+    groups = groups.groupBy("tree", "k1").agg(F.sum("g.rows").alias("rows"), F.sum("g.bytes").alias("bytes"), F.max("g").alias("top"))
+    parts = lambda rows, size: F.greatest(F.ceil(rows / UNIT), F.ceil(size / UNIT_BYTES)).cast("long")
+    told, asking = parts(F.col("rows"), F.col("bytes")), parts(F.col("rows") - F.col("top.rows"), F.col("bytes") - F.col("top.bytes"))
+    mixed = written(groups.select("tree", "k1", F.col("top.comp").alias("major"), told.alias("gm"), asking.alias("ga")), f"{at}/mixed")
+    met = met.drop("bytes").join(mixed, ["tree", "k1"])
     ends = written(met.select("id", "lo").distinct(), f"{at}/ends")
     places = ends.select(_place("id").alias("place")).distinct()
     some = docs.withColumn("place", _place("id")).join(F.broadcast(places), "place", "left_semi").join(ends.select("id").distinct(), "id", "left_semi")
@@ -420,8 +426,8 @@ def _bucket_links(docs: DataFrame, classes: DataFrame, roots: DataFrame, width:
     rare = sets.mapInArrow(_rarest(_ranks(sets), percent), "id long, lo long, rare binary")
     crowd = written(classes.join(ends, ["id", "lo"], "left_semi").join(rare, ["id", "lo"]).select("id", "lo", "n", "sig", "rare"), f"{at}/crowd")
     # part = the asking side's share of the bucket times gm, and the answering side's
-    told = met.select("*", F.lit(False).alias("asks"), F.explode(F.expr("transform(sequence(0, ga - 1), x -> x * gm + cast(pmod(xxhash64(lo, 1), gm) as int))")).alias("part"))
-    asking = met.where("comp <> major").select("*", F.lit(True).alias("asks"), F.explode(F.expr("transform(sequence(0, gm - 1), y -> cast(pmod(xxhash64(lo, 2), ga) as int) * gm + y)")).alias("part"))
+    told = met.select("*", F.lit(False).alias("asks"), F.explode(F.expr("transform(sequence(0, ga - 1), x -> x * gm + pmod(xxhash64(lo, 1), gm))")).alias("part"))
+    asking = met.where("comp <> major").select("*", F.lit(True).alias("asks"), F.explode(F.expr("transform(sequence(0, gm - 1), y -> pmod(xxhash64(lo, 2), ga) * gm + y)")).alias("part"))
     units = told.union(asking).join(crowd, ["id", "lo"]).select("tree", "k1", "part", "asks", "id", "lo", "comp", "major", "n", "sig", "rare")
     units = units.repartition("tree", "k1", "part").sortWithinPartitions("tree", "k1", "part")
     looked = written(units.mapInArrow(_meet(percent), "a long, lo_a long, b long, lo_b long, same int"), f"{at}/looked")
