@@ -149,6 +149,42 @@ def test_split_tree_keeps_quotas(spark):
     assert {k: sum(r.n for r in rows if r.key == k) for k in "ab"} == {"a": 100, "b": 7} and max(sum(r.n for r in rows if r.shard == s) for s in range(8)) <= 14
 
 
+def test_split_tree_by_first_digits(spark, monkeypatch):
+    quotas = spark.createDataFrame([(f"s{k}", 3 + 7 * k % 40) for k in range(30)] + [("hot", 400)], "key string, n long")
+    want = sorted(map(tuple, mixing.split_tree(quotas, 3, 1).collect()))
+    for rows in (300, 20, 1):
+        monkeypatch.setattr(mixing, "NODE_ROWS", rows)
+        assert sorted(map(tuple, mixing.split_tree(quotas, 3, 1).collect())) == want
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_targets_of_many_sources(spark, parts):
+    rng = np.random.default_rng(4)
+    sources = [*sorted(f"s{k:03d}" for k in range(200)), None]
+    sizes = [int(x) for x in rng.choice([0, 1, 5, 40, 1000], len(sources))]
+    rows = [(f"={s}" if s else "-", s, z) for s, z in zip(sources, sizes)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {r.source: r for r in mixing.target_words(spark.createDataFrame(rows, "key string, source string, z long")).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    weights = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sources)}
+    assert {s: r.w for s, r in got.items()} == weights
+    want, free, left = {}, dict(zip(sources, sizes)), 1.5 * sum(sizes)
+    while free:
+        level = left / sum(weights[s] for s in free)
+        over = [s for s in free if level * weights[s] > 2 * free[s]]
+        if not over:
+            want |= {s: level * weights[s] for s in free}
+            break
+        for s in over:
+            want[s] = 2.0 * free.pop(s)
+            left -= want[s]
+    assert all(abs(got[s].target - want[s]) < 1e-6 for s in sources) and abs(sum(want.values()) - 1.5 * sum(sizes)) < 1e-6
+
+
 def test_tokens(spark, odd, none):
     index = tokens.materialise(odd, length=64, shards=3)
     rows = tokens.read_back(index, 64).collect()
@@ -293,3 +329,31 @@ def test_a_document_asks_all_members_of_a_group(spark, monkeypatch):
     roots = spark.createDataFrame([(i, 1) for i in range(1, 41)], "node long, root long")
     got = lshforest._bucket_links(docs, classes, roots, 3, 85, shared_dir(spark, "test"))
     assert {r.node: r.root for r in got.collect()} == dict.fromkeys(range(41), 0)
+
+
+def test_units_are_bounded_in_bytes(spark, monkeypatch):
+    """Long texts of one bucket are cut into units of a few, and no link between them is lost."""
+    monkeypatch.setattr(lshforest, "UNIT_BYTES", 40_000)
+    rng = np.random.default_rng(8)
+    base = [f"w{k}" for k in range(6000)]
+    members = [_changed(rng, base, 100) for _ in range(30)]
+    members += [_changed(rng, w, 140) for w in members[:6]]
+    rows = [(i + 1, " ".join(w)) for i, w in enumerate(members)]
+    unit = lshforest._meet
+
+    def sized(percent):
+        run = unit(percent)
+
+        def counted(batches):
+            held = list(batches)
+            for b in held:
+                keys = list(zip(*[b.column(k).to_pylist() for k in (0, 1, 2)]))
+                assert max(keys.count(k) for k in set(keys)) <= 24, "a unit holds too many long texts"
+            yield from run(iter(held))
+
+        return counted
+
+    monkeypatch.setattr(lshforest, "_meet", sized)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in lshforest.near_duplicates(docs, width=3, percent=85).collect()}
+    assert got == components_of(rows, 3, 85)

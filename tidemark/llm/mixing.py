@@ -12,7 +12,9 @@ brings the source nearer to its target.
 
 Orders come from MD5 of id and text, so reruns agree on any cluster. The documents are read once for sizes and hashes; what
 follows works on that small table. Running sums are taken inside buckets of a source and added up over buckets: no task
-holds a whole source. The tree holds a row for each block; there are at most ``blocks`` << MOST_LEVELS, whatever the input.
+holds a whole source, nor all sources: their ranks and sums are taken inside range partitions and added up over those. The
+tree holds a row for each block; there are at most ``blocks`` << MOST_LEVELS and one for each source, and a node of many
+blocks is split by counts of the draws' first digits, so that only the blocks of one beginning are sorted together.
 
 Defined results: a null or blank text has size 0 and is never taken; a null source is a source, sorted last; null and
 repeated ids are rows of their own, repeated rows too; very long texts are taken whole like others; other columns are
@@ -32,28 +34,46 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORDS_ONE, MOST_LEVELS = 1 << 16, 14
 #: Rows of a bucket of running sums, about, and the most hex digits that name a bucket.
 BUCKET_ROWS, MOST_DIGITS = 256, 4
+#: Blocks of a node that are sorted in one task, about.
+NODE_ROWS = 1 << 16
+
+
+def _in_order(rows: DataFrame, order: list[Column], sums: tuple[str, ...], at: str) -> DataFrame:
+    """Adds rank, the place in ``order`` from 1, and for each column c of ``sums`` c_before, its sum over the rows before."""
+    place = F.monotonically_increasing_id()
+    rows = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", place), at)
+    rows = rows.withColumn("part", F.shiftright("place", 33))
+    parts = rows.groupBy("part").agg(F.count("*").alias("_n"), *[F.sum(c).alias(f"_{c}") for c in sums])
+    # a row for each range partition
+    earlier = Window.partitionBy().orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = parts.select("part", *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}") for c in ("n", *sums)])
+    inside = Window.partitionBy("part").orderBy("place")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({"rank": F.row_number().over(inside), **{f"{c}_before": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in sums}}).join(shift, "part")
+    rows = rows.withColumns({"rank": F.col("rank") + F.col("_n"), **{f"{c}_before": F.col(f"{c}_before") + F.col(f"_{c}") for c in sums}})
+    return rows.drop("part", "place", *[f"_{c}" for c in ("n", *sums)])
 
 
 def target_words(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share_percent: int = 150, repeat: int = 2) -> DataFrame:
     """Targets of sources (columns key, source, z): adds w and target.
 
     Sources by code point, null last, take the weights in turn; targets share ``share_percent`` of all words and
-    stop at ``repeat`` times a source's own, what is over being shared again by weight. The windows hold a row for each source.
+    stop at ``repeat`` times a source's own, what is over being shared again by weight. A task holds a range of the sources.
     """
-    every = Window.partitionBy().orderBy(F.asc_nulls_last("source")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(Window.partitionBy().orderBy(F.asc_nulls_last("source"))) - 1) % len(weights) + 1).cast("int"))
-    total = F.sum("z").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    rows = sizes.withColumn("w", w.cast("long")).withColumn("all", F.coalesce(total, F.lit(0)) * share_percent)
-    order = Window.partitionBy().orderBy(F.col("z") / F.col("w"), F.asc_nulls_last("source"))
-    before = F.coalesce(F.sum(F.col("z") * repeat).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumns({"before": before, "rest": F.sum("w").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)), "rank": F.row_number().over(order)})
-    # all and before are in hundredths of words and in words: whole numbers up to the last division
-    free = (F.col("all") - F.col("before") * 100) * F.col("w") <= F.col("z") * repeat * 100 * F.col("rest")
-    whole = Window.partitionBy()
-    rows = rows.withColumn("turn", F.min(F.when(free, F.struct("rank", "all", "before", "rest"))).over(whole))
-    level = (F.col("turn.all") - F.col("turn.before") * 100).cast("double") / 100 * F.col("w") / F.col("turn.rest")
-    target = F.when(F.col("turn").isNull() | (F.col("rank") < F.col("turn.rank")), (F.col("z") * repeat).cast("double")).otherwise(level)
-    return rows.withColumn("target", target).select("key", "source", "z", "w", "target")
+    at = shared_dir(sizes.sparkSession, "targets")
+    rows = _in_order(sizes, [F.asc_nulls_last("source")], (), f"{at}/named").withColumnRenamed("rank", "turn")
+    w = F.element_at(F.array(*map(F.lit, weights)), ((F.col("turn") - 1) % len(weights) + 1).cast("int"))
+    rows = _in_order(rows.withColumn("w", w.cast("long")).drop("turn"), [F.col("z") / F.col("w"), F.asc_nulls_last("source")], ("z", "w"), f"{at}/ranked")
+    words, weight = (x or 0 for x in rows.agg(F.sum("z"), F.sum("w")).first())
+    # before and every are in words and in hundredths of words: whole numbers up to the last division
+    every, before, rest = F.lit(words * share_percent).cast("long"), F.col("z_before") * repeat, F.lit(weight).cast("long") - F.col("w_before")
+    free = (every - before * 100) * F.col("w") <= F.col("z") * repeat * 100 * rest
+    turn = rows.where(free).agg(F.min(F.struct("rank", before.alias("before"), rest.alias("rest"))).alias("x")).first().x
+    capped = (F.col("z") * repeat).cast("double")
+    if turn is None:
+        return rows.select("key", "source", "z", "w", capped.alias("target"))
+    level = F.lit(float(words * share_percent - turn.before * 100)) / 100 * F.col("w") / turn.rest
+    return rows.select("key", "source", "z", "w", F.when(F.col("rank") < turn.rank, capped).otherwise(level).alias("target"))
 
 
 def _md5(*parts) -> Column:
@@ -65,18 +85,36 @@ def _named(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
 
 
+def _drawn_left(blocks: DataFrame, digits: int) -> DataFrame:
+    """``blocks`` (node, key, i, draw) with left: the half of each node's blocks with the smallest draws.
+
+    With digits, the blocks are counted by the first digits of their draw, and ranked among those that begin alike.
+    """
+    order = ("draw", "key", "i")
+    half = lambda n: F.floor((n + 1) / 2)
+    if not digits:
+        rank = F.row_number().over(Window.partitionBy("node").orderBy(*order))
+        return blocks.withColumn("left", rank <= half(F.count("*").over(Window.partitionBy("node"))))
+    blocks = blocks.withColumn("b", F.substring("draw", 1, digits))
+    counts = blocks.groupBy("node", "b").agg(F.count("*").alias("c"))
+    whole = Window.partitionBy("node")
+    counts = counts.select("node", "b", (F.sum("c").over(whole.orderBy("b")) - F.col("c")).alias("start"), F.sum("c").over(whole).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("node", "b").orderBy(*order))
+    return blocks.withColumn("rank", rank).join(counts, ["node", "b"]).withColumn("left", F.col("start") + F.col("rank") <= half(F.col("n")))
+
+
 def split_tree(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
     """Shares of 2 ** ``levels`` shards in exact quotas (columns key, n): rows (shard, key, n) with n > 0.
 
     A node's left half are the blocks with the smallest hashes of (seed, level, node, key, number).
     """
     nodes = quotas.where("n > 0").select(F.lit(0).cast("long").alias("node"), "key", "n")
+    most = nodes.agg(F.sum("n")).first()[0] or 0
     for level in range(levels):
-        order = Window.partitionBy("node").orderBy("draw", "key", "i")
+        digits = next(k for k in range(MOST_DIGITS + 1) if k == MOST_DIGITS or NODE_ROWS * 16**k >= most >> level)
         draw = _md5(seed, "split", level, F.col("node"), F.col("key"), F.col("i"))
         blocks = nodes.select("node", "key", F.explode(F.expr("sequence(1L, n)")).alias("i")).withColumn("draw", draw)
-        left = F.row_number().over(order) <= F.floor((F.count("*").over(Window.partitionBy("node")) + 1) / 2)
-        halves = blocks.withColumn("left", left).groupBy("node", "key").agg(F.count_if("left").alias("a"), F.count_if(~F.col("left")).alias("b"))
+        halves = _drawn_left(blocks, digits).groupBy("node", "key").agg(F.count_if("left").alias("a"), F.count_if(~F.col("left")).alias("b"))
         both = F.array(*[F.struct((F.col("node") * 2 + k).alias("node"), "key", F.col(c).alias("n")) for k, c in enumerate("ab")])
         nodes = halves.select(F.explode(both).alias("x")).select("x.*").where("n > 0")
     return nodes.withColumnRenamed("node", "shard")
