@@ -365,3 +365,12 @@ def test_damaged_archives_are_rows_with_errors(spark, tmp_path):
     assert good and all(r.payload.decode() == f"page {r.page_id} " * 50 for r in good) and any(path in (r.error or "") for r in rows)
     with pytest.raises(ValueError, match="segments"):
         warc._payload("response", "sha1:x", 9, [{"segment": 1, "block": b"a"}, {"segment": 3, "block": b"b"}])
+
+
+def test_ratings_off_the_scale_are_left_out(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('text ', id) as text", "'c' as grade")
+    rated = spark.range(400).selectExpr("id as doc_id", "case when id < 100 then id % 3 when id < 110 then null else id end as grade")
+    rated = rated.union(spark.sql("select 1L, 2L union all select null, 1L union all select 2L, 9L"))
+    got = {r.doc_id: r.grade for r in ordinal.training_rows(docs, rated).collect()}
+    assert got == {k: 2 if k == 1 else k % 3 for k in range(100)}
+    assert ordinal.training_rows(docs, rated.limit(0)).count() == 0

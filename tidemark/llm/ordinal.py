@@ -121,12 +121,14 @@ def fit(texts: list[bytes], grades: np.ndarray, n_grades: int, steps: int = 80)
     return CumulativeLink(weights, p[1].astype(np.float32), np.concatenate([p[2][:1], p[2][0] + np.cumsum(np.exp(p[2][1:]))]))
 
 
-def training_rows(docs: DataFrame, rated: DataFrame, grade_col: str = "grade", text_col: str = "text", id_col: str = "doc_id", per_grade: int = 1500, seed: int = 5) -> DataFrame:
+def training_rows(docs: DataFrame, rated: DataFrame, grade_col: str = "grade", text_col: str = "text", id_col: str = "doc_id", per_grade: int = 1500, seed: int = 5, n_grades: int = 3) -> DataFrame:
     """(id_col, text_col, grade_col) of documents with a grade: at most 2 * ``per_grade`` ids of each grade, chosen before texts are read.
 
-    The ids that are chosen, a bounded number, are what is broadcast. An id with several grades has the highest.
+    The ids that are chosen, a bounded number, are what is broadcast. Grades are whole numbers from 0 to ``n_grades`` - 1, others and
+    null are left out; an id with several grades has the highest.
     """
-    own = rated.where(f"{id_col} is not null and {grade_col} is not null").groupBy(id_col).agg(F.max(grade_col).alias(grade_col))
+    grade = F.col(grade_col).cast("int")
+    own = rated.where(F.col(id_col).isNotNull() & grade.between(0, n_grades - 1)).groupBy(id_col).agg(F.max(grade).alias(grade_col))
     picked = smallest_hashes(own, grade_col, id_col, 2 * per_grade, seed)
     return docs.select(id_col, text_col).join(F.broadcast(picked), id_col)
 
