@@ -185,7 +185,8 @@ def _tables(rows):
 
 def _replaced(t, overwrite: bool):
     """A store of all vintages, into which others are imported."""
-    old = t.forecast_sku_day.select("SnapshotId", "SKU", "ForecastDate", "ForecastQty")
+    # written once: an import reads its rows for the parts and again for each of its tables
+    old = sinks.kept(t.forecast_sku_day.select("SnapshotId", "SKU", "ForecastDate", "ForecastQty"), "days")
     numbers = t.vintages.where("k % 5 = 0").select("SnapshotId", "k")
     new = old.join(numbers, "SnapshotId").select(F.when(F.col("k") % 10 == 0, F.col("SnapshotId")).otherwise(F.concat(F.lit("N"), "SnapshotId")).alias("SnapshotId"), "SKU",
         "ForecastDate", (F.col("ForecastQty") + 1).alias("ForecastQty"))
