@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.scans import required
+from tidemark.sources.sinks import kept
 
 DAYS = [f"FD{k}" for k in range(1, 15)]
 TEXTS, NUMBERS = ["SKU", "Velocity"], ["PutawayIndicator"]
@@ -23,6 +24,7 @@ def typed(raw: DataFrame, file: Column) -> DataFrame:
     rows = rows.select("SourceFile", *[F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in TEXTS],
         *[number(c).cast("int").alias(c) for c in NUMBERS], F.col("ForecastStartDate").cast("string").try_cast("date").alias("_start"),
             *[F.coalesce(number(c), F.lit(0.0)).alias(c) for c in DAYS])
+    rows = kept(rows, "typed")  # texts are parsed once; what follows reads the rows several times
     starts = rows.where("_start is not null").groupBy("SourceFile", "_start").agg(F.count("*").alias("n"))
     common = starts.groupBy("SourceFile").agg(F.min(F.struct((-F.col("n")).alias("n"), "_start"))["_start"].alias("_mode"))
     rows = rows.join(common, "SourceFile", "left")
