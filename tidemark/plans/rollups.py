@@ -53,7 +53,10 @@ def _order_sums(t, *by):
     paid = F.sum(F.abs("LineAmount"))
     # a key has one value: counting it distinctly beside the orders would double all rows
     skus = F.max(F.lit(1).cast("long")) if "SKU" in by else F.countDistinct("SKU")
-    return t.order_lines.withColumn("off", off).groupBy(*by).agg(
+    lines = t.order_lines.withColumn("off", off)
+    # almost every line has a day and SKU of its own: lines are dealt before they are summed, not summed in large tasks first
+    lines = t.dealt(lines, *by) if "SKU" in by else lines
+    return lines.groupBy(*by).agg(
         F.sum(q).alias("Units"), F.sum(F.abs(q)).alias("AbsUnits"), F.count("*").alias("Lines"), F.countDistinct("SalesID").alias("Orders"),
             skus.alias("SKUs"), F.count_if(q < 0).alias("ReturnLines"), F.sum(F.when(q < 0, q)).alias("ReturnUnits"),
         total(gross("MSRP")).alias("GrossMSRP"), total(gross("SalesPrice")).alias("GrossSales"), total(F.sum("LineAmount")).alias("Amount"),
