@@ -10,7 +10,7 @@ from tidemark.plans import catalog, registry
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["order_rollup", "wide_horizon", "export_shape"])
+@pytest.mark.parametrize("name", ["order_rollup", "wide_horizon", "export_shape", "inbound_rows"])
 def test_rows_of_a_task_stay_few(spark, monkeypatch, name):
     query = catalog.queries()[name]
     whole = query(spark, SF)
