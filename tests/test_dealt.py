@@ -19,3 +19,11 @@ def test_rows_of_a_task_stay_few(spark, monkeypatch, name):
     rows = query(spark, SF)
     tasks = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
     assert max(tasks) < 600 and sorted(map(str, rows.collect())) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("name", ["period_slices"])
+def test_lines_are_dealt_before_they_are_summed(spark, monkeypatch, name):
+    monkeypatch.setattr(registry, "LINES", 300)
+    rows = catalog.queries()[name](spark, SF)
+    n = -(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 300)
+    assert any("RepartitionByExpression" in line and line.endswith(f", {n}") for line in rows._jdf.queryExecution().optimizedPlan().toString().split("\n"))
