@@ -146,7 +146,7 @@ def stock_sentinels(t):
   group by all""")
 def inbound_rows(t):
     """PRJ34 inbound rows with units, date and SKU; PRJ40 only of SKUs that had stock, JN15 and JN26 by membership."""
-    stocked = t.inventory_sku_day.where("AvailPhysical > 0").select("SKU").distinct()
+    stocked = t.dealt(t.inventory_sku_day.where("AvailPhysical > 0").select("SKU"), "SKU").distinct()
     # dealt by SKU once: the membership and both levels of the distinct count stay in those partitions; Spark would take a semi join below them
     rows = t.dealt(t.inbound_snapshots.where("InboundRemainderUnits > 2 and ExpectedInDCDate is not null and trim(SKU) <> ''"), "SKU").join(stocked, "SKU")
     return rows.groupBy("SnapshotDate", "SKU", "ExpectedInDCDate").agg(F.sum("InboundRemainderUnits").alias("Units"),
