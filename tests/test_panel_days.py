@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import forecasting as P
 from tidemark.operators import panel as N
 from tidemark.plans.origins import _promo_features
 from tidemark.plans.registry import Facts
@@ -40,3 +41,19 @@ def test_inbound_orders_of_wanted_days(spark):
     assert _same(got, every.join(days, ["SKU", "Date"], "left_semi"))
     # lines are dealt by SKU, none of their days is dealt again
     assert not re.search(r"hashpartitioning\(SKU#\d+, Date#", every._jdf.queryExecution().executedPlan().toString())
+
+
+def test_no_model_has_no_row_for_each_day(spark):
+    """Signals are dealt by origin and SKU, one exchange for all; SKUs outside the universe and days outside the horizon stay out."""
+    origin, day = dt.date(2024, 1, 1), lambda k: dt.date(2024, 1, 1) + dt.timedelta(k)
+    origins = spark.createDataFrame([(origin,)], "Origin date")
+    frame = lambda rows, c: spark.createDataFrame([(origin, *r) for r in rows], f"Origin date, SKU string, ForecastDate date, {c}")
+    universe = spark.createDataFrame([(origin, "a"), (origin, "b"), (origin, "n")], "Origin date, SKU string")
+    recent = frame([("a", day(0), 10.0), ("a", day(14), 99.0)], "RecentUnits double")
+    season = frame([("a", day(0), 20.0), ("a", day(1), 4.0), ("x", day(1), 50.0)], "SeasonalUnits double")
+    promo = frame([("a", day(0), 1.5, 2.0), ("b", day(2), 1.25, 7.0)], "Multiplier double, Floor double")
+    out = P.no_model(universe, origins, recent, season, promo)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.SKU, r.Variant): r.ForecastUnits for r in out.collect()}
+    assert got == {("a", "recent"): 15, ("a", "recent_floor"): 15, ("a", "seasonal"): 24, ("a", "seasonal_floor"): 24, ("b", "recent_floor"): 7, ("b", "seasonal_floor"): 7}
+    assert len(re.findall(r"Exchange hashpartitioning\(Origin#\d+, SKU#", plan)) == 1
